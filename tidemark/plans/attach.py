@@ -1,0 +1,34 @@
+"""Join a table with one row per key to a table in which one key may hold a large share of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 500_000
+SALTS = 64
+
+
+def attach(
+    df: DataFrame,
+    small: DataFrame,
+    keys: tuple[str, ...],
+    how: str = "inner",
+    rows: int | None = None,
+    spread_by: tuple[str, ...] = (),
+) -> DataFrame:
+    """``df`` joined with ``small`` on ``keys``.
+
+    ``rows`` is an upper bound on the rows of ``small``; without one they are counted.  Up to
+    ``BROADCAST_ROWS`` the table is broadcast.  Beyond, each of its rows is copied to ``SALTS`` partitions, and the rows of
+    ``df`` are spread over the copies by a hash of ``spread_by`` (all its columns by default), so a
+    frequent key is shared by that many tasks.
+    """
+    if rows is None:
+        rows = small.count()
+    if rows <= BROADCAST_ROWS:
+        return df.join(F.broadcast(small), list(keys), how)
+    copies = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spread = [F.col(c) for c in (spread_by or df.columns)]
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
+    return salted.join(copies, [*keys, "__salt"], how).drop("__salt")

@@ -1,0 +1,25 @@
+"""Folder for intermediate tables: the shared one the session names, or one of our own in a local test."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        named = spark.sparkContext.getCheckpointDir()
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        named = tempfile.mkdtemp(prefix="tidemark-")
+        spark.sparkContext.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path that does not exist yet."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
