@@ -2,7 +2,8 @@
 
 from importlib import import_module
 
-MODULES = ("strategy", "cleaning", "resampling", "indicators", "sessions")
+MODULES = ("strategy", "cleaning", "resampling", "indicators", "sessions", "signals", "trades", "analytics", "options",
+           "sweeps", "segments")
 
 
 def load() -> None:
