@@ -3,7 +3,7 @@
 from importlib import import_module
 
 MODULES = ("strategy", "cleaning", "resampling", "indicators", "sessions", "signals", "trades", "analytics", "options",
-           "sweeps", "segments")
+           "sweeps", "segments", "sources", "streams")
 
 
 def load() -> None:

@@ -106,15 +106,16 @@ def read_bars_directory(
 ) -> DataFrame:
     """All files of a directory as one table with an ``instrument`` column.
 
-    ``names(file_name, instrument)`` maps files to instruments; files it lacks, and all files without it, go by their
-    name up to the first dot.
+    ``names(file_name, instrument)`` maps files to instruments, or ``names(file_path, instrument)`` where folders hold
+    files of the same name.  Files it lacks, and all files without it, go by their name up to the first dot.
     """
     bars = read_bars_csv(spark, path, ts_format, extra_types, with_file=True, **options)
     stem = F.regexp_extract("file_name", r"^([^.]*)", 1)
     if names is None:
         return bars.withColumn("instrument", stem).drop("file_path", "file_name")
-    given = names.select("file_name", F.col("instrument").alias("__named"))
-    mapped = attach(bars, given, ("file_name",), "left", spread_by=("ts",))
+    by = "file_path" if "file_path" in names.columns else "file_name"
+    given = names.select(by, F.col("instrument").alias("__named"))
+    mapped = attach(bars, given, (by,), "left", spread_by=("ts",))
     instrument = F.coalesce(F.col("__named").cast("string"), stem)
     return mapped.withColumn("instrument", instrument).drop("file_path", "file_name", "__named")
 

@@ -45,13 +45,13 @@ STATE = T.StructType(
 )
 
 
-def _live_stepper(rule: Rule, lot: int, cap: int | None, per: str):
+def _live_stepper(keys: tuple[str, ...], rule: Rule, lot: int, cap: int | None, per: str):
     """Derivatives as arrays, then the position bar by bar. Self-contained: it travels to the workers by value."""
     if rule.held or rule.both or rule.relative and not rule.ma_period:
         raise ValueError("live signals need levels that do not depend on the trade")
     keep, period, variant, relative = rule.lookback, rule.ma_period, rule.variant, rule.relative
     enter, leave1, leave2 = rule.entry_level, rule.exit_first_level, rule.exit_second_level
-    names = [f.name for f in LIVE_FIELDS]
+    names = [*keys, *[f.name for f in LIVE_FIELDS]]
 
     def derivatives(oi, seen):
         """Arrays for the values after the first ``seen``; ``oi`` starts with the remembered ones."""
@@ -107,7 +107,7 @@ def _live_stepper(rule: Rule, lot: int, cap: int | None, per: str):
                          *entered, pnl, minutes, entries))
         newest = bars["ts"].iloc[-1]
         state.update((oi[-keep:].tolist(), int(numbers[-1]), newest, entry_ts, entry_price, entries, day))
-        out = pd.DataFrame(rows, columns=[*[f"__k{i}" for i in range(len(key))], *names])
+        out = pd.DataFrame(rows, columns=names)
         out["entry_ts"] = pd.to_datetime(out["entry_ts"])
         yield out
 
@@ -135,7 +135,7 @@ def live_bars(
         df.select(*spec.keys, F.col(spec.ts).alias("ts"), "close", "oi")
         .groupBy(*spec.keys)
         .applyInPandasWithState(
-            _live_stepper(rule, lot, cap, per),
+            _live_stepper(spec.keys, rule, lot, cap, per),
             T.StructType(keys + LIVE_FIELDS),
             STATE,
             "append",
