@@ -15,7 +15,7 @@ from tidemark.sources import bars as B
 from tidemark.sources import events as E
 from tidemark.sources.files import bar_file_profile as profile
 from tidemark.sources.files import list_bar_files as list_files
-from tidemark.sources.scratch import new_folder
+from tidemark.plans.storage import new_folder
 
 ALL = "instrument, ts, open, high, low, close, volume, oi"
 # instruments as folders, one file each; the instrument is not in the file

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from catalog.registry import query
 from catalog.signals import LIVE
 from catalog.views import EVENTS_BARS, INTRADAY, events_bars
-from tidemark.sources.scratch import new_folder
+from tidemark.plans.storage import new_folder
 from tidemark.streaming import bars as B
 from tidemark.streaming import live as V
 from tidemark.streaming import sinks as S

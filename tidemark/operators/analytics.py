@@ -19,8 +19,7 @@ REGIMES = ("Trending Up", "Trending Down", "Sideways", "High Volatility")
 
 
 def _equity(lay, df: DataFrame, r: Column) -> DataFrame:
-    df = lay.running(df, equity=("product", 1 + r))
-    df = lay.running(df, running_max=("max", F.col("equity")))
+    df = lay.running(df, equity=("product", 1 + r), running_max=("max", F.col("equity"), "equity"))
     return df.withColumn("drawdown", ratio(F.col("equity") - F.col("running_max"), F.col("running_max")))
 
 

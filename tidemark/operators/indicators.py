@@ -247,18 +247,11 @@ def oi_change(df: DataFrame, fill: bool = False, spec: SeriesSpec = BAR_SERIES)
     lay = layout(df, spec, lookback=1)
     if not fill:
         return lay.finish(oi_change_columns(lay.df, lay.window))
-    out = over_series(
-        lay.finish(lay.running(lay.df, __known=("last", F.col("oi")))),
-        lambda d, w: d.withColumns(
-            {
-                "oi_change": F.col("oi") - F.lag("oi").over(w),
-                "oi_pct_change": pct_change(F.col("__known").cast("double"), w),
-            }
-        ),
-        lay.spec,
-        lookback=1,
-    )
-    return out.drop("__known")
+    d = lay.df.withColumn("__last_oi", F.lag("oi").over(lay.window))
+    d = lay.finish(lay.running(d, __before=("last", F.col("__last_oi"))))
+    known, before = F.coalesce("oi", "__before").cast("double"), F.col("__before").cast("double")
+    changes = {"oi_change": F.col("oi") - F.col("__last_oi"), "oi_pct_change": ratio(known, before) - 1}
+    return d.withColumns(changes).drop("__last_oi", "__before")
 
 
 def oi_momentum(df: DataFrame, lag: int = 4, spec: SeriesSpec = BAR_SERIES) -> DataFrame:

@@ -42,8 +42,7 @@ def count_in_run(lay: Layout, df: DataFrame, reset_daily: bool) -> DataFrame:
         new_day = F.coalesce(day != F.lag(day).over(lay.window), F.lit(True))
         df = df.withColumn("__starts", starts | new_day)
         starts = F.col("__starts")
-    df = lay.running(df, __nth=("sum", F.lit(1)))
-    df = lay.running(df, __first=("max", F.when(starts, F.col("__nth"))))
+    df = lay.running(df, __nth=("sum", F.lit(1)), __first=("max", F.when(starts, F.col("__nth")), "__nth"))
     df = df.withColumn("minutes_in_session", (F.col("__nth") - F.col("__first")).cast("bigint"))
     return df.drop("__nth", "__first", "__starts")
 

@@ -127,8 +127,7 @@ def position_columns(lay: Layout, df: DataFrame, entry: str = "entry", exit: str
     enters, leaves = F.col(entry), F.col(exit)
     flips = F.when(enters & leaves, F.lit(1)).otherwise(F.lit(0))
     value = F.when(enters & ~leaves, F.lit(1)).when(leaves & ~enters, F.lit(0))
-    df = lay.running(df, __flips=("sum", flips))
-    df = lay.running(df, __set=("last", value - F.col("__flips")))
+    df = lay.running(df, __flips=("sum", flips), __set=("last", value - F.col("__flips"), "-__flips"))
     position = F.pmod(F.coalesce(F.col("__set"), F.lit(0)) + F.col("__flips"), F.lit(2))
     return df.withColumn("position", position.cast("int")).drop("__flips", "__set")
 
@@ -158,15 +157,15 @@ def position_state_live(df: DataFrame, signal: str = "signal", spec: SeriesSpec
 
 def live_orders(df: DataFrame, signal: str = "signal", spec: SeriesSpec = BAR_SERIES) -> DataFrame:
     """Bars on which the live position changes, ``side`` BUY or SELL, with the position after them."""
-    held = position_state_live(df, signal, spec)
-    changed = over_series(
-        held,
-        lambda d, w: d.withColumn("__before", F.coalesce(F.lag("position").over(w), F.lit(0))),
-        spec,
-        lookback=1,
-    )
+    value = F.when(F.col(signal) == "BUY", 1).when(F.col(signal) == "SELL", 0)
+    lay = layout(df, spec, lookback=1)
+    d = lay.df.withColumn("__value", value)
+    d = d.withColumn("__last_value", F.lag("__value").over(lay.window))
+    d = lay.finish(lay.running(d, __before=("last", F.col("__last_value"))))
+    before = F.coalesce(F.col("__before"), F.lit(0))
     side = F.when(F.col("position") == 1, F.lit("BUY")).otherwise(F.lit("SELL"))
-    return changed.filter(F.col("position") != F.col("__before")).withColumn("side", side).drop("__before")
+    changed = d.withColumn("position", F.coalesce(F.col("__value"), before)).filter(F.col("position") != before)
+    return changed.withColumn("side", side).drop("__value", "__last_value", "__before")
 
 
 def stop_take_check(

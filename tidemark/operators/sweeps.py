@@ -18,7 +18,7 @@ from tidemark.functions.rules import Rule, share_of_ma
 from tidemark.operators.analytics import accounts, last_closes, trade_summary
 from tidemark.operators.indicators import first_derivative, second_derivative
 from tidemark.operators.signals import position_columns
-from tidemark.operators.trades import decision_columns, priced, tradable_bars, trades_from_decisions
+from tidemark.operators.trades import decision_columns, priced, trades_from_decisions
 from tidemark.plans.series import BAR_SERIES, Layout, SeriesSpec, layout
 
 PARAM = "param_id"
@@ -100,7 +100,7 @@ def sweep_trades(
 ) -> DataFrame:
     """Trades of every series under every parameter set, open ones included."""
     lay, d, rule = _expanded(df, rules, spec)
-    raw = trades_from_decisions(tradable_bars(lay, decision_columns(lay, d, rule)), lay.spec, rule)
+    raw = trades_from_decisions(lay, decision_columns(lay, d, rule), rule)
     return priced(raw, lay.spec, commission, size)
 
 

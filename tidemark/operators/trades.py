@@ -20,6 +20,7 @@ from tidemark.functions.columns import minutes_between
 from tidemark.functions.rules import FIRST_EXIT, SECOND_EXIT, Rule, rule_of
 from tidemark.operators.signals import derivative_columns
 from tidemark.plans.series import BAR_SERIES, Layout, SeriesSpec, layout
+from tidemark.plans.storage import checkpointed
 from tidemark.schema import TRADE_FIELDS, fields_of
 
 SEGMENT = "__segment"
@@ -54,11 +55,15 @@ def decision_columns(lay: Layout, df: DataFrame, rule: Rule) -> DataFrame:
     df = df.withColumn("__leaves", leaves)
     df = df.withColumn("__opens", F.coalesce(F.lag("__leaves").over(w), F.lit(False)))
     entered = F.when(F.col("__entry"), F.lit(1)).otherwise(F.lit(0))
-    df = lay.running(
-        df, **{SEGMENT: ("sum", F.when(F.col("__opens"), F.lit(1)).otherwise(F.lit(0))), "__entries": ("sum", entered)}
+    before_entry = F.when(F.col("__opens"), F.col("__entries") - entered)
+    return lay.running(
+        df,
+        **{
+            SEGMENT: ("sum", F.when(F.col("__opens"), F.lit(1)).otherwise(F.lit(0))),
+            "__entries": ("sum", entered),
+            "__entries_before": ("last", before_entry, "__entries"),
+        },
     )
-    at_start = F.when(F.col("__opens"), F.col("__entries") - entered)
-    return lay.running(df, __entries_before=("last", at_start))
 
 
 def tradable_bars(lay: Layout, df: DataFrame) -> DataFrame:
@@ -127,10 +132,13 @@ def _stepper(keys, ts, rule: Rule):
     return step
 
 
-def trades_from_decisions(tradable: DataFrame, spec: SeriesSpec, rule: Rule) -> DataFrame:
+def trades_from_decisions(lay: Layout, decided: DataFrame, rule: Rule) -> DataFrame:
+    """Trades in the shape of ``TRADE_FIELDS``.  Where series are cut, they are checkpointed before further passes."""
+    spec, tradable = lay.spec, tradable_bars(lay, decided)
     schema = T.StructType(fields_of(tradable.schema, spec.keys) + TRADE_FIELDS)
     spread = tradable.repartition(*spec.keys, SEGMENT).sortWithinPartitions(*spec.keys, SEGMENT, *spec.order)
-    return spread.mapInPandas(_stepper(spec.keys, spec.ts, rule), schema)
+    trades = spread.mapInPandas(_stepper(spec.keys, spec.ts, rule), schema)
+    return checkpointed(trades) if lay.split else trades
 
 
 def all_trades(
@@ -145,7 +153,7 @@ def all_trades(
     rule = rule_of(preset, **params)
     lay = layout(df, spec, lookback=rule.lookback + 1, lookahead=1)
     decided = decision_columns(lay, derivative_columns(lay.df, lay.window, rule), rule)
-    raw = trades_from_decisions(tradable_bars(lay, decided), lay.spec, rule)
+    raw = trades_from_decisions(lay, decided, rule)
     return priced(raw, lay.spec, commission, size)
 
 

@@ -11,7 +11,7 @@ data.  The layout below keeps one shuffle but bounds what a task receives:
   ``lookahead`` rows after an earlier one), also to that slice as a *halo* row.  Windows are
   partitioned by (keys, slice); halo rows are dropped at the end.  The result equals the unsplit one.
 * Running values (unbounded frames) are computed per slice and completed with a prefix over
-  one summary row per slice.
+  one summary row per slice.  That reads the sliced rows twice; operators need at most one such pass.
 
 Only the per-(series, chunk) counts of long series are ever gathered per key, never the rows.
 """
@@ -135,62 +135,89 @@ class Layout:
             return df
         return df.filter(F.col(SLICE) == F.col(HOME)).drop(SLICE, HOME)
 
-    def running(self, df: DataFrame, **columns: tuple[str, Column]) -> DataFrame:
+    def running(self, df: DataFrame, **columns: tuple) -> DataFrame:
         """Add running aggregates from the first row of the series to the current one.
 
-        ``columns`` maps a name to (kind, expression), kind one of sum, product, max, min, last.
-        ``last`` is the latest non-null value.  On halo rows the values are undefined.
+        ``columns`` maps a name to (kind, expression), kind one of sum, product, max, min, last; ``last`` is the
+        latest non-null value.  A third element names an earlier sum or product of the same call which the
+        expression contains: ``("max", F.col("nth") * flag, "nth")`` for expressions of the form ``x + nth`` or
+        ``x * growth``, ``("last", x - F.col("n"), "-n")`` for ``x - n``.  All columns of a call cost one pass.
+        On halo rows the values are undefined.
         """
         frame = self.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        parts = [_Part(n, c[0], c[1], c[2] if len(c) > 2 else None, columns) for n, c in columns.items()]
+        free, bound = [p for p in parts if p.moves_with is None], [p for p in parts if p.moves_with is not None]
+        home = F.col(SLICE) == F.col(HOME) if self.split else None
+
+        def over_frame(p: _Part, name: str, kind: str) -> Column:
+            value = F.when(home, p.value) if self.split else p.value
+            return _AGGREGATES[kind](value).over(frame).alias(name)
+
+        local = df.select("*", *[over_frame(p, p.name, p.kind) for p in free])
+        if bound:
+            local = local.select("*", *[over_frame(p, p.name, p.kind) for p in bound])
         if not self.split:
-            return df.select(
-                "*", *[_RUNNING[k].over_rows(e).over(frame).alias(n) for n, (k, e) in columns.items()]
-            )
-        home = F.col(SLICE) == F.col(HOME)
-        inputs = {n: F.when(home, e) for n, (_, e) in columns.items()}
-        local = df.select(
-            "*",
-            *[_RUNNING[k].over_rows(inputs[n]).over(frame).alias(f"__local_{n}") for n, (k, _) in columns.items()],
-        )
-        totals = (
-            df.select(*self.spec.keys, SLICE, F.struct(*self.spec.order).alias("__at"),
-                      *[inputs[n].alias(n) for n in columns])
-            .groupBy(*self.spec.keys, SLICE)
-            .agg(*[_RUNNING[k].total(F.col(n), F.col("__at")).alias(n) for n, (k, _) in columns.items()])
-        )
+            return local
+        # a negative growth factor turns the largest value into the smallest
+        scaled = [p for p in bound if p.scaled]
+        if scaled:
+            local = local.select("*", *[over_frame(p, p.other_end, {"max": "min", "min": "max"}[p.kind]) for p in scaled])
+        return self._with_carry(df.columns, local, free, bound)
+
+    def _with_carry(self, kept: list[str], local: DataFrame, free: list[_Part], bound: list[_Part]) -> DataFrame:
+        """Complete running values that start anew in every slice."""
+        keys = (*self.spec.keys, SLICE)
+        names = [p.name for p in (*free, *bound)] + [p.other_end for p in bound if p.scaled]
+        # a slice's last own row holds its totals
+        at = F.when(F.col(SLICE) == F.col(HOME), F.struct(*self.spec.order))
+        totals = local.groupBy(*keys).agg(F.max_by(F.struct(*names), at).alias("__t")).select(*keys, "__t.*")
         earlier = Window.partitionBy(*self.spec.keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-        carried = totals.select(
-            *[F.col(c).alias(f"__k_{c}") for c in (*self.spec.keys, SLICE)],
-            *[_RUNNING[k].over_rows(F.col(n)).over(earlier).alias(f"__carry_{n}") for n, (k, _) in columns.items()],
+        carried = totals.withColumns({p.carry: _AGGREGATES[p.kind](F.col(p.name)).over(earlier) for p in free})
+        carried = carried.withColumns({p.carry: _AGGREGATES[p.kind](p.moved()).over(earlier) for p in bound})
+        carried = carried.select(
+            *[F.col(c).alias(f"__k_{c}") for c in keys], *[p.carry for p in (*free, *bound)]
         )
-        on = [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in (*self.spec.keys, SLICE)]
-        joined = local.join(carried, on, "left")
-        return joined.select(
-            *df.columns,
-            *[
-                _RUNNING[k].combine(F.col(f"__carry_{n}"), F.col(f"__local_{n}")).alias(n)
-                for n, (k, _) in columns.items()
-            ],
+        on = [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in keys]
+        return local.join(carried, on, "left").select(
+            *kept,
+            *[_COMBINE[p.kind](F.col(p.carry), F.col(p.name)).alias(p.name) for p in free],
+            *[_COMBINE[p.kind](F.col(p.carry), p.moved()).alias(p.name) for p in bound],
         )
 
 
-@dataclass(frozen=True)
-class _Running:
-    over_rows: Callable[[Column], Column]
-    total: Callable[[Column, Column], Column]
-    combine: Callable[[Column, Column], Column]
-
-
-_RUNNING = {
-    "sum": _Running(F.sum, lambda c, at: F.sum(c), lambda a, b: F.coalesce(a + b, a, b)),
-    "product": _Running(F.product, lambda c, at: F.product(c), lambda a, b: F.coalesce(a * b, a, b)),
-    "max": _Running(F.max, lambda c, at: F.max(c), F.greatest),
-    "min": _Running(F.min, lambda c, at: F.min(c), F.least),
-    "last": _Running(
-        lambda c: F.last(c, ignorenulls=True),
-        lambda c, at: F.max_by(c, F.when(c.isNotNull(), at)),
-        lambda a, b: F.coalesce(b, a),
-    ),
+class _Part:
+    """One column of a ``running`` call."""
+
+    def __init__(self, name: str, kind: str, value: Column, moves_with: str | None, columns: dict):
+        self.name, self.kind, self.value = name, kind, value
+        self.sign = -1 if moves_with and moves_with.startswith("-") else 1
+        self.moves_with = moves_with.lstrip("-") if moves_with else None
+        self.scaled = self.moves_with is not None and columns[self.moves_with][0] == "product"
+        self.carry = f"__carry_{name}"
+        self.other_end = f"__other_{name}"
+
+    def moved(self) -> Column:
+        """The slice's own value as it would be had the slice not started anew."""
+        c, carry = F.col(self.name), F.col(f"__carry_{self.moves_with}")
+        if self.scaled:
+            return F.when(carry < 0, F.col(self.other_end)).otherwise(c) * F.coalesce(carry, F.lit(1.0))
+        return c + self.sign * F.coalesce(carry, F.lit(0))
+
+
+_AGGREGATES = {
+    "sum": F.sum,
+    "product": F.product,
+    "max": F.max,
+    "min": F.min,
+    "last": lambda c: F.last(c, ignorenulls=True),
+}
+
+_COMBINE = {
+    "sum": lambda carry, c: F.coalesce(carry + c, carry, c),
+    "product": lambda carry, c: F.coalesce(carry * c, carry, c),
+    "max": F.greatest,
+    "min": F.least,
+    "last": lambda carry, c: F.coalesce(c, carry),
 }
 
 

@@ -5,13 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = spark.sparkContext.getCheckpointDir()
+    elif not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(named)
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
@@ -23,3 +25,9 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path that does not exist yet."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared folder, so that later passes neither repeat nor lose it."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
