@@ -106,17 +106,20 @@ def last_closes(bars: DataFrame, spec: SeriesSpec = BAR_SERIES) -> DataFrame:
 
 
 def accounts(trades: DataFrame, last: DataFrame, cash: float, keys: tuple[str, ...]) -> DataFrame:
-    """One account per row of ``last(keys, last_close)``, whether it traded or not."""
+    """One account per row of ``last(keys, last_close)``, whether it traded or not, with its trade counts."""
     still_open = F.col("exit_ts").isNull()
     sums = trades.groupBy(*keys).agg(
         F.sum("pnl_net").alias("__closed"),
+        F.count("pnl").alias("total_trades"),
+        F.count_if(F.col("pnl") > 0).alias("winning_trades"),
         F.sum(F.when(still_open, F.col("size"))).alias("__size"),
         F.sum(F.when(still_open, F.col("entry_price") * F.col("size") + F.col("commission"))).alias("__spent"),
     )
     joined = last.join(sums, list(keys), "left")
     open_value = F.coalesce(F.col("__size") * F.col("last_close") - F.col("__spent"), F.lit(0.0))
     final = F.lit(cash) + F.coalesce("__closed", F.lit(0.0)) + open_value
-    out = joined.select(*keys, F.lit(cash).alias("starting_value"), final.alias("final_value"))
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("total_trades", "winning_trades")]
+    out = joined.select(*keys, F.lit(cash).alias("starting_value"), final.alias("final_value"), *counts)
     total = F.col("final_value") - F.col("starting_value")
     return out.withColumns({"total_return": total, "total_return_pct": total / F.lit(cash) * 100})
 
@@ -129,7 +132,7 @@ def portfolio_return(
     Closed trades count with their net profit; a trade still open with its value at the last close, less
     the commission of its entry.
     """
-    return accounts(trades, last_closes(bars, spec), cash, spec.keys)
+    return accounts(trades, last_closes(bars, spec), cash, spec.keys).drop("total_trades", "winning_trades")
 
 
 # --- open interest and signals -------------------------------------------------------------------

@@ -177,11 +177,17 @@ def stop_take_check(
     )
 
 
-def stop_take(entry_price: Column, price: Column, stop_loss_pct: float, take_profit_pct: float) -> Column:
+def stop_take(
+    entry_price: Column, price: Column, stop_loss_pct: float | None, take_profit_pct: float | None
+) -> Column:
     held = entry_price.isNotNull() & (entry_price != 0)
-    return F.when(held & (price <= entry_price * F.lit(1 - stop_loss_pct)), F.lit("STOP LOSS")).when(
-        held & (price >= entry_price * F.lit(1 + take_profit_pct)), F.lit("TAKE PROFIT")
-    )
+    outcome = F.lit(None).cast("string")
+    if take_profit_pct is not None:
+        outcome = F.when(held & (price >= entry_price * F.lit(1 + take_profit_pct)), F.lit("TAKE PROFIT"))
+    if stop_loss_pct is not None:
+        hit = held & (price <= entry_price * F.lit(1 - stop_loss_pct))
+        outcome = F.when(hit, F.lit("STOP LOSS")).otherwise(outcome)
+    return outcome
 
 
 def signal_to_next_bar(df: DataFrame, spec: SeriesSpec = BAR_SERIES) -> DataFrame:

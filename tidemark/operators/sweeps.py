@@ -13,9 +13,9 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import rolling_mean
+from tidemark.functions.columns import ratio, rolling_mean
 from tidemark.functions.rules import Rule, share_of_ma
-from tidemark.operators.analytics import accounts, last_closes, trade_summary
+from tidemark.operators.analytics import accounts, last_closes
 from tidemark.operators.indicators import first_derivative, second_derivative
 from tidemark.operators.signals import position_columns
 from tidemark.operators.trades import decision_columns, priced, trades_from_decisions
@@ -116,12 +116,13 @@ def sweep_results(
     names = F.explode(F.array(*[F.lit(n) for n in rules])).alias(PARAM)
     last = last_closes(df, spec).select(names, "*")
     money = accounts(trades, last, cash, (PARAM, *spec.keys)).groupBy(PARAM).agg(
-        F.sum("starting_value").alias("starting_value"), F.sum("final_value").alias("final_value")
+        *[F.sum(c).alias(c) for c in ("starting_value", "final_value", "total_trades", "winning_trades")]
     )
     gain = F.col("final_value") - F.col("starting_value")
-    money = money.withColumn("total_return_pct", gain / F.col("starting_value") * 100)
-    counts = trade_summary(trades, (PARAM,)).select(PARAM, "total_trades", "win_rate_pct")
-    return money.join(counts, PARAM, "left").na.fill(0, ["total_trades", "win_rate_pct"])
+    wins = ratio(100.0 * F.col("winning_trades"), F.col("total_trades").cast("double"))
+    return money.withColumns(
+        {"total_return_pct": gain / F.col("starting_value") * 100, "win_rate_pct": F.coalesce(wins, F.lit(0.0))}
+    ).drop("winning_trades")
 
 
 def rank_param_sets(results: DataFrame, k: int | None = None, by: str = "total_return_pct") -> DataFrame:

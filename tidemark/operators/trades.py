@@ -1,24 +1,28 @@
 """Trade ledger: the one-position state machine with stop-loss and take-profit.
 
-Whether a trade is stopped depends on the price it was filled at, so a trade is followed bar by bar.  A whole series need
-not be: a bar whose exit holds however the trade was entered, and which is no entry, leaves every position
-flat.  Such bars cut a series into segments that start flat and do not influence each other.  Bars before
-the first entry of a segment cannot trade.  Spark therefore computes flags, next-bar fills and segment
-numbers with windows, drops the idle bars, spreads the segments over the cluster, sorts inside the partitions, and
-Python only steps through the remaining bars, batch by batch with a constant amount of state.
+Whether a trade is stopped depends on the price it was filled at, so in general a trade is followed bar by bar.  Little
+of a series needs that.  A bar whose exit holds however the trade was entered, and which is no entry, leaves
+every position flat; such bars cut a series into segments that start flat and do not influence each other.
+
+1. Windows over the series give flags, next-bar fills and segment numbers; bars before the first entry of a
+   segment cannot trade and are dropped.
+2. Windows over the segments, which spread even a single long series over the cluster, follow the first trade of each
+   segment: its entry is known, so stops can be tested per bar.  If it ends with its segment, it is complete.
+3. Only from the first stop, or the first bar that is entry and exit at once, does Python step through the
+   rest of the segment, batch by batch with a constant amount of state.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import minutes_between
-from tidemark.functions.rules import FIRST_EXIT, SECOND_EXIT, Rule, rule_of
-from tidemark.operators.signals import derivative_columns
+from tidemark.functions.rules import FIRST_EXIT, SECOND_EXIT, Rule, is_true, rule_of
+from tidemark.operators.signals import derivative_columns, stop_take
 from tidemark.plans.series import BAR_SERIES, Layout, SeriesSpec, layout
 from tidemark.plans.storage import checkpointed
 from tidemark.schema import TRADE_FIELDS, fields_of
@@ -66,25 +70,54 @@ def decision_columns(lay: Layout, df: DataFrame, rule: Rule) -> DataFrame:
     )
 
 
-def tradable_bars(lay: Layout, df: DataFrame) -> DataFrame:
-    """Bars from the first entry of a segment on, with only the columns the state machine reads."""
-    active = F.col("__entries") > F.coalesce(F.col("__entries_before"), F.lit(0))
+def segment_columns(lay: Layout, decided: DataFrame, rule: Rule) -> DataFrame:
+    """Bars that matter to trades, with the entry of their segment's first trade.
+
+    ``__outcome`` is 'done' on the bar that completes the first trade, 'open' on the last bar of the series while it is
+    held, 'step' from the first bar on that ends a trade inside its segment.
+    """
     spec = lay.spec
-    return lay.finish(df.filter(active)).select(
+    active = F.col("__entries") > F.coalesce(F.col("__entries_before"), F.lit(0))
+    bars = lay.finish(decided.filter(active)).select(
         *spec.keys, SEGMENT, spec.ts, *spec.ties, "close", "doi", "__entry", "__first", "__second", "__decides",
         "__fill_ts", "__fill", "__held_ma",
     )
+    w = spec.window(SEGMENT)
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    entry = {"entry_signal_ts": spec.ts, "entry_ts": "__fill_ts", "entry_price": "__fill", "__entry_ma": "__held_ma"}
+    bars = bars.withColumns({n: F.first(c).over(so_far) for n, c in entry.items()} | {"__nth": F.row_number().over(w)})
+    stopped = F.lit(False)
+    if rule.stop_loss is not None or rule.take_profit is not None:
+        reason = stop_take(F.col("entry_price"), F.col("close"), rule.stop_loss, rule.take_profit)
+        stopped = reason.isNotNull()
+    if rule.held:
+        stopped = stopped | is_true(F.col("doi") > F.lit(rule.exit_first_level) * F.col("__entry_ma"))
+    leaves = F.col("__first") | F.col("__second")
+    held = F.col("__decides") & (F.col("__nth") > 1)
+    inside = held & (stopped | (F.col("__entry") & leaves))
+    bars = bars.withColumn("__inside", F.max(inside).over(so_far))
+    outcome = (
+        F.when(F.col("__inside"), F.lit("step"))
+        .when(held & leaves, F.lit("done"))
+        .when(~F.col("__decides") & (F.col("__nth") > 1), F.lit("open"))
+    )
+    return bars.withColumn("__outcome", outcome).filter(F.col("__outcome").isNotNull()).drop("__inside", "__nth")
 
 
 def _stepper(keys, ts, rule: Rule):
-    """The state machine over sorted bars. Self-contained, so that it travels to the Python workers by value."""
+    """The state machine over the sorted bars of unfinished segments; finished trades pass through.
+
+    Self-contained, so that it travels to the Python workers by value.
+    """
     key_names = (*keys, SEGMENT)
     held_level = rule.exit_first_level if rule.held else None
     stop = 1 - rule.stop_loss if rule.stop_loss is not None else None
     take = 1 + rule.take_profit if rule.take_profit is not None else None
     first_reason, second_reason = FIRST_EXIT, SECOND_EXIT
     names = [*keys, *[f.name for f in TRADE_FIELDS]]
-    inputs = (ts, "close", "doi", "__entry", "__first", "__second", "__decides", "__fill_ts", "__fill", "__held_ma")
+    entry_names = ["entry_signal_ts", "entry_ts", "entry_price", "__entry_ma"]
+    inputs = [ts, "close", "doi", "__entry", "__first", "__second", "__decides", "__fill_ts", "__fill", "__held_ma"]
+    times = {ts, "__fill_ts", "entry_signal_ts", "entry_ts"}
 
     def reason_to_leave(close, doi, first, second, price, held_ma):
         if price and stop is not None and close <= price * stop:
@@ -98,6 +131,20 @@ def _stepper(keys, ts, rule: Rule):
     def step(batches: Iterator):
         import pandas as pd
 
+        def rows_of(pdf, columns):
+            return zip(*[pdf[c].array if c in times else pdf[c].tolist() for c in columns])
+
+        def finished(pdf):
+            """First trades that ended with their segment, or are still open."""
+            out = pdf[[*keys, *entry_names[:3]]].copy()
+            closes = pdf["__outcome"] == "done"
+            out["exit_signal_ts"] = pdf[ts].where(closes)
+            out["exit_ts"] = pdf["__fill_ts"].where(closes)
+            out["exit_price"] = pdf["__fill"].where(closes)
+            reason = pdf["__first"].map({True: first_reason, False: second_reason})
+            out["exit_reason"] = reason.where(closes, None)
+            return out
+
         def table(trades):
             out = pd.DataFrame({n: [t[i] for t in trades] for i, n in enumerate(names)})
             for c in ("entry_signal_ts", "entry_ts", "exit_signal_ts", "exit_ts"):
@@ -106,14 +153,17 @@ def _stepper(keys, ts, rule: Rule):
 
         key, held = None, None
         for pdf in batches:
+            stepping = pdf["__outcome"] == "step"
+            if not stepping.all():
+                yield finished(pdf[~stepping])
+                pdf = pdf[stepping]
             done = []
-            segments = zip(*[pdf[c].tolist() for c in key_names])
-            bars = zip(*[pdf[c].array if c in (ts, "__fill_ts") else pdf[c].tolist() for c in inputs])
-            for segment, (at, close, doi, entry, first, second, decides, fill_ts, fill, ma) in zip(segments, bars):
+            bars = zip(rows_of(pdf, key_names), rows_of(pdf, entry_names), rows_of(pdf, inputs))
+            for segment, first_trade, (at, close, doi, entry, first, second, decides, fill_ts, fill, ma) in bars:
                 if segment != key:
                     if held:
                         done.append((*key[:-1], *held[:3], None, None, None, None))
-                    key, held = segment, None
+                    key, held = segment, first_trade
                 if not decides:
                     continue
                 if held is None:
@@ -134,10 +184,11 @@ def _stepper(keys, ts, rule: Rule):
 
 def trades_from_decisions(lay: Layout, decided: DataFrame, rule: Rule) -> DataFrame:
     """Trades in the shape of ``TRADE_FIELDS``.  Where series are cut, they are checkpointed before further passes."""
-    spec, tradable = lay.spec, tradable_bars(lay, decided)
-    schema = T.StructType(fields_of(tradable.schema, spec.keys) + TRADE_FIELDS)
-    spread = tradable.repartition(*spec.keys, SEGMENT).sortWithinPartitions(*spec.keys, SEGMENT, *spec.order)
-    trades = spread.mapInPandas(_stepper(spec.keys, spec.ts, rule), schema)
+    spec, bars = lay.spec, segment_columns(lay, decided, rule)
+    schema = T.StructType(fields_of(bars.schema, spec.keys) + TRADE_FIELDS)
+    # the windows have brought segments together and sorted them: this sort is dropped from the plan
+    in_order = bars.sortWithinPartitions(*spec.keys, SEGMENT, *spec.order)
+    trades = in_order.mapInPandas(_stepper(spec.keys, spec.ts, rule), schema)
     return checkpointed(trades) if lay.split else trades
 
 
