@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = F.struct("ts", "event_id")
+    at = F.col("event_id")  # events are numbered in time order
     return (
         table(spark, sf_dir, "events")
         .groupBy(F.col("event_type").alias("instrument"), F.window("ts", "3 minutes").alias("w"))
@@ -38,7 +38,9 @@ def events_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitem_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = F.struct("l_orderkey", "l_linenumber", "l_partkey")
+    # (order, line, part) as one number: fixed-width buffers keep the aggregate hash-based
+    line = (F.col("l_orderkey") * 100 + F.col("l_linenumber")).cast("decimal(19,0)")
+    at = line * F.lit(10**13).cast("decimal(14,0)") + F.col("l_partkey").cast("decimal(19,0)")
     price = F.col("l_extendedprice") / F.col("l_quantity")
     return (
         table(spark, sf_dir, "lineitem")
@@ -56,10 +58,10 @@ def lineitem_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 EVENTS_BARS = """events_bars AS MATERIALIZED (
   SELECT event_type AS instrument, time_bucket(INTERVAL '3 minutes', ts) AS ts,
-    arg_min(value, {'t': ts, 'e': event_id}) AS open, max(value) AS high, min(value) AS low,
-    arg_max(value, {'t': ts, 'e': event_id}) AS close,
+    arg_min(value, event_id) AS open, max(value) AS high, min(value) AS low,
+    arg_max(value, event_id) AS close,
     CAST(sum(CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT)) AS BIGINT) AS volume,
-    CAST(floor(arg_max(value, {'t': ts, 'e': event_id}) * 1000) AS BIGINT) + 100000 AS oi
+    CAST(floor(arg_max(value, event_id) * 1000) AS BIGINT) + 100000 AS oi
   FROM events GROUP BY 1, 2)"""
 
 LINEITEM_BARS = """lineitem_bars AS MATERIALIZED (

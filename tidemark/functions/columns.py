@@ -68,16 +68,18 @@ def seconds_of_day(c: Column) -> Column:
     return F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
 
 
-def non_null_struct(c: Column, order: list[Column]) -> Column:
-    """Ordering key that ignores rows where ``c`` is NULL; for ``min_by`` / ``max_by``."""
-    return F.when(c.isNotNull(), F.struct(*order))
+def ordering(order: list[Column]) -> Column:
+    """One value to order by. A single column stays as it is, which keeps ``min_by`` / ``max_by`` hash-based."""
+    return order[0] if len(order) == 1 else F.struct(*order)
 
 
 def first_value_of(c: str | Column, order: list[Column]) -> Column:
+    """Earliest non-null value."""
     c = as_col(c)
-    return F.min_by(c, non_null_struct(c, order))
+    return F.min_by(c, F.when(c.isNotNull(), ordering(order)))
 
 
 def last_value_of(c: str | Column, order: list[Column]) -> Column:
+    """Latest non-null value."""
     c = as_col(c)
-    return F.max_by(c, non_null_struct(c, order))
+    return F.max_by(c, F.when(c.isNotNull(), ordering(order)))

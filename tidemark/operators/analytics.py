@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import last_value_of, minutes_between, ratio
+from tidemark.functions.columns import last_value_of, minutes_between, ordering, ratio
 from tidemark.operators.indicators import next_return
 from tidemark.plans.attach import attach
 from tidemark.plans.quantile import exact_quantile
@@ -192,7 +192,7 @@ def signal_quality(df: DataFrame, entry: str = "entry", spec: SeriesSpec = BAR_S
 def oi_decline(df: DataFrame, spec: SeriesSpec = BAR_SERIES) -> DataFrame:
     """Fall of open interest from the first to the last row, in percent of the first."""
     ends = df.groupBy(*spec.keys).agg(
-        F.min_by("oi", F.struct(*spec.order)).alias("first_oi"), F.max_by("oi", F.struct(*spec.order)).alias("last_oi")
+        F.min_by("oi", ordering(spec.order)).alias("first_oi"), F.max_by("oi", ordering(spec.order)).alias("last_oi")
     )
     fall = ratio((F.col("first_oi") - F.col("last_oi")).cast("double"), F.col("first_oi").cast("double")) * 100
     return ends.withColumn("decline_pct", fall)
@@ -219,9 +219,9 @@ def first_round_trip(
     after = F.col(exit) & (ts > F.col("__since"))
     found = d.groupBy(*spec.keys).agg(
         F.min(F.when(F.col(entry), ts)).alias("entry_ts"),
-        F.min_by("close", F.when(F.col(entry), F.struct(*spec.order))).alias("entry_price"),
+        F.min_by("close", F.when(F.col(entry), ordering(spec.order))).alias("entry_price"),
         F.min(F.when(after, ts)).alias("exit_ts"),
-        F.min_by("close", F.when(after, F.struct(*spec.order))).alias("exit_price"),
+        F.min_by("close", F.when(after, ordering(spec.order))).alias("exit_price"),
     )
     gain = ratio(F.col("exit_price") - F.col("entry_price"), F.col("entry_price")) * 100
     return found.filter(F.col("entry_ts").isNotNull()).withColumn("return_pct", gain)

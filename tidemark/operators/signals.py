@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import rolling_mean
+from tidemark.functions.columns import ordering, rolling_mean
 from tidemark.functions.rules import Rule, rule_of
 from tidemark.operators.indicators import first_derivative, second_derivative
 from tidemark.plans.series import BAR_SERIES, Layout, SeriesSpec, layout, over_series
@@ -107,7 +107,7 @@ def classify_signal(df: DataFrame, preset="absolute", spec: SeriesSpec = BAR_SER
 def latest_bar(df: DataFrame, spec: SeriesSpec = BAR_SERIES) -> DataFrame:
     """Newest row of each series. An aggregate, so a long series is reduced before the shuffle."""
     row = F.struct(*[F.col(c) for c in df.columns])
-    newest = df.groupBy(*spec.keys).agg(F.max_by(row, F.struct(*spec.order)).alias("__row"))
+    newest = df.groupBy(*spec.keys).agg(F.max_by(row, ordering(spec.order)).alias("__row"))
     return newest.select("__row.*")
 
 

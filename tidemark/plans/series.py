@@ -4,7 +4,7 @@ Indicators and signals need the rows of one instrument in time order.  A window
 instrument puts a whole instrument into one task, which fails when one instrument holds a third of the
 data.  The layout below keeps one shuffle but bounds what a task receives:
 
-* The series are counted first (two columns, map-side combined).  If no series exceeds ``slice_rows`` the
+* The series are counted first (key columns only, map-side combined).  If no series exceeds ``slice_rows`` the
   window is partitioned by the series keys alone and nothing else happens.
 * Otherwise the long series are cut into consecutive *slices* of about ``slice_rows`` rows, along time chunks.
   A row goes to its own slice and, if it lies fewer than ``lookback`` rows before a later slice (or
@@ -72,31 +72,34 @@ class SeriesSpec:
         """Count the rows of every series (one small job) unless a bound is known."""
         if self.max_rows is not None:
             return self
-        per_chunk = df.groupBy(*self.keys, self.chunk(df).alias(CHUNK)).agg(F.count("*").alias("n"))
-        per_series = per_chunk.groupBy(*self.keys).agg(F.sum("n").alias("n"), F.count("*").alias("chunks"))
-        size = per_series.agg(
-            F.max("n").alias("longest"),
-            F.count("*").alias("series"),
-            F.sum(F.when(F.col("n") > self.slice_rows, F.col("chunks"))).alias("long_chunks"),
-        ).first()
-        return replace(
-            self, max_rows=size["longest"] or 0, long_chunks=size["long_chunks"] or 0, series=size["series"]
-        )
+        per_series = df.groupBy(*self.keys).agg(F.count("*").alias("n"))
+        size = per_series.agg(F.max("n").alias("longest"), F.count("*").alias("series")).first()
+        longest, chunks = size["longest"] or 0, 0
+        if longest > self.slice_rows:
+            chunks = chunk_counts(df, self).count()
+        return replace(self, max_rows=longest, long_chunks=chunks, series=size["series"])
 
 
 BAR_SERIES = SeriesSpec()
 
 
+def chunk_counts(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """Rows per time chunk of the long series."""
+    return (
+        df.groupBy(*spec.keys, spec.chunk(df).alias(CHUNK))
+        .agg(F.count("*").alias("n"))
+        .filter(F.col(CHUNK).isNotNull())
+        .withColumn("total", F.sum("n").over(Window.partitionBy(*spec.keys)))
+        .filter(F.col("total") > spec.slice_rows)
+    )
+
+
 def slice_map(df: DataFrame, spec: SeriesSpec, lookback: int, lookahead: int) -> DataFrame:
     """(keys, chunk) of the long series -> home slice and all slices that need the chunk's rows."""
     series = Window.partitionBy(*spec.keys)
     by_chunk = series.orderBy(CHUNK)
     counted = (
-        df.groupBy(*spec.keys, spec.chunk(df).alias(CHUNK))
-        .agg(F.count("*").alias("n"))
-        .filter(F.col(CHUNK).isNotNull())
-        .withColumn("total", F.sum("n").over(series))
-        .filter(F.col("total") > spec.slice_rows)
+        chunk_counts(df, spec)
         .withColumn("end", F.sum("n").over(by_chunk.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("begin", F.col("end") - F.col("n"))
         .withColumn(HOME, F.floor(F.col("begin") / F.lit(spec.slice_rows)))
