@@ -74,11 +74,11 @@ acc AS (SELECT grid.param_id, last.instrument, 100000.0::DOUBLE + coalesce(sum(p
 SELECT param_id, sum(100000.0::DOUBLE) AS starting_value, round(sum(final_value), 4) AS final_value,
   round((sum(final_value) - sum(100000.0::DOUBLE)) / sum(100000.0::DOUBLE) * 100, 6) AS total_return_pct,
   CAST(sum(n) AS BIGINT) AS total_trades, round(coalesce(100.0::DOUBLE * sum(wins) / nullif(sum(n), 0), 0), 6) AS win_rate_pct
-FROM acc GROUP BY 1 ORDER BY sum(final_value) DESC LIMIT 10""")))
+FROM acc GROUP BY 1""")))
 def rank_param_sets(spark, sf_dir):
     results = W.sweep_results(events_bars(spark, sf_dir), GRID, spec=INTRADAY)
-    best = W.rank_param_sets(results, 10)
-    return rounded(rounded(best, "final_value", digits=4), "total_return_pct", "win_rate_pct")
+    ranked = W.rank_param_sets(results)
+    return rounded(rounded(ranked, "final_value", digits=4), "total_return_pct", "win_rate_pct")
 
 
 @query("sweep_trades", recursive(with_events(f""", {grid_walk()}

@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.plans.series import SeriesSpec
 
 INTRADAY = SeriesSpec()
-# daily bars: one chunk covers about a quarter
-DAILY = SeriesSpec(chunk_width=90 * 86_400)
+DAILY = SeriesSpec()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

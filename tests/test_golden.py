@@ -150,6 +150,8 @@ def test_strikes_per_expiry_and_beyond_the_ends(spark):
         [("N", e1, 10.0), ("N", e1, 20.0), ("N", e2, 16.0), ("M", e1, 5.0)], "underlying string, expiry timestamp_ntz, strike double")
     spot = spark.createDataFrame([("N", 17.0), ("N", 1.0), ("N", 99.0), ("M", 4.0), ("Z", 1.0)], "underlying string, spot double")
     out = {(r.underlying, r.expiry, r.spot): r.atm_strike for r in O.atm_strike(chain, spot).collect()}
+    cut = {(r.underlying, r.expiry, r.spot): r.atm_strike for r in O.atm_strike(chain, spot, slice_rows=2).collect()}
+    assert cut == out
     assert out == {("N", e1, 17.0): 20, ("N", e2, 17.0): 16, ("N", e1, 1.0): 10, ("N", e2, 1.0): 16,
                    ("N", e1, 99.0): 20, ("N", e2, 99.0): 16, ("M", e1, 4.0): 5}
 

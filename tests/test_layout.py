@@ -1,7 +1,7 @@
 """Cutting long series must not change any result."""
 
 import pytest
-from helpers import TINY, TINY_SHUFFLED, WHOLE, assert_same
+from helpers import TINY, TINY_AUTO, TINY_SHUFFLED, WHOLE, assert_same
 from pyspark.sql import functions as F
 
 from tidemark.functions.rules import absolute
@@ -62,6 +62,12 @@ def test_slice_map_may_be_too_large_to_broadcast(skewed_bars, name):
     assert_same(op(skewed_bars, TINY_SHUFFLED), op(skewed_bars, WHOLE))
 
 
+@pytest.mark.parametrize("name", ["technical_indicators", "market_sessions", "trade_ledger"])
+def test_chunks_may_follow_the_data(skewed_bars, name):
+    op = OPERATORS[name]
+    assert_same(op(skewed_bars, TINY_AUTO), op(skewed_bars, WHOLE))
+
+
 def test_negative_growth_keeps_the_running_maximum_exact(skewed_bars):
     wild = skewed_bars.withColumn("returns", (F.col("volume") % 7 - 3) / 2)
     assert_same(A.equity_curve(wild, spec=TINY).select("instrument", "ts", "running_max"),

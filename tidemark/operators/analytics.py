@@ -93,9 +93,7 @@ def trade_summary(trades: DataFrame, by: tuple[str, ...] = ("instrument",)) -> D
 def running_win_rate(trades: DataFrame, spec: SeriesSpec = BAR_SERIES) -> DataFrame:
     """Win rate in percent after each closed trade, in order of ``trade_no``."""
     closed = trades.filter(F.col("exit_ts").isNotNull())
-    by_exit = SeriesSpec(spec.keys, "trade_no", slice_rows=spec.slice_rows, chunk_width=10_000,
-                         max_rows=spec.max_rows, long_chunks=spec.long_chunks)
-    lay = layout(closed, by_exit)
+    lay = layout(closed, spec.reordered("trade_no"))
     won = F.when(F.col("pnl") > 0, F.lit(1)).otherwise(F.lit(0))
     out = lay.finish(lay.running(lay.df, __wins=("sum", won), __closed=("sum", F.lit(1))))
     return out.withColumn("win_rate_pct", 100.0 * F.col("__wins") / F.col("__closed")).drop("__wins", "__closed")

@@ -25,12 +25,15 @@ def strike_ladder(chain: DataFrame, keys: tuple[str, ...] = ("underlying", "expi
 
 
 def atm_strike(
-    chain: DataFrame, spot: DataFrame, keys: tuple[str, ...] = ("underlying", "expiry"), ladder_step: float = 1.0
+    chain: DataFrame,
+    spot: DataFrame,
+    keys: tuple[str, ...] = ("underlying", "expiry"),
+    slice_rows: int = BAR_SERIES.slice_rows,
 ) -> DataFrame:
     """Strike closest to the spot, per spot row and chain: ``atm_pos`` and ``atm_strike``. A tie takes the lower strike.
 
-    Spots and strikes are merged in price order, where each spot sees the last strike at or below it; no
-    spot is paired with more than one strike.  ``ladder_step`` is the price step at which long price series may be cut.
+    The distinct spot prices and the strikes are merged in price order, where each price sees the last strike at or
+    below it; no price is paired with more than one strike.  The spot rows then look their price up.
     """
     ladder = strike_ladder(chain, keys)
     missing = [k for k in keys if k not in spot.columns]
@@ -44,24 +47,24 @@ def atm_strike(
             .withColumn("__chain", F.explode("__chains"))
             .select(*spot.columns, *[F.col(f"__chain.{m}").alias(m) for m in missing])
         )
-    rest = [c for c in spot.columns if c not in keys]
     strikes = ladder.select(
         *keys,
         F.col("strike").cast("double").alias("__price"),
         F.lit(0).alias("__kind"),
         F.struct("pos", "strike", "next_strike").alias("__step"),
     )
-    prices = spot.select(
-        *keys, *rest, F.col("spot").cast("double").alias("__price"), F.lit(1).alias("__kind")
+    prices = spot.select(*keys, "spot").distinct().select(
+        *keys, "spot", F.col("spot").cast("double").alias("__price"), F.lit(1).alias("__kind")
     )
     merged = prices.unionByName(strikes, allowMissingColumns=True)
-    lay = layout(merged, SeriesSpec(keys, "__price", ("__kind",), chunk_width=ladder_step))
+    lay = layout(merged, SeriesSpec(keys, "__price", ("__kind",), slice_rows=slice_rows))
     seen = lay.finish(lay.running(lay.df, __below=("last", F.col("__step"))))
     below = F.col("__below")
     upper_is_closer = below["next_strike"] - F.col("spot") < F.col("spot") - below["strike"]
     pos = F.coalesce(below["pos"] + F.coalesce(upper_is_closer, F.lit(False)).cast("int"), F.lit(1))
-    placed = seen.filter(F.col("__kind") == 1).select(*keys, *rest, pos.alias("atm_pos"))
-    return _strike_at(placed, ladder, keys, "atm_pos", "atm_strike")
+    placed = seen.filter(F.col("__kind") == 1).select(*keys, "spot", pos.alias("atm_pos"))
+    nearest = _strike_at(placed, ladder, keys, "atm_pos", "atm_strike")
+    return attach(spot, nearest, (*keys, "spot")).select(*spot.columns, "atm_pos", "atm_strike")
 
 
 def _strike_at(df: DataFrame, ladder: DataFrame, keys, pos: str, out: str) -> DataFrame:
@@ -75,13 +78,12 @@ def select_strikes(
     movement_type: str = SHORT_COVERING,
     max_strikes: int = 3,
     keys: tuple[str, ...] = ("underlying", "expiry"),
-    ladder_step: float = 1.0,
 ) -> DataFrame:
     """The strike at the money and the following ones, upwards for short covering, downwards for long unwinding.
 
     One row per selected strike, ``rank`` from 0; fewer at the end of the chain; none for another movement type.
     """
-    at = atm_strike(chain, spot, keys, ladder_step)
+    at = atm_strike(chain, spot, keys)
     direction = {SHORT_COVERING: 1, LONG_UNWINDING: -1}.get(movement_type)
     if direction is None or max_strikes < 1:
         return at.withColumns({"rank": F.lit(0), "strike": F.col("atm_strike")}).filter(F.lit(False))
@@ -115,22 +117,24 @@ def latest_known(
     value: str,
     out: str,
     ts: str = "ts",
-    chunk_width: float = 60.0,
     slice_rows: int = BAR_SERIES.slice_rows,
 ) -> DataFrame:
     """The latest ``value`` of one time series ``readings(ts, value)`` at or before each row of ``df``.
 
-    Rows and readings are merged in time order; the layout cuts the merged series, so no task holds it whole.
+    Only the distinct times of ``df`` are merged with the readings in time order; the rows then look their time up.  The
+    rows themselves are not shuffled while there are few enough times to broadcast.
     """
-    rows = df.withColumns({"__kind": F.lit(1), "__all": F.lit(0)})
+    times = df.select(ts).distinct().select(ts, F.lit(1).alias("__kind"), F.lit(0).alias("__all"))
     marks = readings.select(
         F.col(ts), F.col(value).alias("__value"), F.lit(0).alias("__kind"), F.lit(0).alias("__all")
     )
-    merged = rows.unionByName(marks, allowMissingColumns=True)
-    spec = SeriesSpec(("__all",), ts, ("__kind",), slice_rows=slice_rows, chunk_width=chunk_width)
-    lay = layout(merged, spec)
+    lay = layout(
+        times.unionByName(marks, allowMissingColumns=True),
+        SeriesSpec(("__all",), ts, ("__kind",), slice_rows=slice_rows),
+    )
     seen = lay.finish(lay.running(lay.df, __seen=("last", F.col("__value"))))
-    return seen.filter(F.col("__kind") == 1).select(*df.columns, F.col("__seen").alias(out))
+    known = seen.filter(F.col("__kind") == 1).select(ts, F.col("__seen").alias(out))
+    return attach(df, known, (ts,), "left").select(*df.columns, out)
 
 
 def environment_filter(

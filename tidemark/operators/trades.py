@@ -210,9 +210,7 @@ def all_trades(
 
 def priced(raw: DataFrame, spec: SeriesSpec, commission: float, size: int) -> DataFrame:
     """Number the trades of a series and work out profit and commission."""
-    by_entry = SeriesSpec(keys=spec.keys, ts="entry_ts", slice_rows=spec.slice_rows,
-                          chunk_width=spec.chunk_width, max_rows=spec.max_rows, long_chunks=spec.long_chunks)
-    lay = layout(raw, by_entry)
+    lay = layout(raw, spec.reordered("entry_ts"))
     numbered = lay.finish(lay.running(lay.df, trade_no=("sum", F.lit(1))))
     pnl = (F.col("exit_price") - F.col("entry_price")) * F.lit(size)
     turnover = F.coalesce(F.col("exit_price"), F.lit(0.0)) + F.col("entry_price")

@@ -25,11 +25,12 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import DAY_SECONDS, epoch_seconds
+from tidemark.functions.columns import epoch_seconds
 
 SLICE = "__slice"
 HOME = "__home"
 CHUNK = "__chunk"
+CHUNKS_PER_SLICE = 64
 
 
 @dataclass(frozen=True)
@@ -37,15 +38,15 @@ class SeriesSpec:
     """Identity and order of a series, and the size limits of its layout.
 
     ``max_rows`` is an upper bound on the rows of one series when it is already known; ``measured`` fills it in.
-    ``chunk_width`` is the step (seconds, or units of a numeric order column) at which a long series may be cut:
-    lower it for tick data.
+    ``chunk_width`` is the step (seconds, or units of a numeric order column) at which a long series may be cut;
+    by default it is chosen so that the densest long series gets ``CHUNKS_PER_SLICE`` chunks per slice on average.
     """
 
     keys: tuple[str, ...] = ("instrument",)
     ts: str = "ts"
     ties: tuple[str, ...] = ()
     slice_rows: int = 2_000_000
-    chunk_width: float = DAY_SECONDS
+    chunk_width: float | None = None
     broadcast_rows: int = 500_000
     max_rows: int | None = None
     long_chunks: int = 0
@@ -58,26 +59,43 @@ class SeriesSpec:
     def window(self, *extra: str) -> WindowSpec:
         return Window.partitionBy(*self.keys, *extra).orderBy(*self.order)
 
-    def chunk(self, df: DataFrame) -> Column:
+    def position(self, df: DataFrame) -> Column:
+        """Where a row stands in its series, as a number."""
         numeric = isinstance(df.schema[self.ts].dataType, T.NumericType)
-        at = F.col(self.ts) if numeric else epoch_seconds(df, self.ts)
-        return F.floor(at / F.lit(self.chunk_width))
+        return F.col(self.ts).cast("double") if numeric else epoch_seconds(df, self.ts)
+
+    def chunk(self, df: DataFrame) -> Column:
+        return F.floor(self.position(df) / F.lit(float(self.chunk_width)))
 
     def keyed_by(self, *keys: str, copies: int = 1) -> SeriesSpec:
         """The same spec for series keyed by ``keys``, each as long as before, ``copies`` times as many."""
         series = self.series * copies if self.series is not None else None
         return replace(self, keys=keys, long_chunks=self.long_chunks * copies, series=series)
 
+    def reordered(self, ts: str, *ties: str) -> SeriesSpec:
+        """The same series in another order, or a selection of their rows. A bound that needs no cut still holds."""
+        if self.max_rows is not None and self.max_rows <= self.slice_rows:
+            return replace(self, ts=ts, ties=ties)
+        return replace(self, ts=ts, ties=ties, chunk_width=None, max_rows=None, long_chunks=0)
+
     def measured(self, df: DataFrame) -> SeriesSpec:
         """Count the rows of every series (one small job) unless a bound is known."""
         if self.max_rows is not None:
             return self
-        per_series = df.groupBy(*self.keys).agg(F.count("*").alias("n"))
-        size = per_series.agg(F.max("n").alias("longest"), F.count("*").alias("series")).first()
-        longest, chunks = size["longest"] or 0, 0
-        if longest > self.slice_rows:
-            chunks = chunk_counts(df, self).count()
-        return replace(self, max_rows=longest, long_chunks=chunks, series=size["series"])
+        at = self.position(df)
+        per_series = df.groupBy(*self.keys).agg(F.count("*").alias("n"), (F.max(at) - F.min(at)).alias("span"))
+        chunks = F.col("n") * F.lit(CHUNKS_PER_SLICE / self.slice_rows)
+        size = per_series.agg(
+            F.max("n").alias("longest"),
+            F.count("*").alias("series"),
+            F.min(F.when((F.col("n") > self.slice_rows) & (F.col("span") > 0), F.col("span") / chunks)).alias("width"),
+        ).first()
+        known = replace(self, max_rows=size["longest"] or 0, series=size["series"])
+        if known.max_rows <= self.slice_rows:
+            return known
+        if known.chunk_width is None:
+            known = replace(known, chunk_width=size["width"] or 1.0)
+        return replace(known, long_chunks=chunk_counts(df, known).count())
 
 
 BAR_SERIES = SeriesSpec()
@@ -177,9 +195,12 @@ class Layout:
         earlier = Window.partitionBy(*self.spec.keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
         carried = totals.withColumns({p.carry: _AGGREGATES[p.kind](F.col(p.name)).over(earlier) for p in free})
         carried = carried.withColumns({p.carry: _AGGREGATES[p.kind](p.moved()).over(earlier) for p in bound})
-        carried = carried.select(
+        # first slices carry nothing: what is left are the further slices of long series
+        carried = carried.filter(F.col(SLICE) > 0).select(
             *[F.col(c).alias(f"__k_{c}") for c in keys], *[p.carry for p in (*free, *bound)]
         )
+        if self.spec.long_chunks <= self.spec.broadcast_rows:
+            carried = F.broadcast(carried)
         on = [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in keys]
         return local.join(carried, on, "left").select(
             *kept,
