@@ -48,24 +48,28 @@ def epoch_seconds(df: DataFrame, name: str) -> Column:
     return local_seconds(c)
 
 
+def _since_epoch(c: Column) -> Column:
+    """Time since 1970-01-01 of a TIMESTAMP_NTZ, as an interval of seconds; involves no time zone."""
+    return (c - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).cast("interval second")
+
+
 def local_seconds(c: Column) -> Column:
     """Seconds since 1970-01-01 of a TIMESTAMP_NTZ, fraction dropped."""
-    day = F.unix_date(F.to_date(c)).cast("bigint")
-    return day * DAY_SECONDS + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+    return _since_epoch(c).cast("bigint")
 
 
 def local_micros(c: Column) -> Column:
     """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ."""
-    fraction = F.date_format(c, "SSSSSS").cast("bigint")
-    return local_seconds(c) * 1_000_000 + fraction
+    return (_since_epoch(c).cast("decimal(18,6)") * 1_000_000).cast("bigint")
 
 
-def minutes_between(later: Column, earlier: Column) -> Column:
-    return (local_micros(later) - local_micros(earlier)) / F.lit(60_000_000.0)
+def micros_of_day(c: Column) -> Column:
+    """Microseconds since midnight, local time of the session for a TIMESTAMP."""
+    return F.pmod(local_micros(c.cast("timestamp_ntz")), F.lit(DAY_SECONDS * 1_000_000))
 
 
-def seconds_of_day(c: Column) -> Column:
-    return F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+def minutes_between(later: Column, earlier: Column) -> Column:
+    return (local_micros(later) - local_micros(earlier)) / F.lit(60_000_000.0)
 
 
 def ordering(order: list[Column]) -> Column:

@@ -21,7 +21,7 @@ class Rule:
 
     ``relative`` levels are multiplied with the moving average.  ``both`` demands both exits at once.
     ``held`` takes the first exit level from the moving average of the bar before the entry signal, for
-    as long as the trade lasts.  ``variant`` names the form of the derivatives.
+    as long as the trade lasts.  ``variant`` names the form of the derivatives, ``ma`` the column of the average.
     """
 
     entry_level: float
@@ -34,13 +34,14 @@ class Rule:
     held: bool = False
     stop_loss: float | None = None
     take_profit: float | None = None
+    ma: str = "oi_ma"
 
     @property
     def lookback(self) -> int:
         return max(2, self.ma_period or 0)
 
     def _level(self, level: float) -> Column:
-        return F.lit(level) * F.col("oi_ma") if self.relative else F.lit(level)
+        return F.lit(level) * F.col(self.ma) if self.relative else F.lit(level)
 
     def entry_threshold(self) -> Column:
         return self._level(self.entry_level)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import as_col
+from tidemark.functions.columns import as_col, micros_of_day
 from tidemark.plans.series import BAR_SERIES, SeriesSpec
 from tidemark.schema import PRICE_COLUMNS
 
@@ -62,11 +62,15 @@ def bar_quality_report(df: DataFrame, spec: SeriesSpec = BAR_SERIES) -> DataFram
     )
 
 
+def _micros(time_of_day: str) -> int:
+    hours, minutes, seconds = (int(part) for part in time_of_day.split(":"))
+    return ((hours * 60 + minutes) * 60 + seconds) * 1_000_000
+
+
 def in_market_hours(ts: str | Column = "ts", start: str = "09:15:00", end: str = "15:30:00") -> Column:
     """Monday to Friday, both ends included, to the microsecond."""
     ts = as_col(ts)
-    time_of_day = F.date_format(ts, "HH:mm:ss.SSSSSS")
-    return (F.weekday(ts) < 5) & time_of_day.between(f"{start}.000000", f"{end}.000000")
+    return (F.weekday(ts) < 5) & micros_of_day(ts).between(_micros(start), _micros(end))
 
 
 def market_hours_filter(

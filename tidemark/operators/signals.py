@@ -118,18 +118,20 @@ def latest_signal(df: DataFrame, preset="absolute", spec: SeriesSpec = BAR_SERIE
 # --- positions -----------------------------------------------------------------------------------
 
 
-def position_columns(lay: Layout, df: DataFrame, entry: str = "entry", exit: str = "exit") -> DataFrame:
-    """``position`` (0 flat, 1 long) after every bar.
+def position_columns(lay: Layout, df: DataFrame, flags: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """For every name: (entry, exit) a column with the position (0 flat, 1 long) after every bar.
 
     A bar acts on the position in one of four ways: set it (entry alone or exit alone), flip it (both), or keep it.
     The position is the value last set plus the flips since, modulo two: two running aggregates, no fold.
     """
-    enters, leaves = F.col(entry), F.col(exit)
-    flips = F.when(enters & leaves, F.lit(1)).otherwise(F.lit(0))
-    value = F.when(enters & ~leaves, F.lit(1)).when(leaves & ~enters, F.lit(0))
-    df = lay.running(df, __flips=("sum", flips), __set=("last", value - F.col("__flips"), "-__flips"))
-    position = F.pmod(F.coalesce(F.col("__set"), F.lit(0)) + F.col("__flips"), F.lit(2))
-    return df.withColumn("position", position.cast("int")).drop("__flips", "__set")
+    running, positions = {}, {}
+    for name, (enters, leaves) in flags.items():
+        flipped, last_set = f"__flips_{name}", f"__set_{name}"
+        value = F.when(enters & ~leaves, F.lit(1)).when(leaves & ~enters, F.lit(0))
+        running[flipped] = ("sum", F.when(enters & leaves, F.lit(1)).otherwise(F.lit(0)))
+        running[last_set] = ("last", value - F.col(flipped), f"-{flipped}")
+        positions[name] = F.pmod(F.coalesce(F.col(last_set), F.lit(0)) + F.col(flipped), F.lit(2)).cast("int")
+    return lay.running(df, **running).withColumns(positions).drop(*running)
 
 
 def position_state(
@@ -137,14 +139,15 @@ def position_state(
 ) -> DataFrame:
     """Position after every bar from the two flag columns."""
     lay = layout(df, spec)
-    return lay.finish(position_columns(lay, lay.df, entry, exit))
+    return lay.finish(position_columns(lay, lay.df, {"position": (F.col(entry), F.col(exit))}))
 
 
 def rule_positions(df: DataFrame, preset="share_of_ma", spec: SeriesSpec = BAR_SERIES, **params) -> DataFrame:
     """Bars to positions in one layout: derivatives, average, flags, position."""
     rule = rule_of(preset, **params)
     lay = layout(df, spec, lookback=rule.lookback)
-    return lay.finish(position_columns(lay, flag_columns(derivative_columns(lay.df, lay.window, rule), rule)))
+    flagged = flag_columns(derivative_columns(lay.df, lay.window, rule), rule)
+    return lay.finish(position_columns(lay, flagged, {"position": (F.col("entry"), F.col("exit"))}))
 
 
 def position_state_live(df: DataFrame, signal: str = "signal", spec: SeriesSpec = BAR_SERIES) -> DataFrame:

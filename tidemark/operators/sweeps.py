@@ -1,16 +1,15 @@
 """The same strategy under many parameter sets at once.
 
-Parameters are a short list fixed by the caller.  What does not depend on them (derivatives, one moving average
-per distinct period, next-bar fills) is computed once per bar; then each bar is repeated per parameter set with ``explode``.  A
-partitioning by instrument also serves windows by (parameter set, instrument), so the repetition adds no shuffle of bars.
+Parameters are a short list fixed by the caller, so each set becomes a few more columns in the windows over the bars: one
+shuffle and one sort however many sets there are.  Only then is a bar repeated per set, and for trades only under the sets
+where it can trade.
 """
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass
 from itertools import product
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ratio, rolling_mean
@@ -18,26 +17,12 @@ from tidemark.functions.rules import Rule, share_of_ma
 from tidemark.operators.analytics import accounts, last_closes
 from tidemark.operators.indicators import first_derivative, second_derivative
 from tidemark.operators.signals import position_columns
-from tidemark.operators.trades import decision_columns, priced, trades_from_decisions
+from tidemark.operators.trades import priced, tradable_bars, trades_of
 from tidemark.plans.series import BAR_SERIES, Layout, SeriesSpec, layout
 
 PARAM = "param_id"
 
 
-@dataclass(frozen=True)
-class ColumnRule(Rule):
-    """A rule whose levels are columns of the bar's parameter set."""
-
-    @staticmethod
-    def like(rule: Rule) -> ColumnRule:
-        values = asdict(rule)
-        values.update(entry_level="__entry_level", exit_first_level="__first_level", exit_second_level="__second_level")
-        return ColumnRule(**values)
-
-    def _level(self, level: str) -> Column:
-        return F.col(level) * F.col("oi_ma") if self.relative else F.col(level)
-
-
 def param_grid(ma_period=(30, 50, 70), entry=(0.003, 0.005, 0.007), exit_first=(0.0005, 0.001, 0.0015), **fixed):
     """Named rules for every combination of the main rule's parameters."""
     return {
@@ -46,62 +31,49 @@ def param_grid(ma_period=(30, 50, 70), entry=(0.003, 0.005, 0.007), exit_first=(
     }
 
 
-def _uniform(rules: dict[str, Rule]) -> Rule:
-    """One rule standing for all; the sets may differ in levels and moving-average period only."""
+def _bars(df: DataFrame, rules: dict[str, Rule], spec: SeriesSpec) -> tuple[Layout, DataFrame, dict[str, Rule]]:
+    """Bars with the derivatives and one moving average per distinct period, and the rules reading them."""
     first = next(iter(rules.values()))
-    shape = lambda r: (r.relative, r.variant, r.both, r.held, r.stop_loss, r.take_profit, r.ma_period is None)
+    shape = lambda r: (r.variant, r.both, r.held, r.stop_loss, r.take_profit)
     if any(shape(r) != shape(first) for r in rules.values()):
-        raise ValueError("parameter sets of one sweep must share the form of the rule")
+        raise ValueError("the parameter sets of a sweep may differ in levels and moving-average period only")
     if first.held:
-        raise ValueError("sweeps over rules with levels held at entry are not supported: run trade_ledger per set")
-    return ColumnRule.like(first)
-
-
-def _expanded(df: DataFrame, rules: dict[str, Rule], spec: SeriesSpec) -> tuple[Layout, DataFrame, Rule]:
-    """Layout and bars, one per parameter set, with the columns the rule reads."""
-    rule = _uniform(rules)
-    periods = sorted({r.ma_period for r in rules.values() if r.ma_period})
-    lay = layout(df, spec, lookback=max(3, *[p + 1 for p in periods]) if periods else 3, lookahead=1)
+        raise ValueError("levels held at entry differ per trade: run trade_ledger per parameter set")
+    periods = sorted({r.ma_period or 0 for r in rules.values()})
+    lay = layout(df, spec, lookback=max([2, *periods]) + 1, lookahead=1)
     w = lay.window
-    d = lay.df.withColumns(
-        {
-            "doi": first_derivative(w, variant=rule.variant),
-            "d2oi": second_derivative(w, variant=rule.variant),
-            **{f"__ma_{p}": rolling_mean("oi", w, p) for p in periods},
-        }
-    )
-    sets = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias(PARAM),
-                F.lit(float(r.entry_level)).alias("__entry_level"),
-                F.lit(float(r.exit_first_level)).alias("__first_level"),
-                F.lit(float(r.exit_second_level)).alias("__second_level"),
-                (F.col(f"__ma_{r.ma_period}") if r.ma_period else F.lit(None).cast("double")).alias("oi_ma"),
-            )
-            for name, r in rules.items()
-        ]
+    averages = {f"oi_ma_{p}": rolling_mean("oi", w, p) if p else F.lit(None).cast("double") for p in periods}
+    derivatives = {
+        "doi": first_derivative(w, variant=first.variant), "d2oi": second_derivative(w, variant=first.variant)
+    }
+    return (
+        lay,
+        lay.df.withColumns(derivatives | averages),
+        {name: r.with_(ma=f"oi_ma_{r.ma_period or 0}") for name, r in rules.items()},
     )
-    d = d.select("*", F.inline(sets)).drop(*[f"__ma_{p}" for p in periods])
-    keyed = lay.spec.keyed_by(PARAM, *lay.spec.keys, copies=len(rules))
-    return Layout(d, keyed, lay.split), d, rule
 
 
 def param_sweep(df: DataFrame, rules: dict[str, Rule], spec: SeriesSpec = BAR_SERIES) -> DataFrame:
-    """Position after every bar under every parameter set."""
-    lay, d, rule = _expanded(df, rules, spec)
-    d = d.withColumns({"entry": rule.entry(), "exit": rule.exit()})
-    out = lay.finish(position_columns(lay, d))
-    return out.drop("__entry_level", "__first_level", "__second_level")
+    """Flags and position after every bar under every parameter set."""
+    lay, d, rules = _bars(df, rules, spec)
+    flags = {f"__position_{i}": (r.entry(), r.exit()) for i, r in enumerate(rules.values())}
+    d = lay.finish(position_columns(lay, d, flags))
+    views = [
+        F.struct(F.lit(name).alias(PARAM), F.col(r.ma).alias("oi_ma"), r.entry().alias("entry"), r.exit().alias("exit"),
+                 F.col(f"__position_{i}").alias("position"))
+        for i, (name, r) in enumerate(rules.items())
+    ]
+    return d.select(*df.columns, "doi", "d2oi", F.inline(F.array(*views)))
 
 
 def sweep_trades(
     df: DataFrame, rules: dict[str, Rule], commission=0.001, size=1, spec: SeriesSpec = BAR_SERIES
 ) -> DataFrame:
     """Trades of every series under every parameter set, open ones included."""
-    lay, d, rule = _expanded(df, rules, spec)
-    raw = trades_from_decisions(lay, decision_columns(lay, d, rule), rule)
-    return priced(raw, lay.spec, commission, size)
+    lay, d, rules = _bars(df, rules, spec)
+    keyed = lay.spec.keyed_by(PARAM, *lay.spec.keys, copies=len(rules))
+    bars = tradable_bars(lay, d, rules, PARAM)
+    return priced(trades_of(bars, keyed, next(iter(rules.values()))), keyed, commission, size)
 
 
 def sweep_results(

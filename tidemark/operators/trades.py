@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,58 +30,65 @@ from tidemark.schema import TRADE_FIELDS, fields_of
 SEGMENT = "__segment"
 
 
-def decision_columns(lay: Layout, df: DataFrame, rule: Rule) -> DataFrame:
-    """Flags, fills and segment numbers of every bar; needs a layout with one row of lookahead."""
-    w = lay.window
-    ready = F.col("oi_ma").isNotNull() if rule.ma_period else F.lit(True)
-    second = rule.second_exit()
-    if rule.held:
-        first = F.lit(False)
-    elif rule.both:
-        first = rule.exit()
-        second = F.lit(False)
-    else:
+def _decisions(rule: Rule) -> dict[str, Column]:
+    """What a rule says about a bar, as expressions over its derivative columns."""
+    ready = F.col(rule.ma).isNotNull() if rule.ma_period else F.lit(True)
+    first, second = F.lit(False), rule.second_exit()
+    if rule.both:
+        first, second = rule.exit(), F.lit(False)
+    elif not rule.held:
         first = rule.first_exit()
-    df = df.withColumns(
-        {
-            "__entry": ready & rule.entry(),
-            "__first": ready & first,
-            "__second": ready & second,
-            "__ready": ready,
-            # an order decided on the last bar is never filled
-            "__decides": ready & F.lead(lay.spec.ts).over(w).isNotNull(),
-            "__fill_ts": F.lead(lay.spec.ts).over(w),
-            "__fill": F.lead("open").over(w),
-            "__held_ma": F.lag("oi_ma").over(w),
-        }
-    )
-    leaves = F.col("__ready") & rule.certain_exit() & ~F.col("__entry")
-    df = df.withColumn("__leaves", leaves)
-    df = df.withColumn("__opens", F.coalesce(F.lag("__leaves").over(w), F.lit(False)))
-    entered = F.when(F.col("__entry"), F.lit(1)).otherwise(F.lit(0))
-    before_entry = F.when(F.col("__opens"), F.col("__entries") - entered)
-    return lay.running(
-        df,
-        **{
-            SEGMENT: ("sum", F.when(F.col("__opens"), F.lit(1)).otherwise(F.lit(0))),
-            "__entries": ("sum", entered),
-            "__entries_before": ("last", before_entry, "__entries"),
-        },
-    )
-
-
-def segment_columns(lay: Layout, decided: DataFrame, rule: Rule) -> DataFrame:
+    entry = ready & rule.entry()
+    return {
+        "__entry": entry,
+        "__first": ready & first,
+        "__second": ready & second,
+        # an order decided on the last bar is never filled
+        "__decides": ready & F.col("__fill_ts").isNotNull(),
+        "__leaves": ready & rule.certain_exit() & ~entry,
+    }
+
+
+def tradable_bars(lay: Layout, df: DataFrame, rules: dict[str, Rule], param: str | None = None) -> DataFrame:
+    """Bars that may trade, under each of the rules, with decisions, next-bar fill and segment number.
+
+    Needs a layout with one row of lookahead.  All rules share the windows; a bar is repeated only for the
+    rules under which it may trade, told apart by the column ``param``.
+    """
+    w, spec = lay.window, lay.spec
+    decisions = {i: _decisions(rule) for i, rule in enumerate(rules.values())}
+    fills = {"__fill_ts": F.lead(spec.ts).over(w), "__fill": F.lead("open").over(w)}
+    averages = {f"__before_{m}": F.lag(m).over(w) for m in {r.ma for r in rules.values()}}
+    df = df.withColumns(fills | averages)
+    df = df.withColumns({f"__leaves_{i}": d["__leaves"] for i, d in decisions.items()})
+    df = df.withColumns({f"__opens_{i}": F.coalesce(F.lag(f"__leaves_{i}").over(w), F.lit(False)) for i in decisions})
+    running = {}
+    for i, d in decisions.items():
+        opens, entered = F.col(f"__opens_{i}"), F.when(d["__entry"], F.lit(1)).otherwise(F.lit(0))
+        running[f"__segment_{i}"] = ("sum", F.when(opens, F.lit(1)).otherwise(F.lit(0)))
+        running[f"__entries_{i}"] = ("sum", entered)
+        running[f"__before_{i}"] = ("last", F.when(opens, F.col(f"__entries_{i}") - entered), f"__entries_{i}")
+    df = lay.finish(lay.running(df, **running))
+
+    def per_rule(i: int, name: str, rule: Rule) -> Column:
+        parts = {n: decisions[i][n] for n in ("__entry", "__first", "__second", "__decides")}
+        parts |= {SEGMENT: F.col(f"__segment_{i}"), "__held_ma": F.col(f"__before_{rule.ma}")}
+        parts["__active"] = F.col(f"__entries_{i}") > F.coalesce(F.col(f"__before_{i}"), F.lit(0))
+        if param:
+            parts[param] = F.lit(name)
+        return F.struct(*[c.alias(n) for n, c in parts.items()])
+
+    views = F.array(*[per_rule(i, name, rule) for i, (name, rule) in enumerate(rules.items())])
+    common = [*[k for k in spec.keys if k != param], spec.ts, *spec.ties, "close", "doi", "__fill_ts", "__fill"]
+    return df.select(*common, F.inline(F.filter(views, lambda v: v["__active"]))).drop("__active")
+
+
+def segment_columns(bars: DataFrame, spec: SeriesSpec, rule: Rule) -> DataFrame:
     """Bars that matter to trades, with the entry of their segment's first trade.
 
     ``__outcome`` is 'done' on the bar that completes the first trade, 'open' on the last bar of the series while it is
     held, 'step' from the first bar on that ends a trade inside its segment.
     """
-    spec = lay.spec
-    active = F.col("__entries") > F.coalesce(F.col("__entries_before"), F.lit(0))
-    bars = lay.finish(decided.filter(active)).select(
-        *spec.keys, SEGMENT, spec.ts, *spec.ties, "close", "doi", "__entry", "__first", "__second", "__decides",
-        "__fill_ts", "__fill", "__held_ma",
-    )
     w = spec.window(SEGMENT)
     so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     entry = {"entry_signal_ts": spec.ts, "entry_ts": "__fill_ts", "entry_price": "__fill", "__entry_ma": "__held_ma"}
@@ -182,14 +189,17 @@ def _stepper(keys, ts, rule: Rule):
     return step
 
 
-def trades_from_decisions(lay: Layout, decided: DataFrame, rule: Rule) -> DataFrame:
-    """Trades in the shape of ``TRADE_FIELDS``.  Where series are cut, they are checkpointed before further passes."""
-    spec, bars = lay.spec, segment_columns(lay, decided, rule)
-    schema = T.StructType(fields_of(bars.schema, spec.keys) + TRADE_FIELDS)
+def trades_of(bars: DataFrame, spec: SeriesSpec, rule: Rule) -> DataFrame:
+    """Trades in the shape of ``TRADE_FIELDS`` from tradable bars.
+
+    Where series are cut, the trades are checkpointed before further passes.
+    """
+    rows = segment_columns(bars, spec, rule)
+    schema = T.StructType(fields_of(rows.schema, spec.keys) + TRADE_FIELDS)
     # the windows have brought segments together and sorted them: this sort is dropped from the plan
-    in_order = bars.sortWithinPartitions(*spec.keys, SEGMENT, *spec.order)
+    in_order = rows.sortWithinPartitions(*spec.keys, SEGMENT, *spec.order)
     trades = in_order.mapInPandas(_stepper(spec.keys, spec.ts, rule), schema)
-    return checkpointed(trades) if lay.split else trades
+    return checkpointed(trades) if spec.max_rows > spec.slice_rows else trades
 
 
 def all_trades(
@@ -203,9 +213,8 @@ def all_trades(
     """Closed trades and, with NULL exits, the ones still open at the end of their series."""
     rule = rule_of(preset, **params)
     lay = layout(df, spec, lookback=rule.lookback + 1, lookahead=1)
-    decided = decision_columns(lay, derivative_columns(lay.df, lay.window, rule), rule)
-    raw = trades_from_decisions(lay, decided, rule)
-    return priced(raw, lay.spec, commission, size)
+    bars = tradable_bars(lay, derivative_columns(lay.df, lay.window, rule), {"": rule})
+    return priced(trades_of(bars, lay.spec, rule), lay.spec, commission, size)
 
 
 def priced(raw: DataFrame, spec: SeriesSpec, commission: float, size: int) -> DataFrame:

@@ -11,7 +11,7 @@ data.  The layout below keeps one shuffle but bounds what a task receives:
   ``lookahead`` rows after an earlier one), also to that slice as a *halo* row.  Windows are
   partitioned by (keys, slice); halo rows are dropped at the end.  The result equals the unsplit one.
 * Running values (unbounded frames) are computed per slice and completed with a prefix over
-  one summary row per slice.  That reads the sliced rows twice; operators need at most one such pass.
+  one summary row per slice.  That reads the rows of long series twice; operators need at most one such pass.
 
 Only the per-(series, chunk) counts of long series are ever gathered per key, never the rows.
 """
@@ -25,12 +25,13 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import epoch_seconds
+from tidemark.functions.columns import epoch_seconds, ordering
 
 SLICE = "__slice"
 HOME = "__home"
 CHUNK = "__chunk"
-CHUNKS_PER_SLICE = 64
+CHUNKS_PER_SLICE = 16
+SHORT = -1  # the slice of series that are not cut
 
 
 @dataclass(frozen=True)
@@ -45,7 +46,7 @@ class SeriesSpec:
     keys: tuple[str, ...] = ("instrument",)
     ts: str = "ts"
     ties: tuple[str, ...] = ()
-    slice_rows: int = 2_000_000
+    slice_rows: int = 500_000
     chunk_width: float | None = None
     broadcast_rows: int = 500_000
     max_rows: int | None = None
@@ -65,7 +66,8 @@ class SeriesSpec:
         return F.col(self.ts).cast("double") if numeric else epoch_seconds(df, self.ts)
 
     def chunk(self, df: DataFrame) -> Column:
-        return F.floor(self.position(df) / F.lit(float(self.chunk_width)))
+        # rows without a position come first in the order, hence in the lowest chunk
+        return F.coalesce(F.floor(self.position(df) / F.lit(float(self.chunk_width))), F.lit(-(2**62)))
 
     def keyed_by(self, *keys: str, copies: int = 1) -> SeriesSpec:
         """The same spec for series keyed by ``keys``, each as long as before, ``copies`` times as many."""
@@ -106,7 +108,6 @@ def chunk_counts(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     return (
         df.groupBy(*spec.keys, spec.chunk(df).alias(CHUNK))
         .agg(F.count("*").alias("n"))
-        .filter(F.col(CHUNK).isNotNull())
         .withColumn("total", F.sum("n").over(Window.partitionBy(*spec.keys)))
         .filter(F.col("total") > spec.slice_rows)
     )
@@ -190,8 +191,10 @@ class Layout:
         keys = (*self.spec.keys, SLICE)
         names = [p.name for p in (*free, *bound)] + [p.other_end for p in bound if p.scaled]
         # a slice's last own row holds its totals
-        at = F.when(F.col(SLICE) == F.col(HOME), F.struct(*self.spec.order))
-        totals = local.groupBy(*keys).agg(F.max_by(F.struct(*names), at).alias("__t")).select(*keys, "__t.*")
+        at = F.when(F.col(SLICE) == F.col(HOME), ordering(self.spec.order))
+        # short series need no totals; a filter on the slice reaches below the windows and the shuffle
+        long = local.filter(F.col(SLICE) != SHORT)
+        totals = long.groupBy(*keys).agg(F.max_by(F.struct(*names), at).alias("__t")).select(*keys, "__t.*")
         earlier = Window.partitionBy(*self.spec.keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
         carried = totals.withColumns({p.carry: _AGGREGATES[p.kind](F.col(p.name)).over(earlier) for p in free})
         carried = carried.withColumns({p.carry: _AGGREGATES[p.kind](p.moved()).over(earlier) for p in bound})
@@ -258,8 +261,8 @@ def layout(df: DataFrame, spec: SeriesSpec = BAR_SERIES, lookback: int = 0, look
     joined = rows.join(slices, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in on_names], "left")
     placed = joined.select(
         *df.columns,
-        F.coalesce(F.col(HOME), F.lit(0)).alias(HOME),
-        F.explode(F.coalesce(F.col("__slices"), F.array(F.lit(0).cast("bigint")))).alias(SLICE),
+        F.coalesce(F.col(HOME), F.lit(SHORT)).alias(HOME),
+        F.explode(F.coalesce(F.col("__slices"), F.array(F.lit(SHORT).cast("bigint")))).alias(SLICE),
     )
     return Layout(placed, spec, split=True)
 
