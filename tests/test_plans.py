@@ -67,7 +67,7 @@ def test_positions_take_one_shuffle_and_one_sort(stored):
 
 def test_ledger_shuffles_bars_once(stored):
     plan = plan_of(T.all_trades(stored, spec=WHOLE.measured(stored)))
-    below_python = plan[plan.index("MapInPandas"):]
+    below_python = plan[plan.index("MapInArrow"):]
     assert below_python.count("Exchange") == 1
     assert plan.count("Exchange") == 2  # the second one numbers the trades
 

@@ -72,8 +72,10 @@ def sweep_trades(
     """Trades of every series under every parameter set, open ones included."""
     lay, d, rules = _bars(df, rules, spec)
     keyed = lay.spec.keyed_by(PARAM, *lay.spec.keys, copies=len(rules))
-    bars = tradable_bars(lay, d, rules, PARAM)
-    return priced(trades_of(bars, keyed, next(iter(rules.values()))), keyed, commission, size)
+    numbered = list(rules.values())
+    trades = priced(trades_of(tradable_bars(lay, d, numbered, PARAM), keyed, numbered[0]), keyed, commission, size)
+    names = F.array(*[F.lit(n) for n in rules])
+    return trades.withColumn(PARAM, F.element_at(names, F.col(PARAM) + 1))
 
 
 def sweep_results(

@@ -28,6 +28,7 @@ from tidemark.plans.storage import checkpointed
 from tidemark.schema import TRADE_FIELDS, fields_of
 
 SEGMENT = "__segment"
+DONE, OPEN, STEP = 1, 2, 3
 
 
 def _decisions(rule: Rule) -> dict[str, Column]:
@@ -49,16 +50,16 @@ def _decisions(rule: Rule) -> dict[str, Column]:
     }
 
 
-def tradable_bars(lay: Layout, df: DataFrame, rules: dict[str, Rule], param: str | None = None) -> DataFrame:
+def tradable_bars(lay: Layout, df: DataFrame, rules: list[Rule], param: str | None = None) -> DataFrame:
     """Bars that may trade, under each of the rules, with decisions, next-bar fill and segment number.
 
     Needs a layout with one row of lookahead.  All rules share the windows; a bar is repeated only for the
-    rules under which it may trade, told apart by the column ``param``.
+    rules under which it may trade, told apart by their number in the column ``param``.
     """
     w, spec = lay.window, lay.spec
-    decisions = {i: _decisions(rule) for i, rule in enumerate(rules.values())}
+    decisions = {i: _decisions(rule) for i, rule in enumerate(rules)}
     fills = {"__fill_ts": F.lead(spec.ts).over(w), "__fill": F.lead("open").over(w)}
-    averages = {f"__before_{m}": F.lag(m).over(w) for m in {r.ma for r in rules.values()}}
+    averages = {f"__before_{m}": F.lag(m).over(w) for m in {r.ma for r in rules}}
     df = df.withColumns(fills | averages)
     df = df.withColumns({f"__leaves_{i}": d["__leaves"] for i, d in decisions.items()})
     df = df.withColumns({f"__opens_{i}": F.coalesce(F.lag(f"__leaves_{i}").over(w), F.lit(False)) for i in decisions})
@@ -70,15 +71,15 @@ def tradable_bars(lay: Layout, df: DataFrame, rules: dict[str, Rule], param: str
         running[f"__before_{i}"] = ("last", F.when(opens, F.col(f"__entries_{i}") - entered), f"__entries_{i}")
     df = lay.finish(lay.running(df, **running))
 
-    def per_rule(i: int, name: str, rule: Rule) -> Column:
+    def per_rule(i: int, rule: Rule) -> Column:
         parts = {n: decisions[i][n] for n in ("__entry", "__first", "__second", "__decides")}
         parts |= {SEGMENT: F.col(f"__segment_{i}"), "__held_ma": F.col(f"__before_{rule.ma}")}
         parts["__active"] = F.col(f"__entries_{i}") > F.coalesce(F.col(f"__before_{i}"), F.lit(0))
         if param:
-            parts[param] = F.lit(name)
+            parts[param] = F.lit(i)
         return F.struct(*[c.alias(n) for n, c in parts.items()])
 
-    views = F.array(*[per_rule(i, name, rule) for i, (name, rule) in enumerate(rules.items())])
+    views = F.array(*[per_rule(i, rule) for i, rule in enumerate(rules)])
     common = [*[k for k in spec.keys if k != param], spec.ts, *spec.ties, "close", "doi", "__fill_ts", "__fill"]
     return df.select(*common, F.inline(F.filter(views, lambda v: v["__active"]))).drop("__active")
 
@@ -86,8 +87,8 @@ def tradable_bars(lay: Layout, df: DataFrame, rules: dict[str, Rule], param: str
 def segment_columns(bars: DataFrame, spec: SeriesSpec, rule: Rule) -> DataFrame:
     """Bars that matter to trades, with the entry of their segment's first trade.
 
-    ``__outcome`` is 'done' on the bar that completes the first trade, 'open' on the last bar of the series while it is
-    held, 'step' from the first bar on that ends a trade inside its segment.
+    ``__outcome`` is DONE on the bar that completes the first trade, OPEN on the last bar of the series while it is
+    held, STEP from the first bar on that ends a trade inside its segment.
     """
     w = spec.window(SEGMENT)
     so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -104,69 +105,74 @@ def segment_columns(bars: DataFrame, spec: SeriesSpec, rule: Rule) -> DataFrame:
     inside = held & (stopped | (F.col("__entry") & leaves))
     bars = bars.withColumn("__inside", F.max(inside).over(so_far))
     outcome = (
-        F.when(F.col("__inside"), F.lit("step"))
-        .when(held & leaves, F.lit("done"))
-        .when(~F.col("__decides") & (F.col("__nth") > 1), F.lit("open"))
+        F.when(F.col("__inside"), F.lit(STEP))
+        .when(held & leaves, F.lit(DONE))
+        .when(~F.col("__decides") & (F.col("__nth") > 1), F.lit(OPEN))
     )
     return bars.withColumn("__outcome", outcome).filter(F.col("__outcome").isNotNull()).drop("__inside", "__nth")
 
 
 def _stepper(keys, ts, rule: Rule):
-    """The state machine over the sorted bars of unfinished segments; finished trades pass through.
+    """The state machine over the sorted bars of unfinished segments; finished trades pass through as columns.
 
     Self-contained, so that it travels to the Python workers by value.
     """
-    key_names = (*keys, SEGMENT)
     held_level = rule.exit_first_level if rule.held else None
     stop = 1 - rule.stop_loss if rule.stop_loss is not None else None
     take = 1 + rule.take_profit if rule.take_profit is not None else None
-    first_reason, second_reason = FIRST_EXIT, SECOND_EXIT
+    first_reason, second_reason, done_code, step_code = FIRST_EXIT, SECOND_EXIT, DONE, STEP
     names = [*keys, *[f.name for f in TRADE_FIELDS]]
+    segment_names = [*keys, SEGMENT]
     entry_names = ["entry_signal_ts", "entry_ts", "entry_price", "__entry_ma"]
-    inputs = [ts, "close", "doi", "__entry", "__first", "__second", "__decides", "__fill_ts", "__fill", "__held_ma"]
-    times = {ts, "__fill_ts", "entry_signal_ts", "entry_ts"}
+    bar_names = [ts, "close", "doi", "__entry", "__first", "__second", "__decides", "__fill_ts", "__fill", "__held_ma"]
 
     def reason_to_leave(close, doi, first, second, price, held_ma):
         if price and stop is not None and close <= price * stop:
             return "STOP LOSS"
         if price and take is not None and close >= price * take:
             return "TAKE PROFIT"
-        if first or (held_level is not None and held_ma is not None and doi > held_level * held_ma):
+        if first or (held_level is not None and doi > held_level * held_ma):
             return first_reason
         return second_reason if second else None
 
     def step(batches: Iterator):
-        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
-        def rows_of(pdf, columns):
-            return zip(*[pdf[c].array if c in times else pdf[c].tolist() for c in columns])
-
-        def finished(pdf):
+        def finished(batch):
             """First trades that ended with their segment, or are still open."""
-            out = pdf[[*keys, *entry_names[:3]]].copy()
-            closes = pdf["__outcome"] == "done"
-            out["exit_signal_ts"] = pdf[ts].where(closes)
-            out["exit_ts"] = pdf["__fill_ts"].where(closes)
-            out["exit_price"] = pdf["__fill"].where(closes)
-            reason = pdf["__first"].map({True: first_reason, False: second_reason})
-            out["exit_reason"] = reason.where(closes, None)
-            return out
-
-        def table(trades):
-            out = pd.DataFrame({n: [t[i] for t in trades] for i, n in enumerate(names)})
-            for c in ("entry_signal_ts", "entry_ts", "exit_signal_ts", "exit_ts"):
-                out[c] = pd.to_datetime(out[c])
-            return out
-
-        key, held = None, None
-        for pdf in batches:
-            stepping = pdf["__outcome"] == "step"
-            if not stepping.all():
-                yield finished(pdf[~stepping])
-                pdf = pdf[stepping]
+            closes = pc.equal(batch["__outcome"], done_code)
+            only_closed = lambda c: pc.if_else(closes, c, pa.scalar(None, c.type))
+            reason = pc.if_else(batch["__first"], first_reason, second_reason)
+            exits = [only_closed(c) for c in (batch[ts], batch["__fill_ts"], batch["__fill"], reason)]
+            return pa.RecordBatch.from_arrays([batch[n] for n in (*keys, *entry_names[:3])] + exits, names)
+
+        def plain(c):
+            """Values as a list; times as numbers.  A missing number is NaN, which no level compares with."""
+            if pa.types.is_timestamp(c.type):
+                c = pc.fill_null(c.cast(pa.int64()), 0)
+            fixed = pa.types.is_floating(c.type) or pa.types.is_boolean(c.type) or not c.null_count and pa.types.is_integer(c.type)
+            return c.to_numpy(zero_copy_only=False).tolist() if fixed else c.to_pylist()
+
+        def listed(batch, columns):
+            return zip(*[plain(batch[c]) for c in columns])
+
+        def table(trades, key_types, time_type):
+            types = [*key_types, time_type, time_type, pa.float64(), time_type, time_type, pa.float64(), pa.string()]
+            columns = zip(*trades)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+        key, held, types = None, None, None
+        for batch in batches:
+            types = [batch[k].type for k in keys], batch[ts].type
+            stepping = pc.equal(batch["__outcome"], step_code)
+            rest = batch.filter(pc.invert(stepping))
+            if rest.num_rows:
+                yield finished(rest)
+            batch = batch.filter(stepping)
             done = []
-            bars = zip(rows_of(pdf, key_names), rows_of(pdf, entry_names), rows_of(pdf, inputs))
-            for segment, first_trade, (at, close, doi, entry, first, second, decides, fill_ts, fill, ma) in bars:
+            rows = zip(listed(batch, segment_names), listed(batch, entry_names), listed(batch, bar_names))
+            for segment, first_trade, (at, close, doi, entry, first, second, decides, fill_ts, fill, ma) in rows:
                 if segment != key:
                     if held:
                         done.append((*key[:-1], *held[:3], None, None, None, None))
@@ -182,9 +188,9 @@ def _stepper(keys, ts, rule: Rule):
                     done.append((*key[:-1], *held[:3], at, fill_ts, fill, reason))
                     held = None
             if done:
-                yield table(done)
+                yield table(done, *types)
         if held:
-            yield table([(*key[:-1], *held[:3], None, None, None, None)])
+            yield table([(*key[:-1], *held[:3], None, None, None, None)], *types)
 
     return step
 
@@ -198,7 +204,7 @@ def trades_of(bars: DataFrame, spec: SeriesSpec, rule: Rule) -> DataFrame:
     schema = T.StructType(fields_of(rows.schema, spec.keys) + TRADE_FIELDS)
     # the windows have brought segments together and sorted them: this sort is dropped from the plan
     in_order = rows.sortWithinPartitions(*spec.keys, SEGMENT, *spec.order)
-    trades = in_order.mapInPandas(_stepper(spec.keys, spec.ts, rule), schema)
+    trades = in_order.mapInArrow(_stepper(spec.keys, spec.ts, rule), schema)
     return checkpointed(trades) if spec.max_rows > spec.slice_rows else trades
 
 
@@ -213,7 +219,7 @@ def all_trades(
     """Closed trades and, with NULL exits, the ones still open at the end of their series."""
     rule = rule_of(preset, **params)
     lay = layout(df, spec, lookback=rule.lookback + 1, lookahead=1)
-    bars = tradable_bars(lay, derivative_columns(lay.df, lay.window, rule), {"": rule})
+    bars = tradable_bars(lay, derivative_columns(lay.df, lay.window, rule), [rule])
     return priced(trades_of(bars, lay.spec, rule), lay.spec, commission, size)
 
 
