@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from catalog.indicators import FIRST, LAGS, SECOND, mean, windows
 from catalog.registry import query
+from catalog.resampling import AGGREGATES, right
 from catalog.signals import derived
 from catalog.strategy import POSITION_SQL
-from catalog.trades import recursive, walk
-from catalog.views import DAILY, INTRADAY, events_bars, lineitem_bars, rounded, with_events
+from catalog.trades import SUMMARY_SQL, recursive, walk
+from catalog.views import DAILY, INTRADAY, events_bars, lineitem_bars, rounded, with_events, with_lineitem
 from tidemark.functions.rules import absolute
 from tidemark.operators import analytics as A
 from tidemark.operators import sweeps as W
@@ -59,14 +60,17 @@ def param_grid(spark, sf_dir):
     )
 
 
-def grid_walk() -> str:
-    sql = walk("share_of_ma", "events_bars", keys="param_id, instrument", source=f"{GRID_SQL}, {GRID_BARS}")
+def grid_walk(bars: str) -> str:
+    source = f"{GRID_SQL}, {GRID_BARS.replace('events_bars', bars)}"
+    sql = walk("share_of_ma", bars, keys="param_id, instrument", source=source)
     return (sql.replace("d2oi < -0.005::DOUBLE * oi_ma", "d2oi < entry_pct * oi_ma")
             .replace("-0.001::DOUBLE * b.oi_ma", "b.exit_pct * b.oi_ma"))
 
 
-@query("rank_param_sets", recursive(with_events(f""", {grid_walk()},
-last AS (SELECT instrument, arg_max(close, ts) AS last_close FROM events_bars GROUP BY 1),
+def results_sql(bars: str) -> str:
+    """An account per parameter set and instrument, summed over the instruments."""
+    return f""", {grid_walk(bars)},
+last AS (SELECT instrument, arg_max(close, ts) AS last_close FROM {bars} GROUP BY 1),
 acc AS (SELECT grid.param_id, last.instrument, 100000.0::DOUBLE + coalesce(sum(pnl_net), 0)
     + coalesce(sum(CASE WHEN t.entry_ts IS NOT NULL AND exit_ts IS NULL THEN last_close - entry_price - commission END), 0)
     AS final_value, count(exit_ts) AS n, count(exit_ts) FILTER (pnl > 0) AS wins
@@ -74,29 +78,44 @@ acc AS (SELECT grid.param_id, last.instrument, 100000.0::DOUBLE + coalesce(sum(p
 SELECT param_id, sum(100000.0::DOUBLE) AS starting_value, round(sum(final_value), 4) AS final_value,
   round((sum(final_value) - sum(100000.0::DOUBLE)) / sum(100000.0::DOUBLE) * 100, 6) AS total_return_pct,
   CAST(sum(n) AS BIGINT) AS total_trades, round(coalesce(100.0::DOUBLE * sum(wins) / nullif(sum(n), 0), 0), 6) AS win_rate_pct
-FROM acc GROUP BY 1""")))
+FROM acc GROUP BY 1"""
+
+
+def ranked(spark, bars, spec):
+    out = W.rank_param_sets(W.sweep_results(bars, GRID, spec=spec))
+    return rounded(rounded(out, "final_value", digits=4), "total_return_pct", "win_rate_pct")
+
+
+@query("rank_param_sets", recursive(with_events(results_sql("events_bars"))))
 def rank_param_sets(spark, sf_dir):
-    results = W.sweep_results(events_bars(spark, sf_dir), GRID, spec=INTRADAY)
-    ranked = W.rank_param_sets(results)
-    return rounded(rounded(ranked, "final_value", digits=4), "total_return_pct", "win_rate_pct")
+    return ranked(spark, events_bars(spark, sf_dir), INTRADAY)
+
+
+@query("sweep_daily", recursive(with_lineitem(results_sql("lineitem_bars"))))
+def sweep_daily(spark, sf_dir):
+    """Accounts of the whole grid over the daily bars."""
+    return ranked(spark, lineitem_bars(spark, sf_dir), DAILY)
 
 
-@query("sweep_trades", recursive(with_events(f""", {grid_walk()}
+@query("sweep_trades", recursive(with_events(f""", {grid_walk('events_bars')}
 SELECT param_id, instrument, trade_no, entry_ts, entry_price, exit_ts, exit_price, exit_reason FROM trades""")))
 def sweep_trades(spark, sf_dir):
     out = W.sweep_trades(events_bars(spark, sf_dir), GRID, spec=INTRADAY)
     return out.select("param_id", "instrument", "trade_no", "entry_ts", "entry_price", "exit_ts", "exit_price", "exit_reason")
 
 
-@query("timeframe_strategy")
-def timeframe_strategy(spark, sf_dir):
-    """The main rule on bars of 3, 6, 15 and 60 minutes."""
-    bars = timeframe_sweep(events_bars(spark, sf_dir), (3, 6, 15, 60), spec=INTRADAY)
-    trades = trade_ledger(bars, spec=SeriesSpec(("timeframe", "instrument")))
-    return A.trade_summary(trades, ("timeframe",))
+TIMEFRAMES = (3, 6, 15, 60)
+FRAMES_SQL = "tf AS (" + "\nUNION ALL\n".join(
+    f"SELECT {m} AS timeframe, instrument, {right(m)} AS ts, {AGGREGATES} FROM events_bars GROUP BY 1, 2, 3" for m in TIMEFRAMES
+) + ")"
+PER_FRAME = derived("tf", "indicator", 50).replace("PARTITION BY instrument", "PARTITION BY timeframe, instrument")
 
 
-@query("sweep_daily")
-def sweep_daily(spark, sf_dir):
-    """Accounts of the whole grid over the daily bars."""
-    return W.rank_param_sets(W.sweep_results(lineitem_bars(spark, sf_dir), GRID, spec=DAILY))
+@query("timeframe_strategy", recursive(with_events(f""", {FRAMES_SQL},
+{walk('share_of_ma', 'tf', keys='timeframe, instrument', source=PER_FRAME)}
+SELECT timeframe, {SUMMARY_SQL} FROM trades WHERE exit_ts IS NOT NULL GROUP BY 1""")))
+def timeframe_strategy(spark, sf_dir):
+    """The main rule on bars of several timeframes."""
+    bars = timeframe_sweep(events_bars(spark, sf_dir), TIMEFRAMES, spec=INTRADAY)
+    trades = trade_ledger(bars, spec=SeriesSpec(("timeframe", "instrument")))
+    return rounded(A.trade_summary(trades, ("timeframe",)), "avg_win", "avg_loss", "win_rate_pct", "profit_factor")

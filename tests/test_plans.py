@@ -33,6 +33,13 @@ def test_quantile_equals_percentile(spark, monkeypatch, accuracy):
         assert_same(exact_quantile(d, "v", q, ("k",), "p"), want)
 
 
+def test_quantile_of_more_groups_than_are_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(attach_module, "BROADCAST_ROWS", 2)
+    d = spark.range(3000).select((F.col("id") % 5).alias("k"), "id", (F.col("id") % 11).cast("double").alias("v"))
+    want = d.groupBy("k").agg(F.percentile("v", 0.7).alias("p"))
+    assert_same(exact_quantile(d, "v", 0.7, ("k",), "p", spread_by=("id",)), want)
+
+
 def test_attach_beyond_the_broadcast_bound(spark, monkeypatch):
     d = spark.range(1000).select((F.col("id") % 3 * F.col("id") % 7).alias("k"), "id")
     small = spark.createDataFrame([(k, k * 10) for k in range(0, 5)], "k bigint, v bigint")

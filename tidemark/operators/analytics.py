@@ -233,8 +233,10 @@ def regime_label(
 ) -> DataFrame:
     """``regime`` from ``volatility`` (against its ``q`` quantile in the series) and ``trend``."""
     spec = spec.measured(df)
-    threshold = exact_quantile(df, "volatility", q, spec.keys, "__threshold", spec.series)
-    d = attach(df, threshold, spec.keys, "left", spec.series, spread_by=(spec.ts,))
+    threshold = exact_quantile(
+        df, "volatility", q, spec.keys, "__threshold", spec.series, (spec.ts, *spec.ties)
+    )
+    d = attach(df, threshold, spec.keys, "left", spec.series, (spec.ts, *spec.ties))
     calm = F.col("volatility") < F.col("__threshold")
     up, down, flat, wild = REGIMES
     label = (
@@ -266,7 +268,8 @@ def derivative_histogram(
     df: DataFrame, c: str = "oi_derivative", bins: int = 50, spec: SeriesSpec = BAR_SERIES
 ) -> DataFrame:
     """Equal-width bins from the smallest to the largest value, the last one closed; empty bins are listed too."""
-    values = df.filter(F.col(c).isNotNull()).select(*spec.keys, F.col(c).cast("double").alias("__v"))
+    spread = (spec.ts, *spec.ties)
+    values = df.filter(F.col(c).isNotNull()).select(*spec.keys, *spread, F.col(c).cast("double").alias("__v"))
     ends = values.groupBy(*spec.keys).agg(F.min("__v").alias("__a"), F.max("__v").alias("__b"))
     single = F.col("__a") == F.col("__b")
     ends = ends.select(
@@ -276,7 +279,7 @@ def derivative_histogram(
     )
     nth = F.least(F.floor((F.col("__v") - F.col("__from")) / F.col("__width")), F.lit(bins - 1)).cast("int")
     counts = (
-        attach(values, ends, spec.keys, rows=spec.series, spread_by=("__v",))
+        attach(values, ends, spec.keys, rows=spec.series, spread_by=spread)
         .groupBy(*spec.keys, nth.alias("bin"))
         .agg(F.count("*").alias("n"))
     )

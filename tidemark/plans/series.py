@@ -69,10 +69,12 @@ class SeriesSpec:
         # rows without a position come first in the order, hence in the lowest chunk
         return F.coalesce(F.floor(self.position(df) / F.lit(float(self.chunk_width))), F.lit(-(2**62)))
 
-    def keyed_by(self, *keys: str, copies: int = 1) -> SeriesSpec:
-        """The same spec for series keyed by ``keys``, each as long as before, ``copies`` times as many."""
-        series = self.series * copies if self.series is not None else None
-        return replace(self, keys=keys, long_chunks=self.long_chunks * copies, series=series)
+    def keyed_by(self, *keys: str, copies: int | None = None) -> SeriesSpec:
+        """The spec for series keyed by ``keys``: ``copies`` of each series as long as before, or parts of them."""
+        if copies is not None:
+            series = self.series * copies if self.series is not None else None
+            return replace(self, keys=keys, long_chunks=self.long_chunks * copies, series=series)
+        return replace(self.reordered(self.ts, *self.ties), keys=keys, series=None)
 
     def reordered(self, ts: str, *ties: str) -> SeriesSpec:
         """The same series in another order, or a selection of their rows. A bound that needs no cut still holds."""
