@@ -44,7 +44,7 @@ def two_series(spark):
 
 def test_signals_over_many_batches(spark):
     bars = two_series(spark)
-    for preset, params in (("absolute", RULE), ("share_of_ma", dict(ma_period=20))):
+    for preset, params in (("absolute", RULE), ("share_of_ma", dict(ma_period=20)), ("absolute_both", RULE)):
         live = run(spark, V.stream_signals(stream_of(spark, bars), preset, **params))
         batch = G.classify_signal(bars, preset, **params).select(*live.columns)
         assert_same(live, batch)

@@ -47,9 +47,10 @@ STATE = T.StructType(
 
 def _live_stepper(keys: tuple[str, ...], rule: Rule, lot: int, cap: int | None, per: str):
     """Derivatives as arrays, then the position bar by bar. Self-contained: it travels to the workers by value."""
-    if rule.held or rule.both or rule.relative and not rule.ma_period:
+    if rule.held:
         raise ValueError("live signals need levels that do not depend on the trade")
     keep, period, variant, relative = rule.lookback, rule.ma_period, rule.variant, rule.relative
+    both = rule.both
     enter, leave1, leave2 = rule.entry_level, rule.exit_first_level, rule.exit_second_level
     names = [*keys, *[f.name for f in LIVE_FIELDS]]
 
@@ -86,7 +87,8 @@ def _live_stepper(keys: tuple[str, ...], rule: Rule, lot: int, cap: int | None,
         doi, d2oi, ma = (a[len(tail):] for a in derivatives(oi, nth))
         scale = ma if relative else 1.0
         buys = (doi < 0) & (d2oi < enter * scale)
-        sells = ~buys & ((doi > leave1 * scale) | (d2oi > leave2 * scale))
+        first, second = doi > leave1 * scale, d2oi > leave2 * scale
+        sells = ~buys & (first & second if both else first | second)
         numbers = nth + 1 + np.arange(len(bars))
         buys &= numbers >= 2
         sells &= numbers >= 2
