@@ -128,12 +128,12 @@ LAGS = f"""l AS (SELECT *, row_number() OVER w AS nth, lag(oi, 1) OVER w AS b1,
 FIRST = {
     "indicator": "CASE WHEN nth = 1 THEN 0.0::DOUBLE ELSE (oi - b1) / 3.0::DOUBLE END",
     "frame": "(oi - b1) / 3.0::DOUBLE",
-    "rounded": "round_even((oi - b1) / 3.0::DOUBLE, 0)",
+    "rounded": "round_even((oi - b1) / 3.0::DOUBLE, 0) + 0.0::DOUBLE",
 }
 SECOND = {
     "indicator": "CASE WHEN nth = 1 THEN 0.0::DOUBLE ELSE (oi + coalesce(b2, b1) - 2 * b1) / 9.0::DOUBLE END",
     "frame": "(oi + b2 - 2 * b1) / 9.0::DOUBLE",
-    "rounded": "round_even((oi + b2 - 2 * b1) / 9.0::DOUBLE, 0)",
+    "rounded": "round_even((oi + b2 - 2 * b1) / 9.0::DOUBLE, 0) + 0.0::DOUBLE",
 }
 
 
