@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import as_col, local_micros
-from tidemark.plans.attach import attach
+from tidemark.plans.attach import BROADCAST_ROWS, attach
 from tidemark.plans.series import BAR_SERIES, SeriesSpec, layout
 
 SHORT_COVERING = "short_covering"
@@ -64,7 +64,9 @@ def atm_strike(
     pos = F.coalesce(below["pos"] + F.coalesce(upper_is_closer, F.lit(False)).cast("int"), F.lit(1))
     placed = seen.filter(F.col("__kind") == 1).select(*keys, "spot", pos.alias("atm_pos"))
     nearest = _strike_at(placed, ladder, keys, "atm_pos", "atm_strike")
-    return attach(spot, nearest, (*keys, "spot")).select(*spot.columns, "atm_pos", "atm_strike")
+    bound = lay.spec.max_rows * (lay.spec.series or 0)
+    prices_known = bound if bound <= BROADCAST_ROWS else None
+    return attach(spot, nearest, (*keys, "spot"), rows=prices_known).select(*spot.columns, "atm_pos", "atm_strike")
 
 
 def _strike_at(df: DataFrame, ladder: DataFrame, keys, pos: str, out: str) -> DataFrame:
@@ -134,7 +136,7 @@ def latest_known(
     )
     seen = lay.finish(lay.running(lay.df, __seen=("last", F.col("__value"))))
     known = seen.filter(F.col("__kind") == 1).select(ts, F.col("__seen").alias(out))
-    return attach(df, known, (ts,), "left").select(*df.columns, out)
+    return attach(df, known, (ts,), "left", rows=lay.spec.max_rows).select(*df.columns, out)
 
 
 def environment_filter(
