@@ -13,11 +13,11 @@ bounds on their intersection.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,15 +29,17 @@ ITEMS, WIDTH = 14, 3
 SHINGLE, NUMERATOR, DENOMINATOR = 4, 80, 100
 
 _UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-_WORDS = regex.compile(WORD).findall
-_SPACES = "\t\n\x0b\x0c\r "
+_WORDS = re.compile(WORD).findall
+#: White space to str.split that a word may hold.
+_OTHER_SPACES = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
 #: Characters of distinct words whose hashes a Python worker remembers.
 REMEMBERED = 8_000_000
 
 
 def words(text: str) -> list[str]:
     """The words of ``text`` with A-Z in lower case."""
-    return _WORDS(text.translate(_UPPER) if not text.isascii() else text.lower())
+    text = text.lower() if text.isascii() else text.translate(_UPPER)
+    return _WORDS(text) if _OTHER_SPACES(text) else text.split()
 
 
 class Shingler:
@@ -60,7 +62,7 @@ class Shingler:
             for w in new:
                 self.known[w] = self.hash(w.encode("utf-8", "surrogatepass"))
                 self.held += len(w)
-        hashes = np.array([self.known[w] for w in own], np.uint64)
+        hashes = np.fromiter(map(self.known.__getitem__, own), np.uint64, len(own))
         if self.held > REMEMBERED:
             self.known.clear()
             self.held = 0
@@ -80,22 +82,20 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
     draw = np.random.default_rng(20240607)
-    odd = draw.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    return odd, draw.integers(0, 1 << 63, n, dtype=np.uint64)
+    odd = draw.integers(0, 1 << 31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    return odd[:, None], draw.integers(0, 1 << 32, n, dtype=np.uint32)[:, None]
 
 
 def min_hashes(found: np.ndarray, n: int) -> np.ndarray:
-    """``n`` minhashes of a set: the smallest of its elements under n hash functions (32 bits each)."""
+    """``n`` minhashes of a set: the smallest of its elements, folded to 32 bits, under n one-to-one maps."""
     odd, plus = _multipliers(n)
-    least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
-    for part in range(0, len(found), 4096):
-        some = found[part:part + 4096]
-        for k in range(n):
-            x = some * odd[k] + plus[k]
-            x ^= x >> np.uint64(31)
-            x *= np.uint64(0x9E3779B97F4A7C15)
-            least[k] = min(least[k], x.min())
-    return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    folded = (found >> np.uint64(32)).astype(np.uint32)
+    least = np.full(n, np.iinfo(np.uint32).max, np.uint32)
+    for part in range(0, len(folded), 1024):  # what a cache holds
+        x = folded[part:part + 1024] * odd
+        x += plus
+        np.minimum(least, x.min(axis=1), out=least)
+    return least.view(np.int32)
 
 
 def _sketch(shingle: int, n: int):
