@@ -7,8 +7,8 @@ of 2 * width rows cost 2 * items * width minhashes, about the square root of wha
 Equal sets are one text from then on.  A key that no other text has cannot make a table key that two texts share, so keys are
 counted first and tables are formed from shared keys only.  Links are confirmed on full shingle sets, in two rounds that
 lose none: first every text of a table against the table's smallest id, which joins groups of copies without all of
-their pairs; then, in tables whose texts are still in several components, all pairs across components that pass two exact
-bounds on their intersection.
+their pairs; then, in tables whose texts are still in several components, all pairs across components that pass an
+exact bound on their intersection.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import WORD, checkpointed, short_batches
@@ -139,7 +139,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: i
     check = F.pandas_udf(_linked(numerator, denominator), "boolean")
     mine = sets.select(F.col("node").alias("a"), F.col("members").alias("mine"))
     theirs = sets.select(F.col("node").alias("b"), F.col("members").alias("theirs"))
-    return pairs.join(mine, "a").join(theirs, "b").where(check("mine", "theirs")).select("a", "b").distinct()
+    return pairs.join(mine, "a").join(theirs, "b").where(check("mine", "theirs")).select("a", "b")
 
 
 def _keys(items: int, width: int, at: int) -> Column:
@@ -177,32 +177,44 @@ def _same_id(sketches: DataFrame, texts: DataFrame) -> DataFrame:
     return nodes.join(first, "id").select(F.col("node").alias("a"), "b").where("a <> b")
 
 
-def _links_across(links: DataFrame, own: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
+def _links_left(links: DataFrame, own: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
     """The links between texts of one table that ``links`` leave in different components.
 
-    An intersection holds only shingles that another text in question has; with ``held`` of them out of n, a text has a
-    link only if held >= 0.8 n, and two texts only if 1.8 min(held) >= 0.8 (n + n).  Both bounds are exact.  A pair is
-    compared in the first table that it shares.
+    The texts of tables that still hold several components put their shingles in order, rarest first; those that no
+    other such text has come before all others.  If the first shingle that two texts share is at places i and j (from
+    0), they share at most min(n - i, m - j), and a link needs 0.8 / 1.8 of n + m.  So only shingles early enough in both
+    make a pair; in a group of copies, a text with many changes of its own makes few.  The bound is exact.  Of a
+    shingle's texts, those of its largest component are compared with the others only.
     """
     names = components(links)
-    named = own.join(names, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    tables = _tables(named)
-    open_keys = tables.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_keys = open_keys.where("low <> high").select("key")
-    live = checkpointed(tables.join(open_keys, "key", "left_semi"))
-    members = sets.join(live.select("node").distinct(), "node", "left_semi").select("node", F.explode("members").alias("member"))
-    members = members.distinct()
-    common = members.groupBy("member").count().where("count > 1").select("member")
-    held = members.join(common, "member", "left_semi").groupBy("node").agg(F.count("*").alias("held"))
-    live = checkpointed(live.join(held, "node").where(denominator * F.col("held") >= numerator * F.col("n")))
-    mine = live.select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "component", "n", "held", "a", "b")])
-    theirs = live.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "component", "n", "held", "a", "b")])
-    first = F.xxhash64(
-        F.array_min(F.array_intersect("a_a", "a_b")), F.array_min(F.array_intersect("b_a", "b_b")))
-    bound = (numerator + denominator) * F.least("held_a", "held_b") >= numerator * (F.col("n_a") + F.col("n_b"))
-    pairs = mine.join(theirs, "key").where(
-        (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b")) & bound & (first == F.col("key")))
-    pairs = checkpointed(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
+    tables = _tables(own.join(names, "node", "left").select("node", "a", "b", F.coalesce("component", "node").alias("component")))
+    tables = tables.select("key", "node", "component")
+    open_keys = tables.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    nodes = tables.join(open_keys.select("key"), "key", "left_semi").groupBy("node", "component").agg(F.lit(1).alias("one"))
+    texts = sets.join(nodes, "node").select("node", "component", F.xxhash64("members").alias("set"), F.size("members").alias("n"), "members")
+    members = checkpointed(texts.select("node", "component", "set", "n", F.explode("members").alias("member")))
+
+    common = members.groupBy("member").agg(F.count("*").alias("times")).where("times > 1")
+    shared = members.join(common, "member")
+    held = shared.groupBy("node", "set").agg(F.count("*").alias("held"))
+    rarest = Window.partitionBy("node", "set").orderBy("times", "member")
+    early = (
+        shared.join(held, ["node", "set"])
+        .withColumn("at", F.col("n") - F.col("held") + F.row_number().over(rarest) - 1)
+        .where(denominator * F.col("at") <= (denominator - numerator) * F.col("n"))
+        .select("member", "node", "component", "n", "at")
+    )
+    early = checkpointed(early)
+    sizes = early.groupBy("member", "component").agg(F.count("*").alias("texts"))
+    largest = sizes.groupBy("member").agg(
+        F.max(F.struct("texts", "component"))["component"].alias("largest"), F.count("*").alias("several")).where("several > 1")
+    few = early.join(largest, "member").where(F.col("component") != F.col("largest")).drop("largest", "several")
+    others = early.withColumnsRenamed({c: f"{c}_b" for c in ("node", "component", "n", "at")})
+    most = F.least(F.col("n") - F.col("at"), F.col("n_b") - F.col("at_b"))
+    pairs = few.join(others, "member").where(
+        (F.col("component") != F.col("component_b")) & ((numerator + denominator) * most >= numerator * (F.col("n") + F.col("n_b"))))
+    ends = [F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")]
+    pairs = checkpointed(pairs.groupBy(*ends).agg(F.lit(1).alias("one")))
     return _confirmed(pairs, sets, numerator, denominator)
 
 
@@ -231,14 +243,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     met = checkpointed(tables.join(centres.select("key", "centre"), "key").groupBy("node", "n", "centre").agg(F.lit(1).alias("one")))
     sizes = texts.select(F.col("node").alias("centre"), F.col("n").alias("n_centre"))
     alike = denominator * F.least("n", "n_centre") >= numerator * F.greatest("n", "n_centre")
-    stars = met.where("node <> centre").join(sizes, "centre").where(alike).select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    stars = met.where("node <> centre").join(sizes, "centre").where(alike).select(F.col("node").alias("a"), F.col("centre").alias("b"))
 
     involved = rows.join(met.select(F.col("node").alias("id")).distinct(), "id", "left_semi")
     involved = involved.groupBy("id", F.xxhash64("text").alias("content")).agg(F.first("text").alias("text"))
     sets = checkpointed(involved.select("id", "text").mapInPandas(_sets(shingle), "node bigint, members array<bigint>"))
     links = checkpointed(_confirmed(stars, sets, numerator, denominator).unionAll(_same_id(sketches, texts)))
-    across = checkpointed(_links_across(links, own, sets, numerator, denominator))
-    names = components(links.unionAll(across))
+    left = checkpointed(_links_left(links, own, sets, numerator, denominator))
+    names = components(links.unionAll(left))
 
     named = texts.join(names, "node", "left").select("mark", F.coalesce("component", "node").alias("component"))
     return (
