@@ -25,13 +25,13 @@ FROM sets s JOIN (SELECT a, min(b) AS c FROM reached GROUP BY a) r ON r.a = s.do
 
 TOP_K = """
 WITH vectors AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
   FROM embeddings
   WHERE embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-         CAST(list_sum(list_transform(generate_series(1, len(q.v)), i -> q.v[i] * c.v[i])) AS BIGINT) AS score
+         CAST(list_sum([q.v[i] * c.v[i] FOR i IN generate_series(1, len(q.v))]) AS BIGINT) AS score
   FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id
   WHERE q.vec_id % 100 = 0),
 ranked AS (

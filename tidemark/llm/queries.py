@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    bit_slices, byte_bpe, fingerprints, language, licenses, mixing, near_duplicates, pii, quality, secret_scan,
+    bit_slices, byte_bpe, fingerprints, language, licenses, mixing, near_duplicates, oracles, pii, quality, secret_scan,
 )
 
 BYTE_VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -103,4 +103,8 @@ QUERIES = {
               op8_language, op9_licenses, op10_byte_bpe)
 }
 
-SQL: dict[str, str] = {}
+SQL = {
+    "op2_near_duplicates": oracles.NEAR_DUPLICATES,
+    "op3_top_k": oracles.TOP_K,
+    "op7_mixing": oracles.MIXING,
+}
