@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from catalog.registry import query
 from catalog.views import DAILY, INTRADAY, events_bars, lineitem_bars, rounded, with_events, with_lineitem
 from tidemark.operators import indicators as I
@@ -259,3 +261,18 @@ SELECT {columns('slope', 'next_value')},
 def rolling_ols_forecast(spark, sf_dir):
     out = I.rolling_ols_forecast(lineitem_bars(spark, sf_dir), spec=DAILY)
     return rounded(out.select("instrument", "ts", "slope", "next_value", "deviates"), "slope", "next_value")
+
+
+DECAY = 1 - 2 / 27
+
+
+@query("ema_holed", with_events(f""", holed AS (SELECT instrument, ts, CASE WHEN volume % 5 <> 0 THEN close END AS price,
+  row_number() OVER (PARTITION BY instrument ORDER BY ts) AS n FROM events_bars)
+SELECT a.instrument, a.ts, a.price, round(sum(b.price * power({DECAY!r}::DOUBLE, a.n - b.n))
+  / sum(power({DECAY!r}::DOUBLE, a.n - b.n)), 6) AS ema_26
+FROM holed a LEFT JOIN holed b ON a.instrument = b.instrument AND b.n <= a.n AND b.n > a.n - 600 AND b.price IS NOT NULL
+GROUP BY 1, 2, 3"""))
+def ema_holed(spark, sf_dir):
+    """Averages over missing prices."""
+    bars = events_bars(spark, sf_dir).withColumn("price", F.when(F.col("volume") % 5 != 0, F.col("close")))
+    return I.ema(bars, (26,), "price", INTRADAY).select("instrument", "ts", "price", F.round("ema_26", 6).alias("ema_26"))

@@ -101,8 +101,7 @@ def dte_filter(spark, sf_dir):
 
 
 # the volatility index: one reading per order date, scaled into the usual range
-VIX = """vix AS (SELECT o_orderdate AS ts, round(avg(o_totalprice) / 10000, 4) AS vix FROM orders
-  WHERE day(o_orderdate) % 3 = 0 GROUP BY 1)"""
+VIX = """vix AS (SELECT o_orderdate AS ts, round(avg(o_totalprice) / 10000, 4) AS vix FROM orders GROUP BY 1)"""
 
 
 @query("environment_filter", with_lineitem(f""", {MAIN.format(bars='lineitem_bars')}, {MAIN_FLAGS}, {VIX}
@@ -111,7 +110,7 @@ WHERE entry AND v.vix <= 25 AND f.close BETWEEN 1 AND 3000"""))
 def environment_filter(spark, sf_dir):
     flags, _ = main_flags(lineitem_bars(spark, sf_dir), DAILY)
     vix = (
-        table(spark, sf_dir, "orders").filter(F.day("o_orderdate") % 3 == 0)
+        table(spark, sf_dir, "orders")
         .groupBy(F.col("o_orderdate").alias("ts")).agg(F.round(F.avg("o_totalprice") / 10000, 4).alias("vix"))
     )
     entries = flags.filter("entry").select("instrument", "ts", "close")
@@ -136,12 +135,15 @@ def instrument_master(spark, sf_dir):
 
 
 @query("instrument_lookup", with_lineitem(f""", {INSTRUMENTS},
-known AS (SELECT instrument_token, min(tradingsymbol) AS tradingsymbol FROM master WHERE exchange <> 'NATION_3' GROUP BY 1)
+known AS (SELECT instrument_token, min(tradingsymbol) AS tradingsymbol FROM master GROUP BY 1),
+listed AS (SELECT CASE WHEN instrument % 10 = 3 THEN -instrument ELSE instrument END AS instrument, ts FROM lineitem_bars)
 SELECT instrument, ts, tradingsymbol, coalesce(tradingsymbol, 'Token-' || instrument) AS label
-FROM lineitem_bars LEFT JOIN known ON instrument = instrument_token"""))
+FROM listed LEFT JOIN known ON instrument = instrument_token"""))
 def instrument_lookup(spark, sf_dir):
-    known = _instruments(spark, sf_dir).filter("exchange <> 'NATION_3'")
-    out = L.instrument_lookup(lineitem_bars(spark, sf_dir), known)
+    """Some bars carry a token that the master lacks."""
+    unknown = F.when(F.col("instrument") % 10 == 3, -F.col("instrument")).otherwise(F.col("instrument"))
+    bars = lineitem_bars(spark, sf_dir).withColumn("instrument", unknown)
+    out = L.instrument_lookup(bars, _instruments(spark, sf_dir))
     return out.select("instrument", "ts", "tradingsymbol", "label")
 
 

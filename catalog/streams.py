@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from catalog.registry import query
 from catalog.signals import LIVE
-from catalog.views import EVENTS_BARS, INTRADAY, events_bars
+from catalog.views import EVENTS_BARS, INTRADAY, events_bars, table
 from tidemark.plans.storage import new_folder
 from tidemark.streaming import bars as B
 from tidemark.streaming import live as V
@@ -35,9 +35,9 @@ emitted AS MATERIALIZED (SELECT * FROM events_bars
   WHERE ts + INTERVAL 3 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 15 MINUTE)"""
 
 
-def ticks(spark, sf_dir):
+def ticks(spark, folder, pattern="events.parquet"):
     """The events as ticks: every price column is the value."""
-    events = B.event_time(B.read_stream(spark, sf_dir, EVENTS, "events.parquet"))
+    events = B.event_time(B.read_stream(spark, folder, EVENTS, pattern))
     value = F.col("value")
     return events.select(
         F.col("event_type").alias("instrument"), "ts", "event_id", *[value.alias(c) for c in ("open", "high", "low", "close")],
@@ -62,9 +62,15 @@ def bar_stream(spark, sf_dir):
     return B.event_time(B.read_stream(spark, path, spark.read.parquet(path).schema))
 
 
-@query("stream_resample", f"WITH {EMITTED} SELECT * FROM emitted")
+@query("stream_resample", f"WITH {EVENTS_BARS} SELECT * FROM events_bars")
 def stream_resample(spark, sf_dir):
-    bars = B.stream_resample(ticks(spark, sf_dir), "3min", "15 minutes", TICKS)
+    """All bars: a last tick a day later moves the watermark past the end of every other one's bar."""
+    path = new_folder(spark, "ticks")
+    events = table(spark, sf_dir, "events")
+    events.write.parquet(path)
+    end = events.agg((F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"), F.max("event_id").alias("event_id"))
+    end.select("event_id", "ts", *[F.lit(None).cast(events.schema[c].dataType).alias(c) for c in events.columns[2:]]).write.mode("append").parquet(path)
+    bars = B.stream_resample(ticks(spark, path, None), "3min", "15 minutes", TICKS)
     return replay(spark, bars, "stream-bars").select(*BAR_COLUMNS)
 
 

@@ -399,3 +399,21 @@ def test_segments_equal_the_plain_walk(skewed_bars):
 def test_local_micros(spark):
     d = spark.createDataFrame([(dt.datetime(1970, 1, 2, 0, 0, 1, 5),)], "ts timestamp_ntz")
     assert d.select(local_micros(F.col("ts"))).first()[0] == 86_401_000_005
+
+
+def test_exponential_average_over_a_gap(spark):
+    d = bars_of(spark, [1000] * 6, closes=[0.0, 1.0, 2.0, 9.0, 4.0, 5.0])
+    holed = d.withColumn("price", F.when(F.col("close") != 9.0, F.col("close")))
+    got = [r[0] for r in by_order(I.ema(holed, (3,), "price"), "ema_3")]
+    assert got == pytest.approx([0.0, 2 / 3, 10 / 7, 10 / 7, 3.217391304, 4.254545455], abs=1e-9)
+    late = d.withColumn("price", F.when(F.col("close") > 3.0, F.col("close")))
+    assert [r[0] for r in by_order(I.ema(late, (3,), "price"), "ema_3")][:3] == [None] * 3
+
+
+def test_cap_over_all_series(spark):
+    a = bars_of(spark, [1000] * 6, name="A")
+    b = bars_of(spark, [1000] * 6, name="B")
+    both = a.unionByName(b).withColumn("entry", F.lit(True))
+    got = [r for r in by_order(G.trade_cap(both, 5, across=True), "instrument", "entry_no", order=("entry_no",))]
+    assert got == [("A", 1), ("B", 2), ("A", 3), ("B", 4), ("A", 5)]
+    assert G.trade_cap(both, 5, "day", across=True).count() == 5

@@ -10,9 +10,7 @@ from tidemark.operators import indicators as I
 from tidemark.operators import resample as R
 from tidemark.operators import signals as G
 from tidemark.operators import trades as T
-from tidemark.plans import attach as attach_module
 from tidemark.plans import quantile as quantile_module
-from tidemark.plans.attach import attach
 from tidemark.plans.quantile import exact_quantile
 
 
@@ -33,23 +31,21 @@ def test_quantile_equals_percentile(spark, monkeypatch, accuracy):
         assert_same(exact_quantile(d, "v", q, ("k",), "p"), want)
 
 
-def test_quantile_of_more_groups_than_are_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(attach_module, "BROADCAST_ROWS", 2)
+def test_quantile_without_broadcast(spark):
     d = spark.range(3000).select((F.col("id") % 5).alias("k"), "id", (F.col("id") % 11).cast("double").alias("v"))
     want = d.groupBy("k").agg(F.percentile("v", 0.7).alias("p"))
-    assert_same(exact_quantile(d, "v", 0.7, ("k",), "p", spread_by=("id",)), want)
-
-
-def test_attach_beyond_the_broadcast_bound(spark, monkeypatch):
-    d = spark.range(1000).select((F.col("id") % 3 * F.col("id") % 7).alias("k"), "id")
-    small = spark.createDataFrame([(k, k * 10) for k in range(0, 5)], "k bigint, v bigint")
-    want = {how: attach(d, small, ("k",), how) for how in ("inner", "left")}
-    assert "BroadcastHashJoin" in plan_of(want["inner"])
-    monkeypatch.setattr(attach_module, "BROADCAST_ROWS", 2)
-    for how, expected in want.items():
-        salted = attach(d, small, ("k",), how, spread_by=("id",))
-        assert "__salt" in plan_of(salted)
-        assert_same(salted, expected)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert_same(exact_quantile(d, "v", 0.7, ("k",), "p"), want)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_latest_bar_sorts_no_input_rows(stored):
+    """The newest time is a hash aggregate; a sort-based one sees only the rows of that time."""
+    plan = plan_of(G.latest_bar(stored, spec=WHOLE))
+    assert "HashAggregate" in plan and plan.index("SortAggregate") < plan.index("Join")
 
 
 @pytest.fixture(scope="module")

@@ -122,3 +122,23 @@ def test_event_kinds(spark, skewed_bars):
 
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_columns_go_by_each_files_header(spark, tmp_path):
+    write(tmp_path, "a.csv", f"date,open,high,low,close,volume,oi\n{ROW},1,2,0.5,1.5,10,100\n")
+    write(tmp_path, "b.csv", f"datetime,close,high,low,open,volume,oi,delta\n{ROW},7,9,5,6,20,200,0.25\n")
+    write(tmp_path, "c.csv", f"d,c,h,l,o,v\n{ROW},70,90,50,60,30\n")
+    rows = {r.file_name: r for r in B.read_bars_csv(spark, str(tmp_path), with_file=True).collect()}
+    assert (rows["a.csv"].open, rows["a.csv"].close, rows["a.csv"].delta) == (1.0, 1.5, None)
+    assert (rows["b.csv"].open, rows["b.csv"].close, rows["b.csv"].oi, rows["b.csv"].delta) == (6.0, 7.0, 200, 0.25)
+    assert (rows["c.csv"].open, rows["c.csv"].close, rows["c.csv"].oi) == (60.0, 70.0, 0)
+    named = {r.instrument: r.open for r in B.read_bars_directory(spark, str(tmp_path)).collect()}
+    assert named == {"a": 1.0, "b": 6.0, "c": 60.0}
+
+
+def test_a_day_is_written_by_few_tasks(spark, skewed_bars):
+    path = new_folder(spark, "bars")
+    B.write_bars(skewed_bars.repartition(16), path)
+    files = spark.read.parquet(path).inputFiles()
+    days = skewed_bars.select(F.to_date("ts")).distinct().count()
+    assert len(files) <= 2 * days

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import last_value_of, minutes_between, ordering, ratio
 from tidemark.operators.indicators import next_return
-from tidemark.plans.attach import attach
 from tidemark.plans.quantile import exact_quantile
 from tidemark.plans.series import BAR_SERIES, SeriesSpec, layout
 
@@ -232,11 +231,8 @@ def regime_label(
     df: DataFrame, q: float = 0.7, trend: float = 0.02, spec: SeriesSpec = BAR_SERIES
 ) -> DataFrame:
     """``regime`` from ``volatility`` (against its ``q`` quantile in the series) and ``trend``."""
-    spec = spec.measured(df)
-    threshold = exact_quantile(
-        df, "volatility", q, spec.keys, "__threshold", spec.series, (spec.ts, *spec.ties)
-    )
-    d = attach(df, threshold, spec.keys, "left", spec.series, (spec.ts, *spec.ties))
+    threshold = exact_quantile(df, "volatility", q, spec.keys, "__threshold")
+    d = df.join(threshold, list(spec.keys), "left")
     calm = F.col("volatility") < F.col("__threshold")
     up, down, flat, wild = REGIMES
     label = (
@@ -268,8 +264,7 @@ def derivative_histogram(
     df: DataFrame, c: str = "oi_derivative", bins: int = 50, spec: SeriesSpec = BAR_SERIES
 ) -> DataFrame:
     """Equal-width bins from the smallest to the largest value, the last one closed; empty bins are listed too."""
-    spread = (spec.ts, *spec.ties)
-    values = df.filter(F.col(c).isNotNull()).select(*spec.keys, *spread, F.col(c).cast("double").alias("__v"))
+    values = df.filter(F.col(c).isNotNull()).select(*spec.keys, F.col(c).cast("double").alias("__v"))
     ends = values.groupBy(*spec.keys).agg(F.min("__v").alias("__a"), F.max("__v").alias("__b"))
     single = F.col("__a") == F.col("__b")
     ends = ends.select(
@@ -279,7 +274,7 @@ def derivative_histogram(
     )
     nth = F.least(F.floor((F.col("__v") - F.col("__from")) / F.col("__width")), F.lit(bins - 1)).cast("int")
     counts = (
-        attach(values, ends, spec.keys, rows=spec.series, spread_by=spread)
+        values.join(ends, list(spec.keys))
         .groupBy(*spec.keys, nth.alias("bin"))
         .agg(F.count("*").alias("n"))
     )
@@ -306,7 +301,7 @@ def linear_fit(df: DataFrame, x: str, y: str, by: tuple[str, ...]) -> DataFrame:
 def fitted_values(df: DataFrame, x: str, y: str, by: tuple[str, ...], out: str = "fitted") -> DataFrame:
     """The value of its group's line at every row."""
     lines = linear_fit(df, x, y, by).drop("n")
-    d = attach(df, lines, by, "left", spread_by=(x,))
+    d = df.join(lines, list(by), "left")
     return d.withColumn(out, F.col("slope") * F.col(x) + F.col("intercept")).drop("slope", "intercept")
 
 

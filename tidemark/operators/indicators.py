@@ -43,15 +43,17 @@ def ewm_lookback(span: int) -> int:
 
 
 def ewm_columns(df: DataFrame, w: WindowSpec, inputs: dict[str, tuple[str, int]]) -> DataFrame:
-    """Add ``name = exponentially weighted mean of column over span`` for null-free columns.
+    """Add ``name = exponentially weighted mean of column over span``.
 
-    The weighted sum over the last 8**k rows is built in k passes: each adds eight lagged copies of the previous
-    pass, scaled by the decay.  Constant lags only, so the cost per row does not grow with the span
-    and all passes share the window's shuffle and sort.
+    Weights fall with every row, whether it has a value or not; a row without one keeps the mean before it, and
+    before the first value the mean is NULL.  The weighted sums of the values and of their weights over the last 8**k rows
+    are built in k passes: each adds eight lagged copies of the previous pass, scaled by the decay.  Constant lags
+    only, so the cost per row does not grow with the span and all passes share the window's shuffle and sort.  Rows
+    further back weigh less than 1e-16 of the newest.
     """
     names = list(inputs)
-    df = df.withColumn("__nth", F.row_number().over(w))
-    df = df.withColumns({f"__sum_{n}": F.col(inputs[n][0]) for n in names})
+    df = df.withColumns({f"__sum_{n}": F.coalesce(F.col(inputs[n][0]).cast("double"), F.lit(0.0)) for n in names})
+    df = df.withColumns({f"__weight_{n}": F.col(inputs[n][0]).isNotNull().cast("double") for n in names})
     for level in range(max(ewm_levels(span) for _, span in inputs.values())):
         step = LAGS_PER_LEVEL**level
         sums = {}
@@ -59,18 +61,15 @@ def ewm_columns(df: DataFrame, w: WindowSpec, inputs: dict[str, tuple[str, int]]
             span = inputs[n][1]
             if level >= ewm_levels(span):
                 continue
-            c = F.col(f"__sum_{n}")
-            total: Column = c
-            for k in range(1, LAGS_PER_LEVEL):
-                lagged = F.coalesce(F.lag(c, k * step).over(w), F.lit(0.0))
-                total = total + lagged * F.lit(_decay(span) ** (k * step))
-            sums[f"__sum_{n}"] = total
+            for c in (f"__sum_{n}", f"__weight_{n}"):
+                total: Column = F.col(c)
+                for k in range(1, LAGS_PER_LEVEL):
+                    lagged = F.coalesce(F.lag(c, k * step).over(w), F.lit(0.0))
+                    total = total + lagged * F.lit(_decay(span) ** (k * step))
+                sums[c] = total
         df = df.withColumns(sums)
-    means = {}
-    for n in names:
-        d = F.lit(_decay(inputs[n][1]))
-        means[n] = F.col(f"__sum_{n}") * (1.0 - d) / (1.0 - F.pow(d, F.col("__nth")))
-    return df.withColumns(means).drop("__nth", *[f"__sum_{n}" for n in names])
+    means = {n: ratio(F.col(f"__sum_{n}"), F.col(f"__weight_{n}")) for n in names}
+    return df.withColumns(means).drop(*[f"__sum_{n}" for n in names], *[f"__weight_{n}" for n in names])
 
 
 # --- price and volume ----------------------------------------------------------------------------

@@ -7,7 +7,6 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.plans.attach import attach
 from tidemark.plans.series import BAR_SERIES, SeriesSpec
 
 
@@ -25,7 +24,7 @@ def instrument_lookup(
     names = instruments.groupBy(F.col("instrument_token").alias(token)).agg(
         F.min_by("tradingsymbol", first_by).alias("tradingsymbol")
     )
-    found = attach(df, names, (token,), "left")
+    found = df.join(names, token, "left")
     fallback = F.concat(F.lit("Token-"), F.col(token).cast("string"))
     return found.withColumn("label", F.coalesce("tradingsymbol", fallback))
 

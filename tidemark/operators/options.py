@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import as_col, local_micros
-from tidemark.plans.attach import BROADCAST_ROWS, attach
 from tidemark.plans.series import BAR_SERIES, SeriesSpec, layout
 
 SHORT_COVERING = "short_covering"
@@ -39,14 +38,7 @@ def atm_strike(
     missing = [k for k in keys if k not in spot.columns]
     if missing:  # a spot counts for every expiry of its underlying
         shared = [k for k in keys if k in spot.columns]
-        expiries = ladder.select(*keys).distinct().groupBy(*shared).agg(
-            F.collect_set(F.struct(*missing)).alias("__chains")
-        )
-        spot = (
-            attach(spot, expiries, tuple(shared), spread_by=("spot",))
-            .withColumn("__chain", F.explode("__chains"))
-            .select(*spot.columns, *[F.col(f"__chain.{m}").alias(m) for m in missing])
-        )
+        spot = spot.join(ladder.select(*keys).distinct(), shared).select(*spot.columns, *missing)
     strikes = ladder.select(
         *keys,
         F.col("strike").cast("double").alias("__price"),
@@ -64,14 +56,12 @@ def atm_strike(
     pos = F.coalesce(below["pos"] + F.coalesce(upper_is_closer, F.lit(False)).cast("int"), F.lit(1))
     placed = seen.filter(F.col("__kind") == 1).select(*keys, "spot", pos.alias("atm_pos"))
     nearest = _strike_at(placed, ladder, keys, "atm_pos", "atm_strike")
-    bound = lay.spec.max_rows * (lay.spec.series or 0)
-    prices_known = bound if bound <= BROADCAST_ROWS else None
-    return attach(spot, nearest, (*keys, "spot"), rows=prices_known).select(*spot.columns, "atm_pos", "atm_strike")
+    return spot.join(nearest, [*keys, "spot"]).select(*spot.columns, "atm_pos", "atm_strike")
 
 
 def _strike_at(df: DataFrame, ladder: DataFrame, keys, pos: str, out: str) -> DataFrame:
     named = ladder.select(*keys, F.col("pos").alias(pos), F.col("strike").alias(out))
-    return attach(df, named, (*keys, pos), "inner").select(*df.columns, out)
+    return df.join(named, [*keys, pos]).select(*df.columns, out)
 
 
 def select_strikes(
@@ -123,8 +113,7 @@ def latest_known(
 ) -> DataFrame:
     """The latest ``value`` of one time series ``readings(ts, value)`` at or before each row of ``df``.
 
-    Only the distinct times of ``df`` are merged with the readings in time order; the rows then look their time up.  The
-    rows themselves are not shuffled while there are few enough times to broadcast.
+    Only the distinct times of ``df`` are merged with the readings in time order; the rows then look their time up.
     """
     times = df.select(ts).distinct().select(ts, F.lit(1).alias("__kind"), F.lit(0).alias("__all"))
     marks = readings.select(
@@ -136,7 +125,7 @@ def latest_known(
     )
     seen = lay.finish(lay.running(lay.df, __seen=("last", F.col("__value"))))
     known = seen.filter(F.col("__kind") == 1).select(ts, F.col("__seen").alias(out))
-    return attach(df, known, (ts,), "left", rows=lay.spec.max_rows).select(*df.columns, out)
+    return df.join(known, ts, "left").select(*df.columns, out)
 
 
 def environment_filter(

@@ -104,15 +104,32 @@ def classify_signal(df: DataFrame, preset="absolute", spec: SeriesSpec = BAR_SER
     return over_series(df, build, spec, lookback=rule.lookback)
 
 
-def latest_bar(df: DataFrame, spec: SeriesSpec = BAR_SERIES) -> DataFrame:
-    """Newest row of each series. An aggregate, so a long series is reduced before the shuffle."""
+def latest_bar(df: DataFrame, spec: SeriesSpec = BAR_SERIES, times: DataFrame | None = None) -> DataFrame:
+    """Newest row of each series; of rows of one time the last in the series' order.
+
+    The newest time of each series is a hash aggregate over keys and times, of ``times`` where that is a cheaper table of the
+    same rows.  Only rows of that time are compared as a whole.
+    """
+    named = {k: f"__newest_{k}" for k in spec.keys}
+    newest = (df if times is None else times).groupBy(*[F.col(k).alias(n) for k, n in named.items()]).agg(
+        F.max(spec.ts).alias("__newest"))
+    same = F.col(spec.ts).eqNullSafe(F.col("__newest"))
+    for k, n in named.items():
+        same = same & F.col(k).eqNullSafe(F.col(n))
     row = F.struct(*[F.col(c) for c in df.columns])
-    newest = df.groupBy(*spec.keys).agg(F.max_by(row, ordering(spec.order)).alias("__row"))
-    return newest.select("__row.*")
+    last = df.join(newest, same).groupBy(*spec.keys).agg(F.max_by(row, ordering(spec.order)).alias("__row"))
+    return last.select("__row.*")
 
 
 def latest_signal(df: DataFrame, preset="absolute", spec: SeriesSpec = BAR_SERIES, **params) -> DataFrame:
-    return latest_bar(classify_signal(df, preset, spec, **params), spec)
+    """Signal of the newest bar of each series; only those bars get their reason written out."""
+    rule = rule_of(preset, **params)
+
+    def build(d: DataFrame, w: WindowSpec) -> DataFrame:
+        return derivative_columns(d, w, rule).withColumn("__enough", F.row_number().over(w) >= 2)
+
+    newest = latest_bar(over_series(df, build, spec, lookback=rule.lookback), spec, times=df)
+    return signal_columns(newest, rule, F.col("__enough")).drop("__enough")
 
 
 # --- positions -----------------------------------------------------------------------------------
@@ -204,12 +221,19 @@ def signal_to_next_bar(df: DataFrame, spec: SeriesSpec = BAR_SERIES) -> DataFram
 
 
 def trade_cap(
-    df: DataFrame, cap: int, per: str = "run", entry: str = "entry", spec: SeriesSpec = BAR_SERIES
+    df: DataFrame, cap: int, per: str = "run", entry: str = "entry", spec: SeriesSpec = BAR_SERIES, across: bool = False
 ) -> DataFrame:
-    """Rows flagged ``entry``, at most the first ``cap`` of a series, or of each of its days."""
+    """Rows flagged ``entry``, at most the first ``cap`` of a series, or of each of its days.
+
+    With ``across`` one counter serves all series, in the order of time, then keys.
+    """
     if per not in ("run", "day"):
         raise ValueError(f"per must be 'run' or 'day', not {per!r}")
     entries = df.filter(F.col(entry))
+    if across:
+        entries = entries.withColumn("__all", F.lit(0))
+        spec = spec.keyed_by("__all").reordered(spec.ts, *spec.keys, *spec.ties)
+        return trade_cap(entries, cap, per, entry, spec).drop("__all")
     if per == "day":
         days = entries.withColumn("__day", F.to_date(spec.ts))
         by_day = spec.keyed_by(*spec.keys, "__day")

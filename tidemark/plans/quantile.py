@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.plans.attach import attach
-
 ACCURACY = 100_000
 
 
@@ -20,15 +18,9 @@ def exact_quantile(
     q: float,
     keys: tuple[str, ...],
     out: str,
-    groups: int | None = None,
-    spread_by: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per group: the linearly interpolated ``q`` quantile of the non-null values of ``c``.
-
-    ``groups`` is an upper bound on the number of groups, if known.  ``spread_by`` names columns that differ between the
-    rows of a group, so that many equal values do not meet in one task.
-    """
-    values = df.filter(F.col(c).isNotNull()).select(*keys, *spread_by, F.col(c).cast("double").alias("__v"))
+    """One row per group: the linearly interpolated ``q`` quantile of the non-null values of ``c``."""
+    values = df.filter(F.col(c).isNotNull()).select(*keys, F.col(c).cast("double").alias("__v"))
     margin = 3.0 / ACCURACY
     levels = [max(0.0, q - margin), min(1.0, q + margin)]
     bracket = values.groupBy(*keys).agg(
@@ -38,7 +30,7 @@ def exact_quantile(
         *keys, F.col("__b")[0].alias("__from"), F.col("__b")[1].alias("__to"), (F.lit(q) * (F.col("__n") - 1)).alias("__rank")
     )
     zone = F.when(F.col("__v") < F.col("__from"), -1).when(F.col("__v") > F.col("__to"), 1).otherwise(0)
-    zoned = attach(values, bracket, keys, rows=groups, spread_by=spread_by).withColumn("__zone", zone)
+    zoned = values.join(bracket, list(keys)).withColumn("__zone", zone)
     counted = (
         zoned.withColumn("__inside", F.when(F.col("__zone") == 0, F.col("__v")))
         .groupBy(*keys, "__rank", "__zone", "__inside")

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.plans.attach import attach
 from tidemark.schema import BAR_TS_FORMAT, BARS, COLUMN_ALIASES, CORE_COLUMNS
 
 CORE_TYPES = {f.name: f.dataType for f in BARS}
@@ -59,10 +58,42 @@ def read_bars_csv(
 ) -> DataFrame:
     """CSV files with a header; the first column is the time. A value that does not parse is an error.
 
-    Columns beyond the core ones are kept, as double unless ``extra_types`` says otherwise.  No inference pass: only
-    the header is looked at, and the values are read once, by the query itself.
+    Every file's columns go by its own header: files may differ in their order and in columns beyond the core ones, which are
+    NULL where a file lacks them.  These are kept as double unless ``extra_types`` says otherwise.  No inference
+    pass: only the first line of each file is looked at, and the values are read once, by the query itself.
     """
     raw = spark.read.options(header=True, mode="FAILFAST", **options).csv(paths)
+    by_header: dict[str, list[str]] = {}
+    for file in raw.inputFiles():
+        by_header.setdefault(_first_line(spark, file), []).append(file)
+    if len(by_header) <= 1:
+        return _named_bars(raw, ts_format, extra_types or {}, with_file)
+    if isinstance(paths, str) and str(options.get("recursiveFileLookup", "")).lower() != "true":
+        options = {"basePath": paths, **options}  # columns that folders stand for
+    out = None
+    for files in by_header.values():
+        part = spark.read.options(header=True, mode="FAILFAST", **options).csv(files)
+        part = _named_bars(part, ts_format, extra_types or {}, with_file)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+def _first_line(spark: SparkSession, file: str) -> str:
+    """The header of a file, read through the file system that holds it."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    stream = path.getFileSystem(conf).open(path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+    plain = stream if codec is None else codec.createInputStream(stream)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8"))
+        return reader.readLine() or ""
+    finally:
+        stream.close()
+
+
+def _named_bars(raw: DataFrame, ts_format: str, extra_types: dict[str, str], with_file: bool) -> DataFrame:
     first = raw.columns[0]
     keep = []
     if with_file:
@@ -70,7 +101,7 @@ def read_bars_csv(
                          F.col("_metadata.file_name").alias("file_name"))
         keep = ["file_path", "file_name"]
     named = raw.withColumnRenamed(first, "ts")
-    return normalize_bar_columns(_typed(_renamed(named), ts_format, extra_types or {}, keep))
+    return normalize_bar_columns(_typed(_renamed(named), ts_format, extra_types, keep))
 
 
 def _renamed(df: DataFrame) -> DataFrame:
@@ -115,7 +146,7 @@ def read_bars_directory(
         return bars.withColumn("instrument", stem).drop("file_path", "file_name")
     by = "file_path" if "file_path" in names.columns else "file_name"
     given = names.select(by, F.col("instrument").alias("__named"))
-    mapped = attach(bars, given, (by,), "left", spread_by=("ts",))
+    mapped = bars.join(given, by, "left")
     instrument = F.coalesce(F.col("__named").cast("string"), stem)
     return mapped.withColumn("instrument", instrument).drop("file_path", "file_name", "__named")
 
@@ -123,7 +154,11 @@ def read_bars_directory(
 def write_bars(
     df: DataFrame, path: str, fmt: str = "parquet", by_day: bool = True, ts: str = "ts", mode: str = "errorifexists"
 ) -> None:
-    """Write bars with a header (CSV) or as parquet, one folder per trading day so that date ranges prune files."""
+    """Write bars with a header (CSV) or as parquet, one folder per trading day so that date ranges prune files.
+
+    Rows are dealt by day first, so a day gets a file or two and not one from every task; Spark splits a day that holds
+    more than its advised partition size among several tasks.
+    """
     if fmt == "csv":
         # the reading side expects the time first
         first = [ts, *[c for c in df.columns if c != ts]]
@@ -131,7 +166,7 @@ def write_bars(
         day = F.to_date(F.substring(ts, 1, 10))
     else:
         day = F.to_date(ts)
-    writer = df.withColumn("trading_day", day) if by_day else df
+    writer = df.withColumn("trading_day", day).hint("rebalance", "trading_day") if by_day else df
     out = writer.write.mode(mode).format(fmt)
     if fmt == "csv":
         out = out.option("header", True)
