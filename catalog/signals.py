@@ -188,6 +188,15 @@ def trade_cap(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+@query("trade_cap_across", with_events(f""", {MAIN.format(bars='events_bars')}, {MAIN_FLAGS}
+SELECT instrument, ts, entry_no FROM (
+  SELECT instrument, ts, row_number() OVER (ORDER BY ts, instrument) AS entry_no FROM f WHERE entry) WHERE entry_no <= 25"""))
+def trade_cap_across(spark, sf_dir):
+    """One counter for all instruments."""
+    flags = S.signal_flags(events_bars(spark, sf_dir), spec=INTRADAY)
+    return S.trade_cap(flags, 25, spec=INTRADAY, across=True).select("instrument", "ts", "entry_no")
+
+
 def main_flags(bars, spec):
     """Bars with the main rule's columns and flags, and the measured spec."""
     spec = spec.measured(bars)

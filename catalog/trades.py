@@ -15,6 +15,9 @@ WALKS = {
     "absolute_both": ("indicator", 30, "doi < 0 AND d2oi < -3000", "doi > -30000 AND d2oi > -3000", "false", False),
     "held_ma": ("indicator", 30, "doi < 0 AND d2oi < -0.002::DOUBLE * oi_ma", "doi > -0.01::DOUBLE * held",
                 "d2oi > -0.001::DOUBLE * oi_ma", False),
+    # no average: one of a single row is always there
+    "absolute": ("rounded", 1, "doi < 0 AND d2oi < -3000", "doi > -30000", "d2oi > -3000", False),
+    "coarse_absolute": ("rounded", 1, "doi < 0 AND d2oi < -63000", "doi > -630000", "d2oi > -63000", False),
 }
 
 
@@ -99,6 +102,16 @@ def trade_ledger_held(spark, sf_dir):
     return ledger(lineitem_bars(spark, sf_dir), DAILY, "held_ma")
 
 
+@query("trade_ledger_absolute", recursive(with_lineitem(f", {walk('absolute', 'lineitem_bars')} {CLOSED}")))
+def trade_ledger_absolute(spark, sf_dir):
+    return ledger(lineitem_bars(spark, sf_dir), DAILY, "absolute")
+
+
+@query("trade_ledger_coarse", recursive(with_lineitem(f", {walk('coarse_absolute', 'lineitem_bars')} {CLOSED}")))
+def trade_ledger_coarse(spark, sf_dir):
+    return ledger(lineitem_bars(spark, sf_dir), DAILY, "coarse_absolute")
+
+
 @query("round_trip_pnl", recursive(with_events(f""", {walk('share_of_ma', 'events_bars')}
 SELECT instrument, trade_no, round((exit_price - entry_price) * 25, 6) AS lot_pnl,
   epoch(exit_ts - entry_ts) / 60.0::DOUBLE AS minutes_held FROM trades WHERE exit_ts IS NOT NULL""")))
