@@ -5,6 +5,7 @@ from __future__ import annotations
 from catalog.registry import query
 from catalog.signals import derived
 from catalog.views import DAILY, INTRADAY, events_bars, lineitem_bars, rounded, with_events, with_lineitem
+from tidemark.functions.rules import coarse_absolute
 from tidemark.operators import analytics as A
 from tidemark.operators import trades as T
 
@@ -17,7 +18,8 @@ WALKS = {
                 "d2oi > -0.001::DOUBLE * oi_ma", False),
     # no average: one of a single row is always there
     "absolute": ("rounded", 1, "doi < 0 AND d2oi < -3000", "doi > -30000", "d2oi > -3000", False),
-    "coarse_absolute": ("rounded", 1, "doi < 0 AND d2oi < -63000", "doi > -630000", "d2oi > -63000", False),
+    # sensitivity 0.5, as the default levels are beyond these tables' open interest
+    "coarse_absolute": ("rounded", 1, "doi < 0 AND d2oi < -4500", "doi > -45000", "d2oi > -4500", False),
 }
 
 
@@ -109,7 +111,7 @@ def trade_ledger_absolute(spark, sf_dir):
 
 @query("trade_ledger_coarse", recursive(with_lineitem(f", {walk('coarse_absolute', 'lineitem_bars')} {CLOSED}")))
 def trade_ledger_coarse(spark, sf_dir):
-    return ledger(lineitem_bars(spark, sf_dir), DAILY, "coarse_absolute")
+    return ledger(lineitem_bars(spark, sf_dir), DAILY, coarse_absolute(sensitivity=0.5))
 
 
 @query("round_trip_pnl", recursive(with_events(f""", {walk('share_of_ma', 'events_bars')}
