@@ -9,8 +9,6 @@ rows are then read from the most significant slice downward; rows of equal score
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window

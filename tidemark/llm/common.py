@@ -13,7 +13,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Texts per Arrow batch.  Texts may be very long, so a batch holds few of them.
 TEXTS_PER_BATCH = 256
 
-__all__ = ["TEXTS_PER_BATCH", "WORD", "checkpointed", "running_total", "sha256_of", "shared_folder", "short_batches"]
+__all__ = ["TEXTS_PER_BATCH", "WORD", "checkpointed", "partitions", "running_total", "shared_folder", "short_batches"]
 
 
 def short_batches(spark: SparkSession) -> None:
@@ -29,10 +29,6 @@ def partitions(spark: SparkSession) -> int:
 
 
 
-def sha256_of(column: Column) -> Column:
-    return F.sha2(column.cast("binary"), 256)
-
-
 def running_total(df: DataFrame, order: list[Column], value: Column, name: str) -> DataFrame:
     """``df`` with the sum of ``value`` over all rows up to and including each, in a total ``order`` over the whole table.
 
