@@ -56,10 +56,16 @@ def replay(spark, stream, name):
 
 
 def bar_stream(spark, sf_dir):
-    """Bars as they would be appended to a table: one file, replayed."""
+    """Bars as they would be appended to a table: in three parts, one after the other, each a batch of its own."""
     path = new_folder(spark, "bars")
-    events_bars(spark, sf_dir).write.parquet(path)
-    return B.event_time(B.read_stream(spark, path, spark.read.parquet(path).schema))
+    bars = events_bars(spark, sf_dir)
+    begin, end = bars.agg(F.min("ts"), F.max("ts")).first()
+    third = (end - begin) / 3
+    for since, until in ((begin, begin + third), (begin + third, begin + 2 * third), (begin + 2 * third, None)):
+        part = bars.where(F.col("ts") >= F.lit(since))
+        part = part if until is None else part.where(F.col("ts") < F.lit(until))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return B.event_time(B.read_stream(spark, path, bars.schema, files_per_trigger=1))
 
 
 @query("stream_resample", f"WITH {EVENTS_BARS} SELECT * FROM events_bars")

@@ -1,7 +1,9 @@
 """A replayed stream must give what the batch operators give."""
 
 import datetime as dt
+import time
 
+import pytest
 from conftest import make_bars, noisy_rows
 from helpers import assert_same, by_order
 from pyspark.sql import functions as F
@@ -84,6 +86,57 @@ def test_repeated_bars_are_skipped(spark):
     assert_same(live, G.classify_signal(bars, absolute(**RULE)).select(*live.columns))
 
 
+# minutes of the bars in each file, whatever batches they make up
+REPLAYS = {
+    "in order": [[0, 3, 6, 9, 12]],
+    "late by one": [[0, 3, 9], [6, 12]],
+    "one file with a repetition": [[0, 3, 6, 6, 9, 12]],
+    "a repetition in the next file": [[0, 3, 6], [6, 9, 12]],
+    "backwards": [[12], [9], [6], [3], [0]],
+}
+
+
+@pytest.mark.parametrize("name", REPLAYS)
+def test_results_do_not_depend_on_batches(spark, name):
+    """Held for a quarter of an hour, bars may come in any order; what repeats a time is counted, not lost."""
+    start = dt.datetime(2024, 1, 2, 10)
+    oi = {0: 1000, 3: 990, 6: 900, 9: 1400, 12: 1300, 60: 1}
+
+    def bar(minute):
+        return ("A", start + dt.timedelta(minutes=minute), 1.0, 1.0, 1.0, float(100 + minute), 1, oi[minute])
+
+    schema = make_bars(spark, [bar(0)]).schema
+    path = new_folder(spark, "replay")
+    for minutes in [*REPLAYS[name], [60]]:  # the last bar moves time on
+        spark.createDataFrame([bar(m) for m in minutes], schema).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.01)
+
+    def stream():
+        return B.event_time(B.read_stream(spark, path, schema, files_per_trigger=1))
+
+    rule = dict(sensitivity=1.0, feeling=10.0)
+    live = run(spark, V.stream_signals(stream(), delay=900, **rule))
+    bars = spark.createDataFrame([bar(m) for m in (0, 3, 6, 9, 12)], schema)
+    assert_same(live, G.classify_signal(bars, absolute(**rule)).select(*live.columns))
+    skipped = run(spark, V.stream_skipped(stream(), delay=900, **rule))
+    repeated = sum(map(len, REPLAYS[name])) - 5
+    assert [r.ts.minute for r in skipped.collect()] == [6] * repeated
+
+
+def test_late_bars_are_returned(spark):
+    start = dt.datetime(2024, 1, 2, 10)
+    bars = [("A", start + dt.timedelta(minutes=m), 1.0, 1.0, 1.0, float(m), 1, 100 + m) for m in (0, 3, 9, 6, 12)]
+    schema = make_bars(spark, bars).schema
+    path = new_folder(spark, "late-bars")
+    for part in (bars[:3], bars[3:]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.01)
+    live = run(spark, V.live_bars(B.event_time(B.read_stream(spark, path, schema, files_per_trigger=1))))
+    assert by_order(live, "close", "skipped") == [(0.0, False), (3.0, False), (6.0, True), (9.0, False), (12.0, False)]
+    late = live.filter("skipped").first()
+    assert late.signal is None and late.action is None and late.nth is None
+
+
 def test_resample_counts_late_rows_within_the_delay(spark):
     bars = two_series(spark)
     swapped = bars.withColumn("shift", F.col("volume") % 2)

@@ -46,12 +46,22 @@ def piecewise_segments(
 
 
 def _walker(by, ts, max_deviation, min_segment_len):
-    """The greedy walk over sorted rows. Self-contained, so that it travels to the Python workers by value."""
+    """The greedy walk over sorted rows. Self-contained, so that it travels to the Python workers by value.
+
+    A line misses no value by more than the allowed share if it runs below all values raised by it and above all
+    lowered by it.  Of these two rows of points only the hulls matter, and on a hull the point nearest to a line is found by
+    bisection; the line itself follows from running sums.  Only where the nearest point is as close as rounding can
+    blur, or a value is zero or not finite, are all distances computed.
+    """
 
     def walk(batches):
+        import math
+
         import numpy as np
         import pandas as pd
 
+        blur = 1e-7
+
         def table(found):
             names = [*by, "start_row", "end_row", "start_ts", "end_ts"]
             return pd.DataFrame({n: [f[i] for f in found] for i, n in enumerate(names)})
@@ -64,28 +74,89 @@ def _walker(by, ts, max_deviation, min_segment_len):
             with np.errstate(divide="ignore", invalid="ignore"):
                 return np.max(np.abs(y - (y.mean() + slope * x)) / y)
 
-        group, first, first_ts, last_ts, values = None, 0, None, None, []
-
-        def closed():
-            return (*group, first, first + len(values) - 1, first_ts, last_ts)
+        class Hull:
+            """The points of a growing row that a line from below (``side`` 1) or above (-1) touches first."""
+
+            def __init__(self, side):
+                self.side, self.points = side, []
+
+            def add(self, x, y):
+                points, y = self.points, self.side * y
+                while len(points) > 1:
+                    (x1, y1), (x2, y2) = points[-2], points[-1]
+                    if (y2 - y1) * (x - x2) < (y - y2) * (x2 - x1):
+                        break
+                    points.pop()
+                points.append((x, y))
+
+            def excess(self, level, slope):
+                """How far the line passes the point nearest to it; negative if it keeps away."""
+                points, level, slope = self.points, self.side * level, self.side * slope
+                low, high = 0, len(points) - 1
+                while low < high:
+                    mid = (low + high) // 2
+                    (x1, y1), (x2, y2) = points[mid], points[mid + 1]
+                    if y2 - y1 < slope * (x2 - x1):
+                        low = mid + 1
+                    else:
+                        high = mid
+                return level + slope * points[low][0] - points[low][1] if points else -math.inf
+
+        class Segment:
+            """The open segment with the sums of its line, relative to its first value."""
+
+            def __init__(self, y):
+                self.values, self.base = [], y
+                self.sum = self.sum_x = self.scale = 0.0
+                self.odd = not max_deviation >= 0  # judged by all distances
+                self.below, self.above = Hull(1), Hull(-1)
+                self.add(y)
+
+            def add(self, y):
+                n, rise = len(self.values), y - self.base
+                self.values.append(y)
+                self.odd = self.odd or y == 0 or not math.isfinite(y)
+                self.scale = max(self.scale, abs(y))
+                self.sum, self.sum_x = self.sum + rise, self.sum_x + n * rise
+                if y > 0 and not self.odd:  # the distance of a negative value counts as negative, so it allows everything
+                    self.below.add(n, rise + max_deviation * y)
+                    self.above.add(n, rise - max_deviation * y)
+
+            def holds(self):
+                """Whether the line through all values is near enough to them."""
+                n = len(self.values)
+                if not self.odd:
+                    middle = (n - 1) / 2
+                    slope = (self.sum_x - middle * self.sum) * 12 / (n * (n * n - 1)) if n > 1 else 0.0
+                    level = self.sum / n - slope * middle
+                    worst = max(self.below.excess(level, slope), self.above.excess(level, slope))
+                    if abs(worst) > blur * self.scale:
+                        return worst < 0
+                return not misses(self.values) > max_deviation
+
+        group, first, first_ts, last_ts, segment = None, 0, None, None, None
+
+        def closed(rows):
+            return (*group, first, first + rows - 1, first_ts, last_ts)
 
         for pdf in batches:
             found = []
             keys = zip(*[pdf[k].tolist() for k in by])
             for key, at, y in zip(keys, pdf[ts].array, pdf["__y"].tolist()):
                 if key != group:
-                    if values:
-                        found.append(closed())
-                    group, first, first_ts, values = key, 0, at, [y]
-                elif len(values) + 1 < min_segment_len or not misses([*values, y]) > max_deviation:
-                    values.append(y)
+                    if segment:
+                        found.append(closed(len(segment.values)))
+                    group, first, first_ts, segment = key, 0, at, Segment(y)
                 else:
-                    found.append(closed())
-                    first, first_ts, values = first + len(values), at, [y]
+                    segment.add(y)
+                    rows = len(segment.values) - 1
+                    if rows + 1 >= min_segment_len and not segment.holds():
+                        found.append(closed(rows))
+                        first, first_ts, segment = first + rows, at, Segment(y)
                 last_ts = at
             if found:
                 yield table(found)
-        if values:
-            yield table([closed()])
+        if segment:
+            yield table([closed(len(segment.values))])
 
     return walk

@@ -24,7 +24,6 @@ from tidemark.functions.columns import minutes_between
 from tidemark.functions.rules import FIRST_EXIT, SECOND_EXIT, Rule, is_true, rule_of
 from tidemark.operators.signals import derivative_columns, stop_take
 from tidemark.plans.series import BAR_SERIES, Layout, SeriesSpec, layout
-from tidemark.plans.storage import checkpointed
 from tidemark.schema import TRADE_FIELDS, fields_of
 
 SEGMENT = "__segment"
@@ -196,16 +195,12 @@ def _stepper(keys, ts, rule: Rule):
 
 
 def trades_of(bars: DataFrame, spec: SeriesSpec, rule: Rule) -> DataFrame:
-    """Trades in the shape of ``TRADE_FIELDS`` from tradable bars.
-
-    Where series are cut, the trades are checkpointed before further passes.
-    """
+    """Trades in the shape of ``TRADE_FIELDS`` from tradable bars."""
     rows = segment_columns(bars, spec, rule)
     schema = T.StructType(fields_of(rows.schema, spec.keys) + TRADE_FIELDS)
     # the windows have brought segments together and sorted them: this sort is dropped from the plan
     in_order = rows.sortWithinPartitions(*spec.keys, SEGMENT, *spec.order)
-    trades = in_order.mapInArrow(_stepper(spec.keys, spec.ts, rule), schema)
-    return checkpointed(trades) if spec.max_rows > spec.slice_rows else trades
+    return in_order.mapInArrow(_stepper(spec.keys, spec.ts, rule), schema)
 
 
 def all_trades(

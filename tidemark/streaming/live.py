@@ -1,8 +1,12 @@
 """Signals and positions on a stream of bars.
 
-The state of an instrument is small: the open-interest values a rule looks back on, the open position, and the number of
-entries. Feed it bars, not ticks: ``stream_resample`` reduces a busy instrument to one row per bar first.
-Bars must arrive in time order per instrument; a bar not newer than the last one seen is a repetition and is skipped.
+The state of an instrument is small: the open-interest values a rule looks back on, the open position, the number of
+entries, and the bars that still wait for their turn. Feed it bars, not ticks: ``stream_resample`` reduces a busy instrument to
+one row per bar first.
+
+A bar's turn comes once a bar of its instrument that is ``delay`` newer has been seen; bars are taken in time order.
+So the results do not depend on where batches end, as long as no bar comes later than that.  A bar that comes later, or
+repeats a time, is not taken, but it is not lost either: ``live_bars`` returns it with ``skipped`` set.
 """
 
 from __future__ import annotations
@@ -30,29 +34,37 @@ LIVE_FIELDS = [
     T.StructField("pnl", T.DoubleType()),
     T.StructField("minutes_held", T.DoubleType()),
     T.StructField("entries", T.LongType()),
+    T.StructField("skipped", T.BooleanType()),
 ]
 
+#: Times are microseconds since 1970.
 STATE = T.StructType(
     [
         T.StructField("oi", T.ArrayType(T.DoubleType())),
         T.StructField("nth", T.LongType()),
-        T.StructField("last_ts", T.TimestampType()),
-        T.StructField("entry_ts", T.TimestampType()),
+        T.StructField("taken", T.LongType()),
+        T.StructField("newest", T.LongType()),
+        T.StructField("entry_ts", T.LongType()),
         T.StructField("entry_price", T.DoubleType()),
         T.StructField("entries", T.LongType()),
-        T.StructField("day", T.StringType()),
+        T.StructField("day", T.LongType()),
+        T.StructField("waiting_ts", T.ArrayType(T.LongType())),
+        T.StructField("waiting_close", T.ArrayType(T.DoubleType())),
+        T.StructField("waiting_oi", T.ArrayType(T.DoubleType())),
     ]
 )
 
+DAY = 86_400_000_000
+
 
-def _live_stepper(keys: tuple[str, ...], rule: Rule, lot: int, cap: int | None, per: str):
-    """Derivatives as arrays, then the position bar by bar. Self-contained: it travels to the workers by value."""
+def _live_stepper(keys: tuple[str, ...], rule: Rule, lot: int, cap: int | None, per: str, delay: int):
+    """Derivatives and positions as arrays. Self-contained: it travels to the workers by value."""
     if rule.held:
         raise ValueError("live signals need levels that do not depend on the trade")
     keep, period, variant, relative = rule.lookback, rule.ma_period, rule.variant, rule.relative
     both = rule.both
     enter, leave1, leave2 = rule.entry_level, rule.exit_first_level, rule.exit_second_level
-    names = [*keys, *[f.name for f in LIVE_FIELDS]]
+    names, day_length = [*keys, *[f.name for f in LIVE_FIELDS]], DAY
 
     def derivatives(oi, seen):
         """Arrays for the values after the first ``seen``; ``oi`` starts with the remembered ones."""
@@ -71,47 +83,104 @@ def _live_stepper(keys: tuple[str, ...], rule: Rule, lot: int, cap: int | None,
             ma[period - 1:] = np.convolve(oi, np.ones(period), "valid") / period
         return doi, d2oi, ma
 
+    def latest(where):
+        """The last place up to each at which ``where`` holds, or -1."""
+        import numpy as np
+
+        return np.maximum.accumulate(np.where(where, np.arange(len(where)), -1))
+
+    def positions(buy, sell, held, left):
+        """Position after each bar: what the last flag asked for, without entries beyond the next ``left``."""
+        import numpy as np
+
+        at = latest(buy | sell)
+        after = np.where(at >= 0, buy[at], held)
+        if left is None:
+            return after
+        entered = np.cumsum(after & ~np.concatenate([[held], after[:-1]]))
+        return after & (entered <= left)
+
     def step(key, batches, state):
         import numpy as np
         import pandas as pd
 
-        bars = pd.concat(list(batches)).sort_values("ts", kind="stable")
-        tail, nth, last_ts, entry_ts, entry_price, entries, day = (
-            state.get if state.exists else ([], 0, None, None, None, 0, None)
-        )
-        if last_ts is not None:
-            bars = bars[bars["ts"] > pd.Timestamp(last_ts)]
-        if bars.empty:
+        if state.exists:
+            tail, nth, taken, newest, entry_ts, entry_price, entries, day, *waiting = state.get
+        else:
+            tail, nth, taken, newest, entry_ts, entry_price, entries, day, waiting = [], 0, None, None, None, None, 0, None, ([], [], [])
+
+        def table(ts, close, skipped, **known):
+            """Rows of the result; columns that are not ``known`` are NULL."""
+            empty = {"action": pd.Series([None] * len(ts), dtype=object), "entry_ts": pd.NaT, "skipped": skipped}
+            empty |= {c: pd.array([pd.NA] * len(ts), "Int64") for c in ("nth", "position", "entries")}
+            empty |= {c: np.nan for c in ("doi", "d2oi", "oi_ma", "entry_price", "pnl", "minutes_held")}
+            columns = dict(zip(keys, key)) | {"ts": ts.astype("datetime64[us]"), "close": close} | empty | known
+            out = pd.DataFrame(columns, index=range(len(ts)))[names]
+            return out.astype({"entry_ts": "datetime64[us]"})
+
+        no_ts = np.iinfo(np.int64).min  # NaT
+        # an instrument's bars of a batch: three numbers each
+        parts = [[np.asarray(w, t) for w, t in zip(waiting, (np.int64, float, float))]]
+        for b in batches:
+            parts.append([b["ts"].to_numpy("datetime64[us]").astype(np.int64), b["close"].to_numpy(float), b["oi"].to_numpy(float)])
+        ts, close, oi = (np.concatenate(c) for c in zip(*parts))
+        order = np.lexsort((oi, close, ts))
+        ts, close, oi = ts[order], close[order], oi[order]
+        fresh = np.concatenate([[True], ts[1:] != ts[:-1]]) & (ts != no_ts)
+        if taken is not None:
+            fresh &= ts > taken
+        if not fresh.all():
+            yield table(ts[~fresh], close[~fresh], True)
+            ts, close, oi = ts[fresh], close[fresh], oi[fresh]
+        if len(ts):
+            newest = int(ts[-1]) if newest is None else max(newest, int(ts[-1]))
+        elif newest is None:
             return
-        oi = np.concatenate([np.asarray(tail, dtype=float), bars["oi"].to_numpy(dtype=float)])
+        ready = int(np.searchsorted(ts, newest - delay, "right"))
+        waiting = ts[ready:].tolist(), close[ready:].tolist(), oi[ready:].tolist()
+        ts, close, oi = ts[:ready], close[:ready], np.concatenate([np.asarray(tail, dtype=float), oi[:ready]])
+        if not ready:
+            state.update((tail, nth, taken, newest, entry_ts, entry_price, entries, day, *waiting))
+            return
+
         doi, d2oi, ma = (a[len(tail):] for a in derivatives(oi, nth))
         scale = ma if relative else 1.0
         buys = (doi < 0) & (d2oi < enter * scale)
         first, second = doi > leave1 * scale, d2oi > leave2 * scale
         sells = ~buys & (first & second if both else first | second)
-        numbers = nth + 1 + np.arange(len(bars))
-        buys &= numbers >= 2
-        sells &= numbers >= 2
-        rows = []
-        for i, (ts, close, buy, sell) in enumerate(zip(bars["ts"], bars["close"].tolist(), buys, sells)):
-            action = pnl = minutes = None
-            entered = (entry_ts, entry_price)
-            if per == "day" and str(ts.date()) != day:
-                day, entries = str(ts.date()), 0
-            if buy and entry_ts is None and (cap is None or entries < cap):
-                action, entry_ts, entry_price, entries = "BUY", ts, close, entries + 1
-                entered = (ts, close)
-            elif sell and entry_ts is not None:
-                action, pnl = "SELL", (close - entry_price) * lot
-                minutes = (ts - entry_ts).total_seconds() / 60
-                entry_ts = entry_price = None
-            rows.append((*key, ts, close, numbers[i], doi[i], d2oi[i], ma[i], action, int(entry_ts is not None),
-                         *entered, pnl, minutes, entries))
-        newest = bars["ts"].iloc[-1]
-        state.update((oi[-keep:].tolist(), int(numbers[-1]), newest, entry_ts, entry_price, entries, day))
-        out = pd.DataFrame(rows, columns=names)
-        out["entry_ts"] = pd.to_datetime(out["entry_ts"])
-        yield out
+        numbers = nth + 1 + np.arange(ready)
+        buys, sells = buys & (numbers >= 2), sells & (numbers >= 2)
+
+        days = ts // day_length
+        ends = [*(np.flatnonzero(np.diff(days)) + 1), ready] if per == "day" else [ready]
+        held, begin = entry_ts is not None, 0
+        after, counts = np.empty(ready, bool), np.empty(ready, np.int64)
+        for end in ends:
+            if per == "day" and int(days[begin]) != day:
+                day, entries = int(days[begin]), 0
+            part = slice(begin, end)
+            after[part] = positions(buys[part], sells[part], held, None if cap is None else cap - entries)
+            counts[part] = entries + np.cumsum(after[part] & ~np.concatenate([[held], after[part][:-1]]))
+            held, entries, begin = bool(after[end - 1]), int(counts[end - 1]), end
+
+        before = np.concatenate([[entry_ts is not None], after[:-1]])
+        bought, sold = after & ~before, before & ~after
+        at = latest(bought)
+        in_trade = after | before
+        entered = np.where(at >= 0, ts[at], no_ts if entry_ts is None else entry_ts)
+        price = np.where(at >= 0, close[at], np.nan if entry_price is None else entry_price)
+        yield table(
+            ts, close, False, nth=numbers, doi=doi, d2oi=d2oi, oi_ma=ma,
+            action=np.where(bought, "BUY", np.where(sold, "SELL", None)),
+            position=after.astype(np.int64),
+            entry_ts=np.where(in_trade, entered, no_ts).astype("datetime64[us]"),
+            entry_price=np.where(in_trade, price, np.nan),
+            pnl=np.where(sold, (close - price) * lot, np.nan),
+            minutes_held=np.where(sold, (ts - entered) / 60e6, np.nan),
+            entries=counts,
+        )
+        trade = (int(entered[-1]), float(price[-1])) if held else (None, None)
+        state.update((oi[-keep:].tolist(), int(numbers[-1]), int(ts[-1]), newest, *trade, entries, day, *waiting))
 
     return step
 
@@ -123,11 +192,14 @@ def live_bars(
     cap: int | None = None,
     per: str = "run",
     spec: SeriesSpec = BAR_SERIES,
+    delay: float = 0,
     **params,
 ) -> DataFrame:
     """Every bar of the stream with derivatives, signal, the order it causes and the position after it.
 
     BUY acts only when flat, SELL only in a position.  ``cap`` stops entering after that many entries per run or day.
+    ``delay`` is in seconds.  Of waiting bars of one time the one of the lowest close, then open interest, is taken; all others are
+    ``skipped``, as are bars without a time and those that come when a newer one has been taken: these have no signal and no action.
     """
     if per not in ("run", "day"):
         raise ValueError(f"per must be 'run' or 'day', not {per!r}")
@@ -137,28 +209,35 @@ def live_bars(
         df.select(*spec.keys, F.col(spec.ts).alias("ts"), "close", "oi")
         .groupBy(*spec.keys)
         .applyInPandasWithState(
-            _live_stepper(spec.keys, rule, lot, cap, per),
+            _live_stepper(spec.keys, rule, lot, cap, per, round(delay * 1e6)),
             T.StructType(keys + LIVE_FIELDS),
             STATE,
             "append",
             GroupStateTimeout.NoTimeout,
         )
     )
-    clean = stepped.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in ("doi", "d2oi", "oi_ma")})
-    return signal_columns(clean, rule, F.col("nth") >= 2)
+    numbers = ("close", "doi", "d2oi", "oi_ma", "entry_price", "pnl", "minutes_held")
+    clean = stepped.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in numbers})
+    live = signal_columns(clean, rule, F.col("nth") >= 2)
+    return live.withColumns({c: F.when(~F.col("skipped"), F.col(c)) for c in ("signal", "reason")})
 
 
-def stream_signals(df: DataFrame, preset="absolute", spec: SeriesSpec = BAR_SERIES, **params) -> DataFrame:
+def stream_signals(df: DataFrame, preset="absolute", spec: SeriesSpec = BAR_SERIES, delay: float = 0, **params) -> DataFrame:
     """Derivatives and classification of each new bar."""
-    live = live_bars(df, preset, spec=spec, **params)
+    live = live_bars(df, preset, spec=spec, delay=delay, **params).filter(~F.col("skipped"))
     return live.select(*spec.keys, "ts", "close", "doi", "d2oi", "oi_ma", "signal", "reason")
 
 
+def stream_skipped(df: DataFrame, preset="absolute", spec: SeriesSpec = BAR_SERIES, delay: float = 0, **params) -> DataFrame:
+    """The bars that the other live streams do not take: repeated times, and bars later than ``delay``."""
+    return live_bars(df, preset, spec=spec, delay=delay, **params).filter("skipped").select(*spec.keys, "ts", "close")
+
+
 def stream_positions(
-    df: DataFrame, preset="absolute", lot: int = 25, spec: SeriesSpec = BAR_SERIES, **params
+    df: DataFrame, preset="absolute", lot: int = 25, spec: SeriesSpec = BAR_SERIES, delay: float = 0, **params
 ) -> DataFrame:
     """Round trips as they are closed: entry, exit, profit of the lot, minutes held, reason."""
-    closed = live_bars(df, preset, lot, spec=spec, **params).filter(F.col("action") == "SELL")
+    closed = live_bars(df, preset, lot, spec=spec, delay=delay, **params).filter(F.col("action") == "SELL")
     return closed.select(
         *spec.keys, "entry_ts", "entry_price", F.col("ts").alias("exit_ts"), F.col("close").alias("exit_price"),
         "pnl", "minutes_held", F.col("reason").alias("exit_reason"),
@@ -166,8 +245,8 @@ def stream_positions(
 
 
 def stream_trade_cap(
-    df: DataFrame, cap: int, per: str = "run", preset="absolute", spec: SeriesSpec = BAR_SERIES, **params
+    df: DataFrame, cap: int, per: str = "run", preset="absolute", spec: SeriesSpec = BAR_SERIES, delay: float = 0, **params
 ) -> DataFrame:
     """Orders while no more than ``cap`` positions are entered per run or day and instrument."""
-    acting = live_bars(df, preset, cap=cap, per=per, spec=spec, **params).filter(F.col("action").isNotNull())
+    acting = live_bars(df, preset, cap=cap, per=per, spec=spec, delay=delay, **params).filter(F.col("action").isNotNull())
     return acting.select(*spec.keys, "ts", "action", "close", F.col("entries").alias("entry_no"))
