@@ -40,3 +40,9 @@ def piecewise_segments(spark, sf_dir):
 def piecewise_segments_yearly(spark, sf_dir):
     bars = lineitem_bars(spark, sf_dir).withColumn("grp", F.year("ts"))
     return segments(bars, max_deviation=0.2, min_segment_len=1, by=("instrument", "grp"), spec=DAILY)
+
+
+@query("piecewise_segments_whole", with_lineitem(f", {walk('lineitem_bars', '0', 0.2, 5)}")
+       .replace("WITH ", "WITH RECURSIVE ", 1).replace("SELECT s.instrument, s.grp,", "SELECT s.instrument,"))
+def piecewise_segments_whole(spark, sf_dir):
+    return segments(lineitem_bars(spark, sf_dir), max_deviation=0.2, by=("instrument",), spec=DAILY)
