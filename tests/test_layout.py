@@ -1,6 +1,10 @@
 """Cutting long series must not change any result."""
 
+import datetime as dt
+import random
+
 import pytest
+from conftest import make_bars, noisy_rows
 from helpers import TINY, TINY_AUTO, TINY_SHUFFLED, WHOLE, assert_same
 from pyspark.sql import functions as F
 
@@ -84,6 +88,31 @@ def test_tiny_limits_do_cut(skewed_bars):
     assert worst[0] < 37 + 40 and worst[1] < 60 and worst[2] > 15
 
 
+def bursts(spark):
+    """One instrument: a few days apart, then most rows within seconds, the densest of them within milliseconds."""
+    start = dt.datetime(2024, 1, 1)
+    seconds = [86400.0 * i for i in range(40)] + [86400.0 * 40 + i for i in range(300)] + [86400.0 * 41 + 0.001 * i for i in range(900)]
+    rows = noisy_rows("HOT", len(seconds), 4)
+    rows = [(n, start + dt.timedelta(seconds=s), *r) for s, (n, _, *r) in zip(seconds, rows)]
+    rows += [("HOT", None, *r) for _, _, *r in noisy_rows("HOT", 1, 5)]
+    random.Random(1).shuffle(rows)
+    return make_bars(spark, rows)
+
+
+def test_bursts_are_cut(spark):
+    lay = layout(bursts(spark), TINY_AUTO, lookback=5)
+    per_slice = lay.df.groupBy(SLICE).agg(
+        F.count_if(F.col(SLICE) == F.col(HOME)).alias("own"), F.count_if(F.col(SLICE) != F.col(HOME)).alias("halo"))
+    worst = per_slice.agg(F.max("own"), F.max("halo"), F.sum("own"), F.count("*")).first()
+    assert worst[0] <= 37 * 1.25 and worst[1] <= 2 * 37 * 0.25 + 5 and worst[2] == 1241 and worst[3] > 25
+
+
+@pytest.mark.parametrize("name", ["technical_indicators", "rule_positions", "trade_ledger", "next_return", "param_sweep"])
+def test_cut_bursts_give_the_same_rows(spark, name):
+    bars = bursts(spark)
+    assert_same(OPERATORS[name](bars, TINY_AUTO), OPERATORS[name](bars, WHOLE))
+
+
 def test_short_series_are_not_cut(skewed_bars):
     assert not layout(skewed_bars, WHOLE, lookback=5).split
 

@@ -41,11 +41,13 @@ def rolling_std(c, w: WindowSpec, n: int) -> Column:
 
 
 def epoch_seconds(df: DataFrame, name: str) -> Column:
-    """Whole seconds since 1970-01-01. NTZ values are read as they stand, without any time zone."""
+    """Seconds since 1970-01-01 with their fraction. NTZ values are read as they stand, without any time zone."""
     c = F.col(name)
     if isinstance(df.schema[name].dataType, T.TimestampType):
-        return F.unix_seconds(c)
-    return local_seconds(c)
+        return F.unix_micros(c) / 1e6
+    if isinstance(df.schema[name].dataType, T.TimestampNTZType):
+        return _since_epoch(c).cast("decimal(20,6)").cast("double")
+    return local_seconds(c).cast("double")
 
 
 def _since_epoch(c: Column) -> Column:

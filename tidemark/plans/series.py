@@ -6,7 +6,8 @@ data.  The layout below keeps one shuffle but bounds what a task receives:
 
 * The series are counted first (key columns only, map-side combined).  If no series exceeds ``slice_rows`` the
   window is partitioned by the series keys alone and nothing else happens.
-* Otherwise the long series are cut into consecutive *slices* of about ``slice_rows`` rows, along time chunks.
+* Otherwise the long series are cut into consecutive *slices* of about ``slice_rows`` rows, along time chunks.  A
+  chunk that holds too many rows (a burst) is cut again into steps of its own, until none is crowded.
   A row goes to its own slice and, if it lies fewer than ``lookback`` rows before a later slice (or
   ``lookahead`` rows after an earlier one), also to that slice as a *halo* row.  Windows are
   partitioned by (keys, slice); halo rows are dropped at the end.  The result equals the unsplit one.
@@ -19,7 +20,7 @@ Only the per-(series, chunk) counts of long series are ever gathered per key, ne
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -31,6 +32,8 @@ SLICE = "__slice"
 HOME = "__home"
 CHUNK = "__chunk"
 CHUNKS_PER_SLICE = 16
+#: A chunk with more than this share of a slice's rows is cut again.
+CROWDED = 0.25
 SHORT = -1  # the slice of series that are not cut
 
 
@@ -40,7 +43,8 @@ class SeriesSpec:
 
     ``max_rows`` is an upper bound on the rows of one series when it is already known; ``measured`` fills it in.
     ``chunk_width`` is the step (seconds, or units of a numeric order column) at which a long series may be cut;
-    by default it is chosen so that the densest long series gets ``CHUNKS_PER_SLICE`` chunks per slice on average.
+    by default it is chosen so that the densest long series gets ``CHUNKS_PER_SLICE`` chunks per slice on average, and chunks
+    that hold more than ``CROWDED`` of a slice are cut again, level by level (``cuts``).  Rows of one time stay together.
     """
 
     keys: tuple[str, ...] = ("instrument",)
@@ -52,6 +56,7 @@ class SeriesSpec:
     max_rows: int | None = None
     long_chunks: int = 0
     series: int | None = None
+    cuts: tuple[DataFrame, ...] = field(default=(), compare=False, repr=False)
 
     @property
     def order(self) -> list[Column]:
@@ -65,9 +70,21 @@ class SeriesSpec:
         numeric = isinstance(df.schema[self.ts].dataType, T.NumericType)
         return F.col(self.ts).cast("double") if numeric else epoch_seconds(df, self.ts)
 
-    def chunk(self, df: DataFrame) -> Column:
+    def chunked(self, df: DataFrame) -> DataFrame:
+        """``df`` with the chunk of each row: its step along the series, then its steps inside crowded chunks."""
+        at = self.position(df)
         # rows without a position come first in the order, hence in the lowest chunk
-        return F.coalesce(F.floor(self.position(df) / F.lit(float(self.chunk_width))), F.lit(-(2**62)))
+        first = F.coalesce(F.floor(at / F.lit(float(self.chunk_width))), F.lit(-(2**62)))
+        rows = df.withColumn(CHUNK, F.array(first))
+        for cuts in self.cuts:
+            keys = [c for c in cuts.columns if c.startswith("__c_")]
+            same = F.col(CHUNK) == F.col("__crowded")
+            for k in keys:
+                same = same & F.col(k.removeprefix("__c_")).eqNullSafe(F.col(k))
+            inner = F.concat(CHUNK, F.array(F.floor((at - F.col("__low")) / F.col("__step"))))
+            rows = rows.join(cuts, same, "left").select(
+                *df.columns, F.when(F.col("__crowded").isNull(), F.col(CHUNK)).otherwise(inner).alias(CHUNK))
+        return rows
 
     def keyed_by(self, *keys: str, copies: int | None = None) -> SeriesSpec:
         """The spec for series keyed by ``keys``: ``copies`` of each series as long as before, or parts of them."""
@@ -80,7 +97,7 @@ class SeriesSpec:
         """The same series in another order, or a selection of their rows. A bound that needs no cut still holds."""
         if self.max_rows is not None and self.max_rows <= self.slice_rows:
             return replace(self, ts=ts, ties=ties)
-        return replace(self, ts=ts, ties=ties, chunk_width=None, max_rows=None, long_chunks=0)
+        return replace(self, ts=ts, ties=ties, chunk_width=None, max_rows=None, long_chunks=0, cuts=())
 
     def measured(self, df: DataFrame) -> SeriesSpec:
         """Count the rows of every series (one small job) unless a bound is known."""
@@ -99,8 +116,20 @@ class SeriesSpec:
             return known
         if known.chunk_width is None:
             known = replace(known, chunk_width=size["width"] or 1.0)
+            while not (cuts := known.crowded(df)).isEmpty():
+                known = replace(known, cuts=(*known.cuts, cuts))
         return replace(known, long_chunks=chunk_counts(df, known).count())
 
+    def crowded(self, df: DataFrame) -> DataFrame:
+        """The crowded chunks of more than one time, where each begins and the step that cuts it."""
+        at = self.position(df)
+        per_chunk = self.chunked(df.withColumn("__at", at)).groupBy(*self.keys, CHUNK).agg(
+            F.count("*").alias("n"), F.min("__at").alias("__low"), F.max("__at").alias("__high"))
+        many = (F.col("n") > CROWDED * self.slice_rows) & (F.col("__high") > F.col("__low"))
+        step = (F.col("__high") - F.col("__low")) * self.slice_rows / (CHUNKS_PER_SLICE * F.col("n"))
+        return per_chunk.where(many).select(
+            *[F.col(k).alias(f"__c_{k}") for k in self.keys], F.col(CHUNK).alias("__crowded"), "__low", step.alias("__step"))
+
 
 BAR_SERIES = SeriesSpec()
 
@@ -108,7 +137,7 @@ BAR_SERIES = SeriesSpec()
 def chunk_counts(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Rows per time chunk of the long series."""
     return (
-        df.groupBy(*spec.keys, spec.chunk(df).alias(CHUNK))
+        spec.chunked(df).groupBy(*spec.keys, CHUNK)
         .agg(F.count("*").alias("n"))
         .withColumn("total", F.sum("n").over(Window.partitionBy(*spec.keys)))
         .filter(F.col("total") > spec.slice_rows)
@@ -259,8 +288,7 @@ def layout(df: DataFrame, spec: SeriesSpec = BAR_SERIES, lookback: int = 0, look
         slices = F.broadcast(slices)
     on_names = (*spec.keys, CHUNK)
     slices = slices.select(*[F.col(c).alias(f"__k_{c}") for c in on_names], HOME, "__slices")
-    rows = df.withColumn(CHUNK, spec.chunk(df))
-    joined = rows.join(slices, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in on_names], "left")
+    joined = spec.chunked(df).join(slices, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in on_names], "left")
     placed = joined.select(
         *df.columns,
         F.coalesce(F.col(HOME), F.lit(SHORT)).alias(HOME),
