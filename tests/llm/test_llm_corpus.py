@@ -352,13 +352,13 @@ def test_language(spark):
     kinds = {"en": ["the", "thing", "and", "over", "there"], "de": ["und", "nicht", "über", "schön", "keit"], "fr": ["être", "queue", "le", "voix", "çà"]}
     rows = [(i, prose(rng, rng.randrange(2, 30), kinds[lang]), lang, "s", 1) for i, lang in enumerate(rng.choices(list(kinds), k=300))]
     rows += [(1000, None, "en", "s", 1), (1001, "123 --- 45", "de", "s", 1), (1002, "", None, None, None), (None, "und nicht über", None, None, None),
-             (1003, "the " * 50_000, None, "s", 1), (1004, "thering" * 3000, "xx", "s", 1)]
+             (1003, "the " * 50_000, None, "s", 1), (1004, "thering" * 3000, "xx", "s", 1), (1005, "½ Ⅷ ² 5", "de", "s", 1)]
     df = spark.createDataFrame(rows, DOCS)
     model = language.fit(df, public_tokenizers.path(PIECE_VOCABULARY))
     got = {r["doc_id"]: r for r in language.predict(df, model).collect()}
     held = [r for r in rows if r[0] is not None and r[0] < 1000 and zlib.crc32(str(r[0]).encode()) % 3 == 1]
     assert len(held) > 50 and sum(got[i]["lang_pred"] == lang for i, _, lang, *_ in held) >= 0.97 * len(held)
-    assert all(got[i]["lang_pred"] == "und" and got[i]["score"] == 0 for i in (1000, 1001, 1002))
+    assert all(got[i]["lang_pred"] == "und" and got[i]["score"] == 0 for i in (1000, 1001, 1002, 1005))
     assert got[1003]["lang_pred"] == "en" and got[None]["lang_pred"] == "de"
     assert all(0 <= r["score"] <= 1 for r in got.values())
     only = {r[0] for r in rows if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 3 != 1}

@@ -9,6 +9,7 @@ word expects.  The fit uses a bounded sample of labelled texts; every text is sc
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
@@ -35,7 +36,9 @@ WORDS_AT_ONCE = 8192
 #: Characters of distinct words whose scores a Python worker remembers.
 REMEMBERED = 3_000_000
 
-_WORDS = re.compile(r"[^\W\d_]+").findall
+# What \w holds beside letters, decimal digits and the underscore: fractions, superscripts, letter-like numerals.
+_NUMERALS = "".join(c for c in map(chr, range(0x80, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_WORDS = re.compile(rf"[^\W\d_{_NUMERALS}]+").findall
 
 
 @lru_cache(maxsize=2)
