@@ -9,7 +9,6 @@ word expects.  The fit uses a bounded sample of labelled texts; every text is sc
 from __future__ import annotations
 
 import re
-import sys
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
@@ -36,9 +35,7 @@ WORDS_AT_ONCE = 8192
 #: Characters of distinct words whose scores a Python worker remembers.
 REMEMBERED = 3_000_000
 
-# What \w holds beside letters, decimal digits and the underscore: fractions, superscripts, letter-like numerals.
-_NUMERALS = "".join(c for c in map(chr, range(0x80, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_WORDS = re.compile(rf"[^\W\d_{_NUMERALS}]+").findall
+_WORDS = re.compile(r"[^\W\d_]+").findall
 
 
 @lru_cache(maxsize=2)
@@ -125,7 +122,11 @@ def _by_length(some: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def words(text: str) -> list[str]:
     """Runs of letters, in lower case."""
-    return _WORDS(text.lower())
+    found = _WORDS(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    # \w also holds fractions, superscripts and letter-like numerals
+    return [part for w in found for part in "".join([c if c.isalpha() else " " for c in w]).split()]
 
 
 @dataclass
