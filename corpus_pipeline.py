@@ -17,10 +17,16 @@ from tidemark.plans.storage import new_folder
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaves out documents without a language: null texts and texts without a letter.  All columns stay as they are."""
+    """Leaves out documents without a language: null texts and texts without a letter.  All columns stay as they are.
+
+    The criterion is the model's score, which is 0 just for those, whatever label is likeliest.  Where nothing can be
+    learned (no learnable row has a ``lang``) there is no score, and texts are asked for a letter themselves.
+    """
     model = language.fit(docs, public_tokenizers.path(PIECE_VOCABULARY))
+    if not model.languages:
+        return docs.where(language.has_letter(docs))
     said = docs.withColumn("__said", language.prediction(docs, model))
-    return said.where("__said.lang_pred <> 'und'").select(*docs.columns)
+    return said.where("__said.score > 0").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,6 +47,18 @@ def test_language_stage_keeps_texts_with_letters(spark, rows):
     assert out == sorted((r for r in rows if r[1] and any(c.isalpha() for c in r[1])), key=repr)
 
 
+@pytest.mark.parametrize("change", [
+    lambda r: (r[0], r[1], None, *r[3:]),
+    lambda r: (None, *r[1:]),
+    lambda r: (*r[:2], r[2] if r[2] == "en" else "und", *r[3:]),
+], ids=["no lang", "no id", "a lang und"])
+def test_language_stage_keeps_texts_with_letters_whatever_is_learned(spark, rows, change):
+    changed = [change(r) for r in rows]
+    columns, out = stage(spark, "language", changed)
+    assert columns == COLUMNS
+    assert out == sorted((r for r in changed if r[1] and any(c.isalpha() for c in r[1])), key=repr)
+
+
 def test_near_duplicate_stage_keeps_one_of_each_group(spark, rows):
     columns, out = stage(spark, "near_duplicates", rows)
     names = plain_components([(r[0], r[1]) for r in rows])

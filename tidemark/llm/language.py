@@ -315,6 +315,17 @@ def prediction(df: DataFrame, model: Model, text_col: str = "text") -> Column:
     return F.pandas_udf(_predictor(sent), "lang_pred string, score double")(F.col(text_col))
 
 
+def _lettered(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for texts in batches:
+        yield pd.Series([t is not None and any(map(str.isalpha, t)) for t in texts], dtype=bool)
+
+
+def has_letter(df: DataFrame, text_col: str = "text") -> Column:
+    """Whether each text of ``df`` has a letter, and so a word to tell a language by; a null text has none."""
+    short_batches(df.sparkSession)
+    return F.pandas_udf(_lettered, "boolean")(F.col(text_col))
+
+
 def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lang_pred, score) for every row of ``df``.
 
@@ -324,4 +335,4 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return df.select(F.col(id_col), prediction(df, model, text_col).alias("__said")).select(id_col, "__said.*")
 
 
-__all__ = ["Model", "fit", "held_out", "learnable", "predict", "prediction", "vocabulary", "words"]
+__all__ = ["Model", "fit", "has_letter", "held_out", "learnable", "predict", "prediction", "vocabulary", "words"]
