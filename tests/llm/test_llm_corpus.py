@@ -308,6 +308,34 @@ def test_mixing_of_odd_tables(spark):
     assert mixing.mixed(same).columns == ["doc_id", "source", "text"]
 
 
+@pytest.mark.parametrize("i", [7, None])
+def test_mixing_deals_repeated_rows_over_the_cut(spark, i):
+    rng = random.Random(5)
+    rows = [(n, "a", prose(rng, rng.randrange(1, 9)), n) for n in range(100, 130)]
+    rows += [(i, "a", "one two three", n) for n in range(200)]  # more than half of all words, so the cut falls inside them
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, size int").repartition(5)
+    want = Counter()
+    for r in mixing.passes(df).collect():
+        want[r["id"]] += r["times"]
+    assert want[i] % 200
+    out = mixing.mixed(df)
+    assert out.columns == df.columns
+    by_row = Counter(tuple(r) for r in out.collect())
+    assert set(by_row) <= set(rows)
+    got = Counter()
+    for r in rows:
+        got[r[0]] += by_row[r]
+    assert +got == +want
+    assert {by_row[r] for r in rows if r[0] == i} == {want[i] // 200, want[i] // 200 + 1}
+
+
+def test_mixing_marks_rows_without_id_by_text(spark):
+    df = spark.createDataFrame([(None, "a", f"text {n}") for n in range(50)] + [(3, "a", "x")], "doc_id long, source string, text string")
+    out = mixing.passes(df).collect()
+    assert len({r["mark"] for r in out if r["id"] is None}) == 50
+    assert [r["mark"] for r in out if r["id"] == 3] == [hashlib.md5(b"3").hexdigest()]
+
+
 def plain_forward(word, pieces, probability):
     """The sum over all segmentations, one by one."""
     def walk(rest):

@@ -55,15 +55,15 @@ def passes(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", te
            weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2) -> DataFrame:
     """(id, source, size, source_size, target, mark, times): how often the mix takes each row of ``df``.
 
-    Rows of an equal id and size are equal; ties in the shuffled order (by a hash of the id) go to them in any order, which
-    changes no result.  Null texts have size 0; a null source is a source, the last one; with no words at all every target
+    Rows of an equal id and size are equal; ties in the shuffled order (by a hash of the id, or of the text where there is
+    no id) go to them in any order, which changes no result.  Null texts have size 0; a null source is a source, the last one; with no words at all every target
     is 0 and every row is taken once in each pass.  An empty table gives no rows.  Other columns are not read.
     """
     docs = df.select(
         F.col(id_col).alias("id"),
         F.col(source_col).alias("source"),
         n_words(F.col(text_col)).alias("size"),
-        F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).cast("binary")).alias("mark"),
+        F.md5(F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("null "), F.xxhash64(text_col))).cast("binary")).alias("mark"),
         F.xxhash64(text_col).alias("content"),
     )
     docs = checkpointed(docs)  # texts are read once
@@ -94,14 +94,48 @@ def passes(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", te
 
 
 def mixed(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **settings) -> DataFrame:
-    """The mix itself: every row of ``df`` as often as it is taken, all columns as they were."""
+    """The mix itself: every row of ``df`` as often as it is taken, all columns as they were.
+
+    Repeated rows (of an equal id, text and source) are taken as often together as ``passes`` counts them together.  Where the
+    cut falls inside them, some are taken once more than the others; which ones is not fixed.
+    """
     times = passes(df, id_col, source_col, text_col, **settings)
-    counts = times.groupBy(F.col("id").alias("__id"), F.col("content").alias("__content"), F.col("source").alias("__source")).agg(
-        F.min("times").cast("int").alias("__times"))
+    counts = checkpointed(
+        times.groupBy(F.col("id").alias("__id"), F.col("content").alias("__content"), F.col("source").alias("__source"))
+        .agg(F.sum("times").alias("__sum"), F.count(F.lit(1)).alias("__copies"))
+    )
     keyed = df.withColumn("__text", F.xxhash64(text_col))
-    match = keyed[id_col].eqNullSafe(counts["__id"]) & (keyed["__text"] == counts["__content"]) & keyed[source_col].eqNullSafe(counts["__source"])
+
+    def matched(some: DataFrame) -> DataFrame:
+        match = keyed[id_col].eqNullSafe(some["__id"]) & (keyed["__text"] == some["__content"]) & keyed[source_col].eqNullSafe(some["__source"])
+        return keyed.join(some, match)
+
+    even = F.col("__sum") % F.col("__copies") == 0
+    out = matched(counts.where(even)).withColumn("__times", F.expr("__sum div __copies"))
+    cut = counts.where(~even)  # about one group of repeated rows a source
+    if not cut.isEmpty():
+        out = out.unionByName(_dealt(matched(cut)))
+    return (
+        out.withColumn("__times", F.explode(F.expr("CASE WHEN __times > 0 THEN sequence(1L, __times) ELSE array() END")))
+        .drop("__id", "__content", "__source", "__text", "__sum", "__copies", "__times")
+    )
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``__times``, ``__sum`` of each group of repeated rows dealt evenly over its ``__copies`` rows.
+
+    Rows are numbered in one order of all groups, so a large group is no single task.
+    """
+    group = ["__id", "__content", "__source"]
+    rows = rows.withColumn("__salt", F.monotonically_increasing_id())
+    order = [x for c in group for x in (F.col(c).isNull(), F.col(c))]
+    turns = running_total(rows, [*order, F.col("__salt")], F.lit(1), "__turn")
+    turns = checkpointed(turns)  # the numbers below must be those of one run
+    first = turns.groupBy(*[F.col(c).alias(f"{c}_of") for c in group]).agg(F.min("__turn").alias("__first"))
+    same = [F.col(c).eqNullSafe(F.col(f"{c}_of")) for c in group]
+    extra = (F.col("__turn") - F.col("__first") < F.col("__sum") % F.col("__copies")).cast("bigint")
     return (
-        keyed.join(counts, match)
-        .withColumn("__times", F.explode(F.when(F.col("__times") > 0, F.sequence(F.lit(1), F.col("__times"))).otherwise(F.array().cast("array<int>"))))
-        .drop("__id", "__content", "__source", "__text", "__times")
+        turns.join(first, same[0] & same[1] & same[2])
+        .withColumn("__times", F.expr("__sum div __copies") + extra)
+        .drop("__salt", "__turn", "__first", *[f"{c}_of" for c in group])
     )
