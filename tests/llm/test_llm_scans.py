@@ -104,6 +104,51 @@ def test_layers_are_unwrapped_and_mapped(wrap):
     assert wrap(SECRET)[-8:] not in secret_scan.redacted_text(text)
 
 
+def wrapped(raw, width=76, gap="\n"):
+    text = b64(raw)
+    return gap.join(text[i:i + width] for i in range(0, len(text), width))
+
+
+def noise(n, seed=8):
+    rng = random.Random(seed)
+    return "".join(chr(rng.randrange(0x21, 0x7F)) for _ in range(n)).replace("%", "x").replace("&", "x").replace("\\", "x")
+
+
+LONG = f"{noise(500)} {SECRET} {noise(50)}".encode()
+
+
+@pytest.mark.parametrize("inner", [
+    wrapped(LONG),
+    wrapped(LONG).rstrip("="),
+    wrapped(LONG, 77, "\r\n"),
+    wrapped(LONG, 64, "\n    "),
+    wrapped(b"x" * 40 + SECRET.encode() + b" and more", 20),
+    wrapped(gzip.compress(LONG)),
+    wrapped(zlib.compress(LONG), 64, "\r\n\t"),
+    wrapped(zlib.compress(LONG)).rstrip("="),
+    b64(gzip.compress(b"one") + gzip.compress(LONG)),
+    wrapped(gzip.compress(b"one") + b"\0" * 5 + gzip.compress(LONG)),
+    wrapped(gzip.compress(wrapped(LONG).encode())),
+    b64(b"\x1b[1m" + SECRET.encode() + b"\x1b[0m"),
+    b64(b"\0" + SECRET.encode() + " \x85".encode()),
+], ids=range(13))
+def test_wrapped_and_joined_pieces_are_unwrapped(inner):
+    for text in (f"é see {inner} end", f"é see {inner}\n\nend", f"é see {inner}\n-----END"):
+        found = {(k, s, e) for k, s, e, layer in secret_scan.all_spans(text) if layer}
+        assert {k for k, _, _ in found} == {"assign", "access"}
+        assert all(6 <= s < e <= 6 + len(inner) for _, s, e in found)
+        assert inner[-8:] not in secret_scan.redacted_text(text)
+
+
+def test_lines_that_do_not_join_are_unwrapped_alone():
+    lines = [b64(SECRET.encode() + b"xy").rstrip("="), "internationalisation", b64(b"password: hunter2233").rstrip("="), "The", "words"]
+    found = {(k, s) for k, s, _, layer in secret_scan.all_spans("\n".join(lines)) if layer}
+    assert {("assign", 0), ("access", 0), ("assign", len(lines[0]) + len(lines[1]) + 2)} == found
+    assert secret_scan.all_spans(b64(b"long enough, is it not") + "\ntoken=%68%75%6e%74%65%72%32")[-1][0] == "assign"
+    cut = b64(gzip.compress(LONG))[:-8]  # a stream that breaks off shows what there is
+    assert {k for k, *_ in secret_scan.all_spans(cut)} == {"assign", "access"}
+
+
 def test_context_outside_of_the_encoded_part():
     text = "password=%68%75%6e%74%65%72%32%32 x"
     assert secret_scan.all_spans(text) == [("assign", 0, 33, 1)]
