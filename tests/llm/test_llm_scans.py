@@ -190,6 +190,34 @@ def test_disguises_are_found_at_their_place(hidden, kind, plain):
     assert plain in pii.normalised(text).text
 
 
+THIN = [
+    ("+1 415 five five five 0134", "phone", "+1 415 5550134"),
+    ("+1 415 55 01 four", "phone", "+1 415 55 01 4"),
+    ("4111 1111 1111 one one one 1", "card", "4111 1111 1111 1111"),
+    ("192.168.0.one", "ip", "192.168.0.1"),
+    ("jane at firma dot kr", "email", "jane@firma.kr"),
+    ("jane at shop dot firma dot online", "email", "jane@shop.firma.online"),
+    ("jane.doe at example.com", "email", "jane.doe@example.com"),
+    ("jane99 at firma.cz", "email", "jane99@firma.cz"),
+]
+
+
+@pytest.mark.parametrize("hidden,kind,plain", THIN)
+def test_thin_disguises_are_found_at_their_place(hidden, kind, plain):
+    text = f"né call {hidden}, then"
+    spans = [(k, s, e) for k, s, e, d in pii.all_spans(text) if d]
+    assert (kind, 8, 8 + len(hidden)) in spans
+    assert plain in pii.normalised(text).text
+
+
+@pytest.mark.parametrize("text", [
+    "one of 3, two of 12", "open at 5 at example.com", "sign-up at example.com", "call +1 (017) 555-7713 one more time", "at one dot",
+    "in 2019 one two three", "read more at example.com. Then",
+])
+def test_prose_beside_thin_disguises_stays(text):
+    assert not any(d for *_, d in pii.all_spans(text))
+
+
 @pytest.mark.parametrize("text", [
     "I was at work, at home dot", "one two three", "we met at the place.", "look at example.com now", "a (b) [c] d", "zero one",
     "He is at one, dot", "Ça été à l’école — naïve « oui »",

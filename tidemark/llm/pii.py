@@ -38,19 +38,22 @@ INVISIBLE = "­​‌‍⁠﻿"
 MARKS = {"․": ".", "。": ".", "｡": ".", "·": ".", "‐": "-", "‑": "-", "‒": "-", "–": "-", "−": "-", " ": " ", " ": " ", " ": " "}
 # Digits by name.
 DIGITS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
-# Ends of domain names that make a plain "name at host dot end" an address.
+# Ends of domain names that make a plain "name @ host.end" an address.
 ENDS = "com net org edu gov mil int info biz name io co me dev app ai tv us uk de fr es it nl eu ch at be se no dk fi pl pt ru cn jp in br au ca mx".split()
 
 _ODD = re.compile(r"[^\x00-ɏ‘-‟…]|[ ­·]")
 _NAMED = "|".join(sorted(DIGITS, key=len, reverse=True))
-_SPELLED = re.compile(rf"\b(?:plus[\s,]+)?(?:{_NAMED})\b(?:[\s,.\-]+(?:(?:{_NAMED})\b|point\b|dot\b|[0-9]+\b))+", re.I | re.A)
+_SPELLED = re.compile(rf"\b(?:plus[\s,]+)?(?:{_NAMED})\b(?:[\s,.\-]+(?:(?:{_NAMED})\b|point\b|dot\b|[0-9]+\b))*", re.I | re.A)
 _SPELLED_PART = re.compile(rf"\bplus\b|\b(?:{_NAMED})\b|\b(?:point|dot)\b|[0-9]+|[\s,.\-]+", re.I | re.A)
 _BRACKETED = re.compile(r"(?<!\s)\s*+[\[({<]\s*(at|dot|punkt|punto|point|arroba|@|\.)\s*[\])}>]\s*", re.I | re.A)
 _NAME_AT_HOST = re.compile(
     rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]++(?:(?:\.|\s+dot\s+)[A-Za-z0-9_%+-]+)*+(?P<at>\s+at\s+|\s*@\s*)"
-    rf"[A-Za-z0-9-]++(?:(?:\.|\s+dot\s+)[A-Za-z0-9-]+)*?(?:\.|\s+dot\s+)(?:{'|'.join(ENDS)})\b",
+    rf"[A-Za-z0-9-]++(?P<labels>(?:(?:\.|\s+dot\s+)[A-Za-z0-9-]+)++)",
     re.I | re.A,
 )
+_LABEL = re.compile(r"(?P<between>\.|\s+dot\s+)(?P<label>[A-Za-z0-9-]+)", re.I | re.A)
+_TOUCHED_BEFORE = re.compile(r"[0-9+][\s,.()\-]*\Z", re.A)
+_TOUCHED_AFTER = re.compile(r"[\s,.()\-]*[0-9]", re.A)
 _DOT = re.compile(r"(?<!\s)\s++dot\s+", re.I)
 
 
@@ -114,12 +117,30 @@ def _look_alikes(layer: Layer) -> Layer:
     return layer.rewritten(edits) if edits else layer
 
 
-def _spelled_digits(layer: Layer) -> Layer:
-    edits = []
+def _few_are_digits(text: str, m: re.Match, names: int, found: list[tuple[str, int, int]]) -> bool:
+    """Whether a run of less than four names may stand for digits: it touches written ones or a plus sign.
+
+    One name beside an identifier that is whole without it is prose.
+    """
+    before = _TOUCHED_BEFORE.search(text, max(0, m.start() - 8), m.start())
+    after = _TOUCHED_AFTER.match(text, m.end())
+    if not (before or after or any("0" <= c <= "9" for c in m.group())):
+        return False
+    start, end = before.start() if before else m.start(), after.end() if after else m.end()
+    return names > 1 or not any(s <= end and e > start for _, s, e in found)
+
+
+def _spelled_digits(layer: Layer, few: bool) -> Layer:
+    edits, found = [], None
     for m in _SPELLED.finditer(layer.text):
         parts = list(_SPELLED_PART.finditer(layer.text, m.start(), m.end()))
-        if sum(p.group().lower() in DIGITS for p in parts) < 4:
-            continue
+        names = sum(p.group().lower() in DIGITS for p in parts)
+        if names < 4:
+            if not few:
+                continue
+            found = base_spans(layer.text) if found is None else found
+            if not _few_are_digits(layer.text, m, names, found):
+                continue
         for p in parts:
             word = p.group().lower()
             if word in DIGITS:
@@ -140,26 +161,50 @@ def _at_dot(layer: Layer) -> Layer:
         layer = layer.rewritten(edits)
     edits = []
     for m in _NAME_AT_HOST.finditer(layer.text):
-        dots = [(d.start(), d.end(), ".") for d in _DOT.finditer(layer.text, m.start(), m.end())]
+        end = _end_of_host(layer.text, m)
+        if end is None:
+            continue
+        dots = [(d.start(), d.end(), ".") for d in _DOT.finditer(layer.text, m.start(), end)]
         if dots or m["at"] != "@":
-            if m["at"].strip() != "@" and not dots:
-                continue  # "at host.com" is prose
+            if m["at"].strip() != "@" and not dots and _is_word(layer.text[m.start():m.start("at")]):
+                continue  # "word at host.com" is prose
             edits += sorted([*dots, (m.start("at"), m.end("at"), "@")])
     return layer.rewritten(edits) if edits else layer
 
 
+def _is_word(name: str) -> bool:
+    """Whether a local part is a plain word or number, also one with hyphens."""
+    return name.replace("-", "").isalpha() or name.isdigit()
+
+
+def _end_of_host(text: str, m: re.Match) -> int | None:
+    """Where the host ends: at the last label that can end one.
+
+    After a spelled dot, or if the local part is no plain word, that is any of two letters or more; otherwise one of ``ENDS``.
+    """
+    word = _is_word(text[m.start():m.start("at")])
+    for label in reversed(list(_LABEL.finditer(text, m.start("labels"), m.end("labels")))):
+        end = label["label"].lower()
+        if len(end) > 1 and end.isalpha() and (end in ENDS or label["between"] != "." or not word):
+            return label.end()
+    return None
+
+
 _SIGNS = re.compile(r"[\[({<]\s*(?:at|dot|punkt|punto|point|arroba|@|\.)\s*[\])}>]", re.I | re.A)
 
 
-def normalised(text: str) -> Layer:
-    """``text`` after all transducers."""
+_AT_HOST = re.compile(r"\sat\s+[a-z0-9-]++\.[a-z]")
+
+
+def normalised(text: str, few: bool = True) -> Layer:
+    """``text`` after all transducers; ``few`` says whether less than four spelled digits beside others are rewritten too."""
     layer = Layer.source(text)
     if not text.isascii():
         layer = _look_alikes(layer)
     low = layer.text.lower()
     if any(d in low for d in ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine")):
-        layer = _spelled_digits(layer)
-    if "dot" in low or "@" in low or _SIGNS.search(low):
+        layer = _spelled_digits(layer, few)
+    if "dot" in low or "@" in low or _AT_HOST.search(low) or _SIGNS.search(low):
         layer = _at_dot(layer)
     return layer
 
@@ -168,8 +213,13 @@ def all_spans(text: str) -> list[tuple[str, int, int, bool]]:
     """(kind, start, end, disguised): the base spans, then what only the rewritten text shows."""
     found = [(*s, False) for s in base_spans(text)]
     layer = normalised(text)
-    if layer.text != text:
-        known = {f[:3] for f in found}
+    if layer.text == text:
+        layers = []
+    else:  # what is found without the short runs stays, whatever these change
+        plain = normalised(text, few=False)
+        layers = [layer] if plain.text == layer.text else [plain, layer]
+    known = {f[:3] for f in found}
+    for layer in layers:
         for kind, s, e in base_spans(layer.text):
             span = (kind, *layer.span(s, e))
             if span not in known:
