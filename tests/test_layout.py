@@ -133,3 +133,32 @@ def test_empty_input(skewed_bars):
     empty = skewed_bars.filter("instrument = 'nothing'")
     for name, op in OPERATORS.items():
         assert op(empty, WHOLE).count() == 0, name
+
+
+def plain_ewm(values, span):
+    """The mean after each value, by recursion from the first row."""
+    decay, total, weight, out = 1 - 2 / (span + 1), 0.0, 0.0, []
+    for v in values:
+        total, weight = total * decay + (v or 0.0), weight * decay + (v is not None)
+        mean = total / weight if weight > 1e-300 else None
+        out.append(mean if v is not None or not out else out[-1])
+    return out
+
+
+@pytest.mark.parametrize("gap", [450, 600])
+@pytest.mark.parametrize("spec", [WHOLE, TINY], ids=["whole", "cut"])
+def test_exponential_averages_keep_over_gaps(spark, gap, spec):
+    rows = [list(r) for r in noisy_rows("GAP", gap + 160, 6)]
+    for i in [*range(3), *range(100, 100 + gap), gap + 110]:
+        rows[i][5] = None
+    bars = make_bars(spark, [tuple(r) for r in rows])
+    close = [r[5] for r in rows]
+    fast, slow = plain_ewm(close, 12), plain_ewm(close, 26)
+    line = [None if s is None else f - s for f, s in zip(fast, slow)]
+    want = {"ema_12": fast, "ema_26": slow, "macd": line, "macd_signal": plain_ewm(line, 9)}
+    for out, names in [(I.ema(bars, spec=spec), ("ema_12", "ema_26")), (I.macd(bars, spec=spec), want), (I.technical_indicators(bars, spec=spec), want)]:
+        got = out.orderBy("ts").collect()
+        assert len(got) == len(rows)
+        for n in names:
+            for g, w in zip(got, want[n]):
+                assert g[n] == w if w is None else g[n] == pytest.approx(w, rel=1e-9, abs=1e-9), n

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import as_col, pct_change, ratio, rolling_mean, rolling_std
-from tidemark.plans.series import BAR_SERIES, SeriesSpec, layout, over_series
+from tidemark.plans.series import BAR_SERIES, Layout, SeriesSpec, layout, over_series
 
 SMA_LENGTHS = (5, 10, 20, 50)
 
@@ -49,7 +49,7 @@ def ewm_columns(df: DataFrame, w: WindowSpec, inputs: dict[str, tuple[str, int]]
     before the first value the mean is NULL.  The weighted sums of the values and of their weights over the last 8**k rows
     are built in k passes: each adds eight lagged copies of the previous pass, scaled by the decay.  Constant lags
     only, so the cost per row does not grow with the span and all passes share the window's shuffle and sort.  Rows
-    further back weigh less than 1e-16 of the newest.
+    further back weigh less than 1e-16 of the newest.  That holds at rows with a value; ``ewm_kept`` carries their means over gaps.
     """
     names = list(inputs)
     df = df.withColumns({f"__sum_{n}": F.coalesce(F.col(inputs[n][0]).cast("double"), F.lit(0.0)) for n in names})
@@ -72,6 +72,15 @@ def ewm_columns(df: DataFrame, w: WindowSpec, inputs: dict[str, tuple[str, int]]
     return df.withColumns(means).drop(*[f"__sum_{n}" for n in names], *[f"__weight_{n}" for n in names])
 
 
+def ewm_kept(lay: Layout, df: DataFrame, inputs: dict[str, tuple[str, int]]) -> DataFrame:
+    """The means of ``ewm_columns`` with each row that lacks a value given the mean before it, over gaps of any length.
+
+    On halo rows the means are undefined.
+    """
+    kept = {f"__kept_{n}": ("last", F.when(F.col(c).isNotNull(), F.col(n))) for n, (c, _) in inputs.items()}
+    return lay.running(df, **kept).withColumns({n: F.col(f"__kept_{n}") for n in inputs}).drop(*kept)
+
+
 # --- price and volume ----------------------------------------------------------------------------
 
 
@@ -110,9 +119,14 @@ def volume_columns(df: DataFrame, w: WindowSpec, n: int = 20) -> DataFrame:
     return df.withColumn("volume_ratio", ratio(F.col("volume").cast("double"), F.col("volume_sma")))
 
 
-def macd_columns(df: DataFrame, w: WindowSpec, fast=12, slow=26, signal=9, c: str = "close") -> DataFrame:
-    df = ewm_columns(df, w, {f"ema_{fast}": (c, fast), f"ema_{slow}": (c, slow)})
-    df = df.withColumn("macd", F.col(f"ema_{fast}") - F.col(f"ema_{slow}"))
+def macd_averages(lay: Layout, df: DataFrame, fast=12, slow=26, c: str = "close") -> DataFrame:
+    inputs = {f"ema_{fast}": (c, fast), f"ema_{slow}": (c, slow)}
+    df = ewm_kept(lay, ewm_columns(df, lay.window, inputs), inputs)
+    return df.withColumn("macd", F.col(f"ema_{fast}") - F.col(f"ema_{slow}"))
+
+
+def macd_signal_columns(df: DataFrame, w: WindowSpec, signal=9) -> DataFrame:
+    """The averages have no gaps after their first value, so nothing is to be kept."""
     df = ewm_columns(df, w, {"macd_signal": ("macd", signal)})
     return df.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
 
@@ -123,14 +137,15 @@ def sma(df: DataFrame, lengths=SMA_LENGTHS, c: str = "close", spec: SeriesSpec =
 
 def ema(df: DataFrame, spans=(12, 26), c: str = "close", spec: SeriesSpec = BAR_SERIES) -> DataFrame:
     inputs = {f"ema_{s}": (c, s) for s in spans}
-    return over_series(
-        df, lambda d, w: ewm_columns(d, w, inputs), spec, lookback=max(ewm_lookback(s) for s in spans)
-    )
+    lay = layout(df, spec, lookback=max(ewm_lookback(s) for s in spans))
+    return lay.finish(ewm_kept(lay, ewm_columns(lay.df, lay.window, inputs), inputs))
 
 
 def macd(df: DataFrame, fast=12, slow=26, signal=9, c: str = "close", spec: SeriesSpec = BAR_SERIES) -> DataFrame:
-    lookback = max(ewm_lookback(fast), ewm_lookback(slow)) + ewm_lookback(signal)
-    return over_series(df, lambda d, w: macd_columns(d, w, fast, slow, signal, c), spec, lookback=lookback)
+    spec = spec.measured(df)
+    lay = layout(df, spec, lookback=max(ewm_lookback(fast), ewm_lookback(slow)))
+    d = lay.finish(macd_averages(lay, lay.df, fast, slow, c))  # means carried over gaps are not known on halo rows
+    return over_series(d, lambda d, w: macd_signal_columns(d, w, signal), spec, lookback=ewm_lookback(signal))
 
 
 def rsi(df: DataFrame, n: int = 14, c: str = "close", spec: SeriesSpec = BAR_SERIES) -> DataFrame:
@@ -146,15 +161,17 @@ def volume_ratio(df: DataFrame, n: int = 20, spec: SeriesSpec = BAR_SERIES) -> D
 
 
 def technical_indicators(df: DataFrame, spec: SeriesSpec = BAR_SERIES) -> DataFrame:
-    """Moving averages, MACD, RSI, Bollinger bands and volume ratio in one pass over the series."""
-    lookback = ewm_lookback(26) + ewm_lookback(9)
+    """Moving averages, MACD, RSI, Bollinger bands and volume ratio; one pass over the series, a second over cut ones."""
+    spec = spec.measured(df)
+    lay = layout(df, spec, lookback=ewm_lookback(26))
+    first = lay.finish(macd_averages(lay, sma_columns(lay.df, lay.window)))
 
     def build(d: DataFrame, w: WindowSpec) -> DataFrame:
-        for step in (sma_columns, macd_columns, rsi_columns, bollinger_columns, volume_columns):
+        for step in (macd_signal_columns, rsi_columns, bollinger_columns, volume_columns):
             d = step(d, w)
         return d
 
-    return over_series(df, build, spec, lookback=lookback)
+    return over_series(first, build, spec, lookback=ewm_lookback(9))
 
 
 # --- open interest -------------------------------------------------------------------------------
