@@ -8,10 +8,11 @@ for the next stage, so that lost executors never repeat an earlier stage.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import byte_bpe, language, mixing, near_duplicates, secret_scan
+from tidemark.llm.common import checkpointed, release
 from tidemark.llm.queries import BYTE_VOCABULARY, PIECE_VOCABULARY
 from tidemark.plans.storage import new_folder
 
@@ -35,11 +36,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows without an id stay.
     """
     found = near_duplicates.near_duplicates(docs)
-    dropped = found.where(~F.col("kept")).select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
-    again = Window.partitionBy("doc_id").orderBy(*[F.col(c) for c in docs.columns if c != "doc_id"])
-    once = kept.where("doc_id IS NOT NULL").withColumn("__turn", F.row_number().over(again)).where("__turn = 1").drop("__turn")
-    return once.unionByName(kept.where("doc_id IS NULL"))
+    times = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"), F.min("kept").alias("kept"))
+    times = checkpointed(times)
+    single, repeated = times.where("kept AND n = 1").select("doc_id"), times.where("kept AND n > 1").select("doc_id")
+    once = docs.join(single, "doc_id", "left_semi").select(*docs.columns)
+    # the rows of an id are reduced to one before they are dealt out, so that a frequent id weighs no more than others
+    row = F.struct(F.xxhash64(*docs.columns).alias("mark"), F.struct(*docs.columns).alias("whole"))
+    first = docs.join(repeated, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("id")).agg(F.min(row).alias("row"))
+    return once.unionByName(first.select("row.whole.*")).unionByName(docs.where("doc_id IS NULL"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,5 +79,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES[:-1]:
         folder = new_folder(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(folder)
+        release(spark)
         docs = spark.read.parquet(folder)
     return STAGES[-1][1](spark, docs, sf_dir)
