@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Texts per Arrow batch.  Texts may be very long, so a batch holds few of them.
 TEXTS_PER_BATCH = 256
 
-__all__ = ["TEXTS_PER_BATCH", "WORD", "checkpointed", "partitions", "running_total", "shared_folder", "short_batches"]
+__all__ = ["TEXTS_PER_BATCH", "WORD", "checkpointed", "partitions", "release", "running_total", "shared_folder", "short_batches"]
 
 
 def short_batches(spark: SparkSession) -> None:
@@ -28,6 +30,14 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def release(spark: SparkSession) -> None:
+    """Gives back the shuffle files and checkpoints of frames that nothing refers to any more.
+
+    Spark's cleaner deletes them when the driver collects its garbage, which a driver with a roomy heap may not do for long.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
 
 def running_total(df: DataFrame, order: list[Column], value: Column, name: str) -> DataFrame:
     """``df`` with the sum of ``value`` over all rows up to and including each, in a total ``order`` over the whole table.

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, checkpointed, short_batches
+from tidemark.llm.common import WORD, checkpointed, release, short_batches
 from tidemark.llm.components import components
 
 #: 14 keys of 3 minhashes in each collection: two sets of likeness 0.8 share a table key with probability 0.9999.
@@ -205,6 +205,8 @@ def _links_left(links: DataFrame, own: DataFrame, sets: DataFrame, numerator: in
         .select("member", "node", "component", "n", "at")
     )
     early = checkpointed(early)
+    del members, common, shared, held, texts
+    release(early.sparkSession)
     sizes = early.groupBy("member", "component").agg(F.count("*").alias("texts"))
     largest = sizes.groupBy("member").agg(
         F.max(F.struct("texts", "component"))["component"].alias("largest"), F.count("*").alias("several")).where("several > 1")
@@ -237,6 +239,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.min("id").alias("node"), F.first("n_shingles").alias("n"), F.first("hashes").alias("hashes"))
     texts = checkpointed(texts)
     own = checkpointed(_shared_keys(texts, items, width))
+    release(spark)
 
     tables = _tables(own).select("key", "node", "n")
     centres = tables.groupBy("key").agg(F.min("node").alias("centre"), F.count("*").alias("members")).where("members > 1")
@@ -249,8 +252,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     involved = involved.groupBy("id", F.xxhash64("text").alias("content")).agg(F.first("text").alias("text"))
     sets = checkpointed(involved.select("id", "text").mapInPandas(_sets(shingle), "node bigint, members array<bigint>"))
     links = checkpointed(_confirmed(stars, sets, numerator, denominator).unionAll(_same_id(sketches, texts)))
+    del tables, centres, met, sizes, stars, involved
+    release(spark)
     left = checkpointed(_links_left(links, own, sets, numerator, denominator))
+    del own, sets
+    release(spark)
     names = components(links.unionAll(left))
+    release(spark)
 
     named = texts.join(names, "node", "left").select("mark", F.coalesce("component", "node").alias("component"))
     return (
