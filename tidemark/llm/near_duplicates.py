@@ -36,10 +36,14 @@ _OTHER_SPACES = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u2
 REMEMBERED = 8_000_000
 
 
+def split_words(text: str) -> list[str]:
+    """What stands between ASCII white space."""
+    return _WORDS(text) if _OTHER_SPACES(text) else text.split()
+
+
 def words(text: str) -> list[str]:
     """The words of ``text`` with A-Z in lower case."""
-    text = text.lower() if text.isascii() else text.translate(_UPPER)
-    return _WORDS(text) if _OTHER_SPACES(text) else text.split()
+    return split_words(text.lower() if text.isascii() else text.translate(_UPPER))
 
 
 class Shingler:

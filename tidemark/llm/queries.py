@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+import zlib
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    bit_slices, byte_bpe, fingerprints, language, licenses, mixing, near_duplicates, oracles, pii, quality, secret_scan,
+    bit_slices, byte_bpe, fingerprints, language, licenses, mixing, near_duplicates, oracles, periodic, pii, prefix_trie, quality,
+    secret_scan, token_files,
 )
+from tidemark.llm.common import WORD, short_batches
 
 BYTE_VOCABULARY = "byte_bpe_50k.tiktoken"
 PIECE_VOCABULARY = "piece_bpe_32k.model"
+WORD_VOCABULARY, END = "word_bpe_49k.json", 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,10 +103,56 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def _with_period(ids_and_texts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """Texts, one in ten of which goes on periodically from some word on, as the query lays down."""
+    words_of = re.compile(WORD).findall
+    for ids, texts in ids_and_texts:
+        out = []
+        for doc, known, text in zip(ids.fillna(0).astype("int64"), ids.notna(), texts):
+            h = zlib.crc32(str(doc).encode()) if known else 1
+            words = words_of(text or "") if h % 10 == 0 else []
+            if words:
+                n, g = len(words), h // 10
+                a = g % n
+                p = 1 + (n - a) // (3 + g % 8)
+                text = " ".join(words[:a] + (words[a:a + p] * (1 + (n - a) // p))[:n - a])
+            out.append(text)
+        yield pd.Series(out, dtype=object)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    short_batches(spark)
+    edited = F.pandas_udf(_with_period, "string")
+    docs = table(spark, sf_dir, "documents").select("doc_id", edited("doc_id", "text").alias("text"))
+    nothing = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    # runs come by start, then period, so the first of equal exponents stays
+    best = F.aggregate("runs", nothing, lambda b, r: F.when(
+        b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b))
+    told = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return periodic.periodic_runs(docs).withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.*",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(told.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY), END, with_ids=False)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = prefix_trie.turn_sequences(table(spark, sf_dir, "conversations"))
+    h = (F.crc32(F.col("conv").cast("string").cast("binary")) % 6).cast("int")
+    # of a hundred conversations one lends its first turns: at most five, to at most a hundred
+    lenders = own.where("conv % 100 = 0").select(F.col("conv").alias("lender"), F.slice("turns", 1, 5).alias("lent"))
+    both = own.join(lenders, F.col("conv") - F.col("conv") % 100 == F.col("lender"), "left")
+    lent = F.coalesce(F.slice("lent", F.lit(1), h), F.slice("turns", 1, 0))
+    return prefix_trie.trie(both.select("conv", F.concat(lent, F.slice("turns", h + 1, F.greatest(F.size("turns") - h, F.lit(0)))).alias("turns")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (op1_quality, op2_near_duplicates, op3_top_k, op4_secrets, op5_personal_data, op6_fingerprints, op7_mixing,
-              op8_language, op9_licenses, op10_byte_bpe)
+              op8_language, op9_licenses, op10_byte_bpe, op11_periodic_runs, op12_token_files, op13_prefix_trie)
 }
 
 SQL = {
