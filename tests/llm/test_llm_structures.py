@@ -189,8 +189,9 @@ def test_words_are_encoded_as_texts_are():
 
     path = public_tokenizers.path(WORD_VOCABULARY)
     model, own = Tokenizer.from_file(path), token_files.Words(path, END)
-    for t in odd_texts(random.Random(12)):
-        assert np.frombuffer(own.encode(t), own.type).tolist() == [*model.encode(t, add_special_tokens=False).ids, END], t
+    texts = [*odd_texts(random.Random(12)), "", None, *(f"word{e}" for e in token_files.ENDS), "a-b", "word-_=" * 3, "x)`", "y;;'s", "ǅ! ǆ ʰ?"]
+    for t, raw in zip(texts, own.encode(texts)):
+        assert np.frombuffer(raw, own.type).tolist() == [*model.encode(t or "", add_special_tokens=False).ids, END], t
 
 
 def test_a_file_is_read_from_any_place(tmp_path, monkeypatch):

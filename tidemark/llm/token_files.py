@@ -35,10 +35,11 @@ FILE, PIECE = 1 << 26, 1 << 22
 #: Ids that are coded or decoded at a time.
 AT_A_TIME = rans.BLOCKS_AT_A_TIME * rans.BLOCK
 #: Characters of distinct words whose ids a Python worker remembers.
-REMEMBERED = 4_000_000
+REMEMBERED = 10_000_000
 #: Words sent to the tokenizer as one text.
 TOGETHER = 512
-ENDS = ".,!?;:"
+#: Signs after a word that are no letters, numbers, apostrophes or part of a special token: one pre-token of their own.
+ENDS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 
 _MAGIC = b"TDMKIDS1"
 _TAIL = struct.Struct("<QI")  # length and checksum of the directory
@@ -104,12 +105,12 @@ class Words:
             known[w] = known[core] + known[rest]
         self.held += sum(map(len, words))
 
-    def encode(self, text: str | None) -> bytes:
-        """The ids of ``text`` and the end id, as little-endian numbers of ``type``."""
-        own = split_words(text) if text else []
-        if new := set(own).difference(self.known):
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text and the end id, as little-endian numbers of ``type``."""
+        own = [split_words(t) if t else [] for t in texts]
+        if new := set().union(*own).difference(self.known):
             self._learn(new)
-        out = b"".join(map(self.known.__getitem__, own)) + self.end
+        out = [b"".join(map(self.known.__getitem__, words)) + self.end for words in own]
         if self.held > REMEMBERED:
             self.known.clear()
             self.held = 0
@@ -127,7 +128,7 @@ def _encoder(path: str, end: int):
 
         own, packer = words_of(path, end), zstandard.ZstdCompressor(level=1)
         for texts in batches:
-            raw = [own.encode(t) for t in texts]
+            raw = own.encode(texts.tolist())
             size = own.type.itemsize
             yield pd.DataFrame({"n": [len(r) // size for r in raw], "width": size, "packed": [packer.compress(r) for r in raw]})
 
@@ -156,10 +157,11 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """How often a partition has each of its ids."""
     total = np.zeros(0, np.int64)
     for batch in batches:
-        for ids in unpacked(batch["width"], batch["packed"]):
-            own = np.bincount(ids, minlength=len(total))
-            own[:len(total)] += total
-            total = own
+        if not len(batch):
+            continue
+        own = np.bincount(np.concatenate(list(unpacked(batch["width"], batch["packed"]))), minlength=len(total))
+        own[:len(total)] += total
+        total = own
     found = np.flatnonzero(total)
     yield pd.DataFrame({"token": found, "n": total[found]})
 
