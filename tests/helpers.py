@@ -2,12 +2,8 @@ import math
 
 from tidemark.plans.series import SeriesSpec
 
-# series longer than 37 rows are cut, at every quarter of an hour
-TINY = SeriesSpec(slice_rows=37, chunk_width=900)
-# the same with chunks as wide as the data suggest
-TINY_AUTO = SeriesSpec(slice_rows=37)
-# the same through shuffled, not broadcast, slice maps
-TINY_SHUFFLED = SeriesSpec(slice_rows=37, chunk_width=900, broadcast_rows=0)
+# a series longer than 37 rows makes every 37 rows of the table a slice
+TINY = SeriesSpec(slice_rows=37)
 WHOLE = SeriesSpec()
 
 

@@ -303,7 +303,7 @@ def fold(bars, stop, take, period, entry, first, second):
     return trades, (entered, price) if price is not None else None
 
 
-@pytest.mark.parametrize("spec", [SeriesSpec(), SeriesSpec(slice_rows=60, chunk_width=3600)], ids=["whole", "cut"])
+@pytest.mark.parametrize("spec", [SeriesSpec(), SeriesSpec(slice_rows=60)], ids=["whole", "cut"])
 @pytest.mark.parametrize(
     "stop, take, entry, first, second",
     [(0.15, 0.30, 0.005, 0.001, 0.005), (0.02, 0.03, 0.001, 0.02, -0.02), (0.05, 0.08, 0.0005, 0.03, -0.05)],

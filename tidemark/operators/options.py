@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import as_col, local_micros
-from tidemark.plans.series import BAR_SERIES, SeriesSpec, layout
+from tidemark.plans.series import BAR_SERIES, SeriesSpec, layout, ranges
 
 SHORT_COVERING = "short_covering"
 LONG_UNWINDING = "long_unwinding"
@@ -113,19 +113,16 @@ def latest_known(
 ) -> DataFrame:
     """The latest ``value`` of one time series ``readings(ts, value)`` at or before each row of ``df``.
 
-    Only the distinct times of ``df`` are merged with the readings in time order; the rows then look their time up.
+    Only the distinct times of ``df`` are merged with the readings, range-partitioned by time, where every range carries the last
+    reading of the ranges before; the rows then look their time up.
     """
-    times = df.select(ts).distinct().select(ts, F.lit(1).alias("__kind"), F.lit(0).alias("__all"))
-    marks = readings.select(
-        F.col(ts), F.col(value).alias("__value"), F.lit(0).alias("__kind"), F.lit(0).alias("__all")
-    )
-    lay = layout(
-        times.unionByName(marks, allowMissingColumns=True),
-        SeriesSpec(("__all",), ts, ("__kind",), slice_rows=slice_rows),
-    )
-    seen = lay.finish(lay.running(lay.df, __seen=("last", F.col("__value"))))
-    known = seen.filter(F.col("__kind") == 1).select(ts, F.col("__seen").alias(out))
-    return df.join(known, ts, "left").select(*df.columns, out)
+    times = df.select(F.col(ts).alias("at"), F.lit(1).alias("kind")).distinct()
+    marks = readings.select(F.col(ts).alias("at"), F.col(value).alias("value"), F.lit(0).alias("kind"))
+    merged = times.unionByName(marks, allowMissingColumns=True)
+    lay = ranges(merged, SeriesSpec((), "at", ("kind",), slice_rows=slice_rows))
+    seen = lay.finish(lay.running(lay.df, seen=("last", F.col("value"))))
+    known = seen.filter("kind = 1").select(F.col("at").alias("__at"), F.col("seen").alias("__seen"))
+    return df.join(known, F.col(ts) == F.col("__at"), "left").select(*[F.col(c) for c in df.columns], F.col("__seen").alias(out))
 
 
 def environment_filter(

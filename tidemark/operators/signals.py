@@ -231,9 +231,7 @@ def trade_cap(
         raise ValueError(f"per must be 'run' or 'day', not {per!r}")
     entries = df.filter(F.col(entry))
     if across:
-        entries = entries.withColumn("__all", F.lit(0))
-        spec = spec.keyed_by("__all").reordered(spec.ts, *spec.keys, *spec.ties)
-        return trade_cap(entries, cap, per, entry, spec).drop("__all")
+        return trade_cap(entries, cap, per, entry, spec.keyed_by().reordered(spec.ts, *spec.keys, *spec.ties))
     if per == "day":
         days = entries.withColumn("__day", F.to_date(spec.ts))
         by_day = spec.keyed_by(*spec.keys, "__day")

@@ -17,7 +17,7 @@ from tidemark.functions.rules import Rule, share_of_ma
 from tidemark.operators.analytics import accounts, last_closes
 from tidemark.operators.indicators import first_derivative, second_derivative
 from tidemark.operators.signals import position_columns
-from tidemark.operators.trades import priced, tradable_bars, trades_of
+from tidemark.operators.trades import followed
 from tidemark.plans.series import BAR_SERIES, Layout, SeriesSpec, layout
 
 PARAM = "param_id"
@@ -71,9 +71,7 @@ def sweep_trades(
 ) -> DataFrame:
     """Trades of every series under every parameter set, open ones included."""
     lay, d, rules = _bars(df, rules, spec)
-    keyed = lay.spec.keyed_by(PARAM, *lay.spec.keys, copies=len(rules))
-    numbered = list(rules.values())
-    trades = priced(trades_of(tradable_bars(lay, d, numbered, PARAM), keyed, numbered[0]), keyed, commission, size)
+    trades = followed(lay, d, list(rules.values()), commission, size, PARAM)
     names = F.array(*[F.lit(n) for n in rules])
     return trades.withColumn(PARAM, F.element_at(names, F.col(PARAM) + 1))
 

@@ -10,6 +10,8 @@ every position flat; such bars cut a series into segments that start flat and do
    segment: its entry is known, so stops can be tested per bar.  If it ends with its segment, it is complete.
 3. Only from the first stop, or the first bar that is entry and exit at once, does Python step through the
    rest of the segment, batch by batch with a constant amount of state.
+
+A segment may be as long as its series.  Series that are cut into slices are therefore followed slice by slice (``carried``).
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.columns import minutes_between
 from tidemark.functions.rules import FIRST_EXIT, SECOND_EXIT, Rule, is_true, rule_of
+from tidemark.operators.carried import carried_trades
 from tidemark.operators.signals import derivative_columns, stop_take
 from tidemark.plans.series import BAR_SERIES, Layout, SeriesSpec, layout
 from tidemark.schema import TRADE_FIELDS, fields_of
@@ -49,6 +52,13 @@ def _decisions(rule: Rule) -> dict[str, Column]:
     }
 
 
+def _with_fills(lay: Layout, df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Where a decision is filled, and the averages of the bar before."""
+    w = lay.window
+    fills = {"__fill_ts": F.lead(lay.spec.ts).over(w), "__fill": F.lead("open").over(w)}
+    return df.withColumns(fills | {f"__before_{m}": F.lag(m).over(w) for m in {r.ma for r in rules}})
+
+
 def tradable_bars(lay: Layout, df: DataFrame, rules: list[Rule], param: str | None = None) -> DataFrame:
     """Bars that may trade, under each of the rules, with decisions, next-bar fill and segment number.
 
@@ -57,9 +67,7 @@ def tradable_bars(lay: Layout, df: DataFrame, rules: list[Rule], param: str | No
     """
     w, spec = lay.window, lay.spec
     decisions = {i: _decisions(rule) for i, rule in enumerate(rules)}
-    fills = {"__fill_ts": F.lead(spec.ts).over(w), "__fill": F.lead("open").over(w)}
-    averages = {f"__before_{m}": F.lag(m).over(w) for m in {r.ma for r in rules}}
-    df = df.withColumns(fills | averages)
+    df = _with_fills(lay, df, rules)
     df = df.withColumns({f"__leaves_{i}": d["__leaves"] for i, d in decisions.items()})
     df = df.withColumns({f"__opens_{i}": F.coalesce(F.lag(f"__leaves_{i}").over(w), F.lit(False)) for i in decisions})
     running = {}
@@ -159,7 +167,7 @@ def _stepper(keys, ts, rule: Rule):
         def table(trades, key_types, time_type):
             types = [*key_types, time_type, time_type, pa.float64(), time_type, time_type, pa.float64(), pa.string()]
             columns = zip(*trades)
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+            return pa.RecordBatch.from_arrays([pa.array(c, t, from_pandas=True) for c, t in zip(columns, types)], names)
 
         key, held, types = None, None, None
         for batch in batches:
@@ -214,20 +222,28 @@ def all_trades(
     """Closed trades and, with NULL exits, the ones still open at the end of their series."""
     rule = rule_of(preset, **params)
     lay = layout(df, spec, lookback=rule.lookback + 1, lookahead=1)
-    bars = tradable_bars(lay, derivative_columns(lay.df, lay.window, rule), [rule])
-    return priced(trades_of(bars, lay.spec, rule), lay.spec, commission, size)
+    return followed(lay, derivative_columns(lay.df, lay.window, rule), [rule], commission, size)
+
+
+def followed(lay: Layout, df: DataFrame, rules: list[Rule], commission: float, size: int, param: str | None = None) -> DataFrame:
+    """Trades of every series under each of the rules, whose number stands in the column ``param``."""
+    if lay.split:
+        raw = carried_trades(lay, _with_fills(lay, df, rules), rules, [_decisions(r) for r in rules], param)
+        return priced(raw, (*([param] if param else []), *lay.spec.keys), commission, size)
+    spec = lay.spec.keyed_by(param, *lay.spec.keys, copies=len(rules)) if param else lay.spec
+    raw = trades_of(tradable_bars(lay, df, rules, param), spec, rules[0])
+    in_order = Window.partitionBy(*spec.keys).orderBy("entry_ts")
+    return priced(raw.withColumn("trade_no", F.row_number().over(in_order).cast("bigint")), spec.keys, commission, size)
 
 
-def priced(raw: DataFrame, spec: SeriesSpec, commission: float, size: int) -> DataFrame:
-    """Number the trades of a series and work out profit and commission."""
-    lay = layout(raw, spec.reordered("entry_ts"))
-    numbered = lay.finish(lay.running(lay.df, trade_no=("sum", F.lit(1))))
+def priced(numbered: DataFrame, keys: tuple[str, ...], commission: float, size: int) -> DataFrame:
+    """Profit and commission of numbered trades."""
     pnl = (F.col("exit_price") - F.col("entry_price")) * F.lit(size)
     turnover = F.coalesce(F.col("exit_price"), F.lit(0.0)) + F.col("entry_price")
     fees = turnover * F.lit(commission) * F.lit(size)
     numbered = numbered.withColumns({"size": F.lit(size), "pnl": pnl, "commission": fees})
     return numbered.select(
-        *spec.keys, "trade_no", "entry_signal_ts", "entry_ts", "entry_price", "exit_signal_ts", "exit_ts",
+        *keys, "trade_no", "entry_signal_ts", "entry_ts", "entry_price", "exit_signal_ts", "exit_ts",
         "exit_price", "size", "pnl", "commission", (F.col("pnl") - F.col("commission")).alias("pnl_net"),
         "exit_reason",
     )

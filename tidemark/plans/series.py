@@ -2,61 +2,54 @@
 
 Indicators and signals need the rows of one instrument in time order.  A window partitioned by the
 instrument puts a whole instrument into one task, which fails when one instrument holds a third of the
-data.  The layout below keeps one shuffle but bounds what a task receives:
+data.  The layout below bounds what a task receives:
 
 * The series are counted first (key columns only, map-side combined).  If no series exceeds ``slice_rows`` the
   window is partitioned by the series keys alone and nothing else happens.
-* Otherwise the long series are cut into consecutive *slices* of about ``slice_rows`` rows, along time chunks.  A
-  chunk that holds too many rows (a burst) is cut again into steps of its own, until none is crowded.
-  A row goes to its own slice and, if it lies fewer than ``lookback`` rows before a later slice (or
-  ``lookahead`` rows after an earlier one), also to that slice as a *halo* row.  Windows are
-  partitioned by (keys, slice); halo rows are dropped at the end.  The result equals the unsplit one.
+* Otherwise the table is range-partitioned in the full order (keys, time, ties, then a hash of the row, so that rows of one
+  time are told apart) and its rows are numbered from first to last: a row's number is its place in its
+  partition plus the rows of all partitions before, of which there is one count each.  Every ``slice_rows`` numbers are a *slice*,
+  wherever they fall.  A row goes to its own slice and, if it lies at most ``lookback`` rows before a later slice (or
+  ``lookahead`` rows after an earlier one), also to that slice as a *halo* row.  Windows are partitioned by
+  (slice, keys) and ordered by number; halo rows are dropped at the end.  The result equals the unsplit one.
 * Running values (unbounded frames) are computed per slice and completed with a prefix over
-  one summary row per slice.  That reads the rows of long series twice; operators need at most one such pass.
+  one summary row per (series, slice).  Only one series reaches into a slice from before, so a slice receives one row.
 
-Only the per-(series, chunk) counts of long series are ever gathered per key, never the rows.
+The numbered rows are kept in the shared folder, once for each layout, as windows and summaries both read them; nothing above them
+is computed again, and plans do not grow with a chain of operators.  The count is a bound that also holds for selections
+of rows, so operators in a chain do not count again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.functions.columns import epoch_seconds, ordering
+from tidemark.plans.storage import checkpointed
 
 SLICE = "__slice"
 HOME = "__home"
-CHUNK = "__chunk"
-CHUNKS_PER_SLICE = 16
-#: A chunk with more than this share of a slice's rows is cut again.
-CROWDED = 0.25
-SHORT = -1  # the slice of series that are not cut
+PLACE = "__place"
+_IN_PARTITION = (1 << 33) - 1
 
 
 @dataclass(frozen=True)
 class SeriesSpec:
-    """Identity and order of a series, and the size limits of its layout.
+    """Identity and order of a series, and the size limit of its layout.
 
-    ``max_rows`` is an upper bound on the rows of one series when it is already known; ``measured`` fills it in.
-    ``chunk_width`` is the step (seconds, or units of a numeric order column) at which a long series may be cut;
-    by default it is chosen so that the densest long series gets ``CHUNKS_PER_SLICE`` chunks per slice on average, and chunks
-    that hold more than ``CROWDED`` of a slice are cut again, level by level (``cuts``).  Rows of one time stay together.
+    ``max_rows`` is an upper bound on the rows of one series and ``rows`` one on all rows when they are already known;
+    ``measured`` fills them in.
     """
 
     keys: tuple[str, ...] = ("instrument",)
     ts: str = "ts"
     ties: tuple[str, ...] = ()
     slice_rows: int = 500_000
-    chunk_width: float | None = None
-    broadcast_rows: int = 500_000
     max_rows: int | None = None
-    long_chunks: int = 0
-    series: int | None = None
-    cuts: tuple[DataFrame, ...] = field(default=(), compare=False, repr=False)
+    rows: int | None = None
 
     @property
     def order(self) -> list[Column]:
@@ -65,110 +58,38 @@ class SeriesSpec:
     def window(self, *extra: str) -> WindowSpec:
         return Window.partitionBy(*self.keys, *extra).orderBy(*self.order)
 
-    def position(self, df: DataFrame) -> Column:
-        """Where a row stands in its series, as a number."""
-        numeric = isinstance(df.schema[self.ts].dataType, T.NumericType)
-        return F.col(self.ts).cast("double") if numeric else epoch_seconds(df, self.ts)
-
-    def chunked(self, df: DataFrame) -> DataFrame:
-        """``df`` with the chunk of each row: its step along the series, then its steps inside crowded chunks."""
-        at = self.position(df)
-        # rows without a position come first in the order, hence in the lowest chunk
-        first = F.coalesce(F.floor(at / F.lit(float(self.chunk_width))), F.lit(-(2**62)))
-        rows = df.withColumn(CHUNK, F.array(first))
-        for cuts in self.cuts:
-            keys = [c for c in cuts.columns if c.startswith("__c_")]
-            same = F.col(CHUNK) == F.col("__crowded")
-            for k in keys:
-                same = same & F.col(k.removeprefix("__c_")).eqNullSafe(F.col(k))
-            inner = F.concat(CHUNK, F.array(F.floor((at - F.col("__low")) / F.col("__step"))))
-            rows = rows.join(cuts, same, "left").select(
-                *df.columns, F.when(F.col("__crowded").isNull(), F.col(CHUNK)).otherwise(inner).alias(CHUNK))
-        return rows
-
-    def keyed_by(self, *keys: str, copies: int | None = None) -> SeriesSpec:
-        """The spec for series keyed by ``keys``: ``copies`` of each series as long as before, or parts of them."""
-        if copies is not None:
-            series = self.series * copies if self.series is not None else None
-            return replace(self, keys=keys, long_chunks=self.long_chunks * copies, series=series)
-        return replace(self.reordered(self.ts, *self.ties), keys=keys, series=None)
+    def keyed_by(self, *keys: str, copies: int = 1) -> SeriesSpec:
+        """The spec for series keyed by ``keys``, each row of which stands for ``copies`` rows.
+
+        Series of more keys are no longer than those of fewer; any series is no longer than the table.
+        """
+        rows = self.rows * copies if self.rows is not None else None
+        return replace(self, keys=keys, max_rows=self.max_rows if set(keys) >= set(self.keys) else rows, rows=rows)
 
     def reordered(self, ts: str, *ties: str) -> SeriesSpec:
-        """The same series in another order, or a selection of their rows. A bound that needs no cut still holds."""
-        if self.max_rows is not None and self.max_rows <= self.slice_rows:
-            return replace(self, ts=ts, ties=ties)
-        return replace(self, ts=ts, ties=ties, chunk_width=None, max_rows=None, long_chunks=0, cuts=())
+        """The same series in another order, or a selection of their rows: the bounds still hold."""
+        return replace(self, ts=ts, ties=ties)
 
     def measured(self, df: DataFrame) -> SeriesSpec:
         """Count the rows of every series (one small job) unless a bound is known."""
         if self.max_rows is not None:
             return self
-        at = self.position(df)
-        per_series = df.groupBy(*self.keys).agg(F.count("*").alias("n"), (F.max(at) - F.min(at)).alias("span"))
-        chunks = F.col("n") * F.lit(CHUNKS_PER_SLICE / self.slice_rows)
-        size = per_series.agg(
-            F.max("n").alias("longest"),
-            F.count("*").alias("series"),
-            F.min(F.when((F.col("n") > self.slice_rows) & (F.col("span") > 0), F.col("span") / chunks)).alias("width"),
-        ).first()
-        known = replace(self, max_rows=size["longest"] or 0, series=size["series"])
-        if known.max_rows <= self.slice_rows:
-            return known
-        if known.chunk_width is None:
-            known = replace(known, chunk_width=size["width"] or 1.0)
-            while not (cuts := known.crowded(df)).isEmpty():
-                known = replace(known, cuts=(*known.cuts, cuts))
-        return replace(known, long_chunks=chunk_counts(df, known).count())
-
-    def crowded(self, df: DataFrame) -> DataFrame:
-        """The crowded chunks of more than one time, where each begins and the step that cuts it."""
-        at = self.position(df)
-        per_chunk = self.chunked(df.withColumn("__at", at)).groupBy(*self.keys, CHUNK).agg(
-            F.count("*").alias("n"), F.min("__at").alias("__low"), F.max("__at").alias("__high"))
-        many = (F.col("n") > CROWDED * self.slice_rows) & (F.col("__high") > F.col("__low"))
-        step = (F.col("__high") - F.col("__low")) * self.slice_rows / (CHUNKS_PER_SLICE * F.col("n"))
-        return per_chunk.where(many).select(
-            *[F.col(k).alias(f"__c_{k}") for k in self.keys], F.col(CHUNK).alias("__crowded"), "__low", step.alias("__step"))
+        size = df.groupBy(*self.keys).agg(F.count("*").alias("n")).agg(F.max("n").alias("longest"), F.sum("n").alias("rows")).first()
+        return replace(self, max_rows=size["longest"] or 0, rows=size["rows"] or 0)
+
+    def whole(self) -> bool:
+        return self.max_rows <= self.slice_rows
 
 
 BAR_SERIES = SeriesSpec()
 
 
-def chunk_counts(df: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """Rows per time chunk of the long series."""
-    return (
-        spec.chunked(df).groupBy(*spec.keys, CHUNK)
-        .agg(F.count("*").alias("n"))
-        .withColumn("total", F.sum("n").over(Window.partitionBy(*spec.keys)))
-        .filter(F.col("total") > spec.slice_rows)
-    )
-
-
-def slice_map(df: DataFrame, spec: SeriesSpec, lookback: int, lookahead: int) -> DataFrame:
-    """(keys, chunk) of the long series -> home slice and all slices that need the chunk's rows."""
-    series = Window.partitionBy(*spec.keys)
-    by_chunk = series.orderBy(CHUNK)
-    counted = (
-        chunk_counts(df, spec)
-        .withColumn("end", F.sum("n").over(by_chunk.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("begin", F.col("end") - F.col("n"))
-        .withColumn(HOME, F.floor(F.col("begin") / F.lit(spec.slice_rows)))
-    )
-    needed = [F.array(HOME)]
-    if lookback:
-        # a chunk ends where the next one begins, so the chunks beginning within `lookback` rows after
-        # this chunk's end are the successors of the chunks whose end lies in that range
-        counted = counted.withColumn("next_home", F.lead(HOME).over(by_chunk))
-        after = series.orderBy("end").rangeBetween(0, lookback - 1)
-        needed.append(F.collect_set("next_home").over(after))
-    if lookahead:
-        counted = counted.withColumn("prev_home", F.lag(HOME).over(by_chunk))
-        before = series.orderBy("begin").rangeBetween(-(lookahead - 1), 0)
-        needed.append(F.collect_set("prev_home").over(before))
-    slices = needed[0]
-    for more in needed[1:]:
-        slices = F.array_union(slices, more)
-    return counted.select(*spec.keys, CHUNK, HOME, slices.alias("__slices"))
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as keep it apart from the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 @dataclass(frozen=True)
@@ -178,15 +99,24 @@ class Layout:
     df: DataFrame
     spec: SeriesSpec
     split: bool
+    slice: str = SLICE
+    home: str = HOME
+    place: str = PLACE
 
     @property
     def window(self) -> WindowSpec:
-        return self.spec.window(SLICE) if self.split else self.spec.window()
+        if self.split:  # the slice comes first, as rows are dealt out by it
+            return Window.partitionBy(self.slice, *self.spec.keys).orderBy(self.place)
+        return self.spec.window()
+
+    @property
+    def own(self) -> Column:
+        return F.col(self.slice) == F.col(self.home)
 
     def finish(self, df: DataFrame) -> DataFrame:
         if not self.split:
             return df
-        return df.filter(F.col(SLICE) == F.col(HOME)).drop(SLICE, HOME)
+        return df.filter(self.own).drop(self.slice, self.home, self.place)
 
     def running(self, df: DataFrame, **columns: tuple) -> DataFrame:
         """Add running aggregates from the first row of the series to the current one.
@@ -200,7 +130,7 @@ class Layout:
         frame = self.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         parts = [_Part(n, c[0], c[1], c[2] if len(c) > 2 else None, columns) for n, c in columns.items()]
         free, bound = [p for p in parts if p.moves_with is None], [p for p in parts if p.moves_with is not None]
-        home = F.col(SLICE) == F.col(HOME) if self.split else None
+        home = self.own if self.split else None
 
         def over_frame(p: _Part, name: str, kind: str) -> Column:
             value = F.when(home, p.value) if self.split else p.value
@@ -219,23 +149,21 @@ class Layout:
 
     def _with_carry(self, kept: list[str], local: DataFrame, free: list[_Part], bound: list[_Part]) -> DataFrame:
         """Complete running values that start anew in every slice."""
-        keys = (*self.spec.keys, SLICE)
+        keys = self.spec.keys
         names = [p.name for p in (*free, *bound)] + [p.other_end for p in bound if p.scaled]
         # a slice's last own row holds its totals
-        at = F.when(F.col(SLICE) == F.col(HOME), ordering(self.spec.order))
-        # short series need no totals; a filter on the slice reaches below the windows and the shuffle
-        long = local.filter(F.col(SLICE) != SHORT)
-        totals = long.groupBy(*keys).agg(F.max_by(F.struct(*names), at).alias("__t")).select(*keys, "__t.*")
-        earlier = Window.partitionBy(*self.spec.keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-        carried = totals.withColumns({p.carry: _AGGREGATES[p.kind](F.col(p.name)).over(earlier) for p in free})
+        totals = local.filter(self.own).groupBy(self.slice, *keys).agg(F.max_by(F.struct(*names), self.place).alias("__totals"))
+        totals = totals.select(self.slice, *keys, "__totals.*")
+        earlier = Window.partitionBy(*keys).orderBy(self.slice).rowsBetween(Window.unboundedPreceding, -1)
+        carried = totals.withColumn("__earlier", F.count("*").over(earlier))
+        carried = carried.withColumns({p.carry: _AGGREGATES[p.kind](F.col(p.name)).over(earlier) for p in free})
         carried = carried.withColumns({p.carry: _AGGREGATES[p.kind](p.moved()).over(earlier) for p in bound})
-        # first slices carry nothing: what is left are the further slices of long series
-        carried = carried.filter(F.col(SLICE) > 0).select(
-            *[F.col(c).alias(f"__k_{c}") for c in keys], *[p.carry for p in (*free, *bound)]
-        )
-        if self.spec.long_chunks <= self.spec.broadcast_rows:
-            carried = F.broadcast(carried)
-        on = [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in keys]
+        # the series that reaches into a slice from before: one at most
+        carried = carried.filter("__earlier > 0").select(
+            F.col(self.slice).alias("__into"), *[F.col(k).alias(f"__into_{i}") for i, k in enumerate(keys)], *[p.carry for p in (*free, *bound)])
+        on = F.col(self.slice) == F.col("__into")
+        for i, k in enumerate(keys):
+            on = on & F.col(k).eqNullSafe(F.col(f"__into_{i}"))
         return local.join(carried, on, "left").select(
             *kept,
             *[_COMBINE[p.kind](F.col(p.carry), F.col(p.name)).alias(p.name) for p in free],
@@ -281,20 +209,49 @@ _COMBINE = {
 
 def layout(df: DataFrame, spec: SeriesSpec = BAR_SERIES, lookback: int = 0, lookahead: int = 0) -> Layout:
     spec = spec.measured(df)
-    if spec.max_rows <= spec.slice_rows:
+    if spec.whole():
         return Layout(df, spec, split=False)
-    slices = slice_map(df, spec, lookback, lookahead)
-    if spec.long_chunks <= spec.broadcast_rows:
-        slices = F.broadcast(slices)
-    on_names = (*spec.keys, CHUNK)
-    slices = slices.select(*[F.col(c).alias(f"__k_{c}") for c in on_names], HOME, "__slices")
-    joined = spec.chunked(df).join(slices, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in on_names], "left")
-    placed = joined.select(
-        *df.columns,
-        F.coalesce(F.col(HOME), F.lit(SHORT)).alias(HOME),
-        F.explode(F.coalesce(F.col("__slices"), F.array(F.lit(SHORT).cast("bigint")))).alias(SLICE),
-    )
-    return Layout(placed, spec, split=True)
+    if not lookback and not lookahead:
+        return ranges(df, spec)
+    names = [free_name(df, n) for n in (SLICE, HOME, PLACE)]
+    slice_, place = F.col(names[0]), F.col(names[2])
+    numbered = _numbered(df, spec, names[2])
+    # rows 0 to slice_rows - 1 are slice 0, and so on; the first and last slice that need a row
+    first = F.greatest(F.floor((place - lookahead) / spec.slice_rows), F.lit(0))
+    last = F.floor((place + lookback) / spec.slice_rows)
+    dealt = numbered.withColumn(names[1], F.floor(place / spec.slice_rows)).withColumn(names[0], F.explode(F.sequence(first, last)))
+    return Layout(dealt.repartition(slice_), spec, True, *names)
+
+
+def ranges(df: DataFrame, spec: SeriesSpec) -> Layout:
+    """A layout without halos whose slices are the ranges that Spark deals out: for running values, and without a count."""
+    names = [free_name(df, n) for n in (SLICE, HOME, PLACE)]
+    ranged = _in_ranges(df, spec, names[2])
+    part = F.shiftright(names[2], 33)
+    return Layout(ranged.withColumns({names[0]: part, names[1]: part}).repartition(F.col(names[0])), spec, True, *names)
+
+
+def _in_ranges(df: DataFrame, spec: SeriesSpec, at: str) -> DataFrame:
+    """``df`` range-partitioned in the full order, and where each row stands: the partition in the upper 31 bits, the place in it below."""
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), -(-(spec.rows or 0) // spec.slice_rows))
+    tie = free_name(df, "__tie")
+    order = [*spec.keys, *spec.order, tie]
+    ranged = df.withColumn(tie, F.xxhash64(*df.columns)).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # Spark samples the ranges anew wherever the rows are read, so they are kept once dealt out
+    return checkpointed(ranged.drop(tie).withColumn(at, F.monotonically_increasing_id()))
+
+
+def _numbered(df: DataFrame, spec: SeriesSpec, place: str) -> DataFrame:
+    """``df`` with the number of each row, from 0, in the order of the series and of the rows of each."""
+    at, part = free_name(df, "__at"), free_name(df, "__part")
+    ranged = _in_ranges(df, spec, at).withColumn(part, F.shiftright(at, 33))
+    nth = F.col(at).bitwiseAND(F.lit(_IN_PARTITION))
+    sizes = ranged.groupBy(F.col(part).alias("part")).agg((F.max(nth) + 1).alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    starts = sizes.select(F.col("part").alias("__of"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))
+    # as many rows as partitions, 16 bytes each: one for every slice
+    joined = ranged.join(F.broadcast(starts), F.col(part) == F.col("__of"))
+    return joined.select(*df.columns, (F.col("__before") + nth).alias(place))
 
 
 def over_series(
