@@ -14,26 +14,31 @@ from pyspark.sql import functions as F
 from tidemark.llm import byte_bpe, language, mixing, near_duplicates, secret_scan
 from tidemark.llm.common import checkpointed, release
 from tidemark.llm.queries import BYTE_VOCABULARY, PIECE_VOCABULARY
+from tidemark.plans.series import free_name
 from tidemark.plans.storage import new_folder
 
+#: A language counts if its share of the probability is more than this.
+LEAST_SCORE = 0.5
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaves out documents without a language: null texts and texts without a letter.  All columns stay as they are.
+    """Keeps documents that the model gives a language: one that is likelier than all others together.  All columns stay as they are.
 
-    The criterion is the model's score, which is 0 just for those, whatever label is likeliest.  Where nothing can be
-    learned (no learnable row has a ``lang``) there is no score, and texts are asked for a letter themselves.
+    Null texts and texts without a letter have no language; of the others those go whose score, the likeliest language's share, is
+    ``LEAST_SCORE`` or less.  Where nothing can be learned (no learnable row has a ``lang``) there is no score, and
+    texts are only asked for a letter.
     """
     model = language.fit(docs, public_tokenizers.path(PIECE_VOCABULARY))
     if not model.languages:
         return docs.where(language.has_letter(docs))
-    said = docs.withColumn("__said", language.prediction(docs, model))
-    return said.where("__said.score > 0").select(*docs.columns)
+    said = free_name(docs, "__said")
+    return docs.withColumn(said, language.prediction(docs, model)).where(F.col(said)["score"] > LEAST_SCORE).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each group of near duplicates the document of the smallest id, and of repeated rows of an id one.
 
-    Rows without an id stay.
+    The groups are those of ``op2_near_duplicates``, whose contract says four words to a shingle.  Rows without an id stay.
     """
     found = near_duplicates.near_duplicates(docs)
     times = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"), F.min("kept").alias("kept"))
