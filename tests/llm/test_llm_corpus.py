@@ -416,7 +416,8 @@ def test_licenses(spark, tmp_path):
     rows = [(i, " ".join(rng.choice(some) for _ in range(rng.randrange(0, 12)))) for i in range(150)]
     rows += [(500, notice), (501, notice.replace("limitation", "any limitation")), (502, None), (503, ""), (None, "mit license"), (504, "mit license")]
     rows += [(504, "mit license"), (505, "mit"), (506, "word " * 100_000 + "apache license"), (507, "mit License mIT Kelvin lİcense"),
-             (508, "mit mit license license mit license")]
+             (508, "mit mit license license mit license"), (509, "the " + "CC BY " * 40 + ". Licensed under CC BY-NC 4.0. " + "BY NC " * 30),
+             (510, "Licensed under CC BY-NC 4.0."), (511, "CC BY " * 3000)]
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, template int")
     df.write.parquet(f"{tmp_path}/documents.parquet")
     out = QUERIES["op9_licenses"](spark, str(tmp_path)).collect()
@@ -428,18 +429,85 @@ def test_licenses(spark, tmp_path):
     assert sorted((tuple(r)[:6] for r in out), key=repr) == sorted(want, key=repr)
     by = {r["doc_id"]: r for r in out}
     assert by[500]["labels"] == "mit" and by[501]["labels"] == "mit" and by[501]["score"] >= 0.7
+    assert by[509]["labels"] == "cc-by-nc" and by[509]["score"] == 1.0 and by[510]["labels"] == "cc-by-nc" and by[511]["labels"] == ""
     assert all(set(r["base_labels"].split(",")) <= set(r["labels"].split(",")) or not r["base_labels"] for r in out)
     assert by[505]["score"] == 0.0 and by[505]["labels"] == ""
     assert licenses.find_licenses(df.where("false")).count() == 0
 
 
-def plain_quality(evidence, groups, good, strength_path, host_share):
-    out = {}
-    for i, (e, g) in enumerate(zip(evidence, groups)):
-        others = [x for x, h in zip(evidence, groups) if h == g]
-        prior = (sum(others) - e + strength_path * host_share[g]) / (len(others) - 1 + strength_path)
-        z = math.log(e / (1 - e)) - math.log(good / (1 - good)) + math.log(prior / (1 - prior))
-        out[i] = 1 / (1 + math.exp(-z))
+def plain_notices(text):
+    """The labels of notices whose groups stand in a window of twice their length, on diagonals that are neighbours, by trying all windows."""
+    words, out = licenses.template_words(text), set()
+    for label, notice in licenses.NOTICES:
+        own = licenses.template_words(notice)
+        width = licenses.LONG if len(own) > 2 * licenses.LONG else licenses.SHORT
+        n = len(own) - width + 1
+        votes = [(a, k) for a in range(len(words) - width + 1) for k in range(n) if words[a:a + width] == own[k:k + width]]
+        diagonals = sorted({a - k for a, k in votes})
+        bands = []
+        for d in diagonals:
+            if not bands or d - bands[-1][-1] > licenses.NEIGHBOURS:
+                bands.append([])
+            bands[-1].append(d)
+        for band in bands:
+            here = [(a, k) for a, k in votes if band[0] <= a - k <= band[-1]]
+            for first, _ in here:
+                held = {k for a, k in here if first <= a and a + width - first <= 2 * len(own)}
+                if len(held) >= licenses.COVERED * n:
+                    out.add(label)
+    return out
+
+
+def test_notices_beside_noise(spark):
+    rng, rows = random.Random(17), []
+    for i in range(120):
+        label, notice = rng.choice(licenses.NOTICES)
+        own = notice.split()
+        if rng.random() < 0.6:  # words changed, put in or left out
+            for _ in range(rng.randrange(4)):
+                k = rng.randrange(len(own))
+                own[k:k + rng.randrange(2)] = [rng.choice(["other", own[rng.randrange(len(own))]])]
+        parts = [" ".join(own)] + [" ".join(rng.choice(notice.split()) for _ in range(rng.randrange(40))) for _ in range(3)]
+        parts += [" ".join(notice.split()[:rng.randrange(1, 4)] * rng.randrange(20))]
+        rng.shuffle(parts)
+        rows.append((i, " ".join(parts)))
+    out = licenses.find_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = {r["doc_id"]: {f["label"] for f in r["found"] if not f["phrase"]} for r in out}
+    for i, text in rows:
+        assert found[i] == plain_notices(text), (text, found[i], plain_notices(text))
+
+
+def plain_strength(groups, prior):
+    """p(1 - p) over the variance between groups, by moments; groups: {name: (good, n)}."""
+    n = sum(k for _, k in groups.values())
+    apart = sum(k * (g / k - prior[name]) ** 2 for name, (g, k) in groups.items())
+    within = sum(prior[name] * (1 - prior[name]) for name in groups)
+    scale = sum(k * prior[name] * (1 - prior[name]) for name, (_, k) in groups.items())
+    between = max(0.0, apart - within) / n
+    return min(1e6, max(1.0, scale / n / between if between > 0 else 1e6))
+
+
+def plain_quality(evidence, hosts, paths, good):
+    """(host_share, path_share, posterior) of every row, by going over all rows."""
+    def sums(names):
+        out = defaultdict(lambda: (0.0, 0))
+        for e, name in zip(evidence, names):
+            out[name] = (out[name][0] + e, out[name][1] + 1)
+        return out
+
+    both = list(zip(hosts, paths))
+    of_host, of_path = sums(hosts), sums(both)
+    overall = (sum(evidence) + 1) / (len(evidence) + 2)
+    strength = plain_strength(of_host, dict.fromkeys(of_host, overall))
+    host = {h: (g + strength * overall) / (n + strength) for h, (g, n) in of_host.items()}
+    strength = plain_strength(of_path, {p: host[p[0]] for p in of_path})
+    out = []
+    for e, p in zip(evidence, both):
+        g, n = of_path[p]
+        start = strength * host[p[0]]
+        others = min(1 - 1e-6, max(1e-6, (g - e + start) / (n - 1 + strength)))
+        z = math.log(e / (1 - e)) - math.log(good / (1 - good)) + math.log(others / (1 - others))
+        out.append((host[p[0]], (g + start) / (n + strength), 1 / (1 + math.exp(-z))))
     return out
 
 
@@ -475,6 +543,16 @@ def test_quality(spark):
         g = [x for x in docs if x[0] == r["doc_id"]][0]
         own = [by[x[0]]["evidence"] for x in docs if x[2:4] == g[2:4]]
         assert min(min(own), r["host_share"]) - 1e-9 <= r["path_share"] <= max(max(own), r["host_share"]) + 1e-9
+    values = df.select("doc_id", quality.measured(df).alias("measures"))
+    good = quality.fit(values, told).good
+    place = {(d[0], d[1]): d for d in docs}
+    order = sorted(out, key=lambda r: repr(r["doc_id"]))
+    kept = [next(d for d in docs if d[0] == r["doc_id"]) for r in order]
+    assert len(place) == len(docs)
+    plain = plain_quality([r["evidence"] for r in order], [d[3] for d in kept], [d[2] for d in kept], good)
+    for r, (host, path, posterior) in zip(order, plain):
+        assert r["host_share"] == pytest.approx(host) and r["path_share"] == pytest.approx(path) and r["posterior"] == pytest.approx(posterior)
+        assert r["kept"] == (r["posterior"] >= 0.5)
     assert quality.quality(df.where("false"), told).count() == 0
     blank = quality.quality(df, told.where("false")).collect()
     assert {round(r["evidence"], 9) for r in blank} == {0.5}

@@ -6,10 +6,11 @@ from collections import Counter
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import byte_bpe, secret_scan
-from tidemark.llm.queries import BYTE_VOCABULARY
+from tidemark.llm import byte_bpe, language, secret_scan
+from tidemark.llm.queries import BYTE_VOCABULARY, PIECE_VOCABULARY
 from test_llm_corpus import DOCS, plain_components, plain_mix, prose
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -47,6 +48,16 @@ def test_language_stage_keeps_texts_with_letters(spark, rows):
     assert out == sorted((r for r in rows if r[1] and any(c.isalpha() for c in r[1])), key=repr)
 
 
+def test_language_stage_drops_what_no_language_is_likeliest_for(spark, monkeypatch, rows):
+    df = spark.createDataFrame(rows, DOCS).withColumn("__said", F.lit(7))
+    found = language.predict(df, language.fit(df, public_tokenizers.path(PIECE_VOCABULARY)))
+    scores = sorted(r["score"] for r in found.collect() if r["score"] > 0)
+    middle = scores[len(scores) // 2]
+    monkeypatch.setattr(corpus_pipeline, "LEAST_SCORE", middle)
+    out = corpus_pipeline.identify_language(spark, df, "")
+    assert out.columns == [*COLUMNS, "__said"] and out.count() == sum(s > middle for s in scores) < len(scores)
+
+
 @pytest.mark.parametrize("change", [
     lambda r: (r[0], r[1], None, *r[3:]),
     lambda r: (None, *r[1:]),
@@ -67,6 +78,17 @@ def test_near_duplicate_stage_keeps_one_of_each_group(spark, rows):
     assert columns == COLUMNS and out == want
 
 
+def test_near_duplicate_stage_with_a_frequent_id(spark, rows):
+    many = [(7, prose(random.Random(i % 3), 30), "en", "s", i % 3) for i in range(90)] + rows
+    df = spark.createDataFrame(many, DOCS).withColumns({"mark": F.lit(1), "whole": F.lit("x"), "n": F.lit(2), "kept": F.lit(False)})
+    out = corpus_pipeline.drop_near_duplicates(spark, df, "")
+    assert out.columns == df.columns
+    ids = Counter(r["doc_id"] for r in out.collect())
+    names = plain_components([(r[0], r[1]) for r in many])
+    assert {i for i in ids if i is not None} == {i for i in names if names[i] == i} and all(n == 1 for i, n in ids.items() if i is not None)
+    assert ids[None] == 1
+
+
 def test_secret_stage_redacts(spark, rows):
     columns, out = stage(spark, "secrets", rows)
     assert columns == COLUMNS

@@ -36,25 +36,46 @@ LOOK_ALIKES = dict(zip(
 # Characters that are not seen, and forms of dot, at and hyphen.
 INVISIBLE = "­​‌‍⁠﻿"
 MARKS = {"․": ".", "。": ".", "｡": ".", "·": ".", "‐": "-", "‑": "-", "‒": "-", "–": "-", "−": "-", " ": " ", " ": " ", " ": " "}
-# Digits by name.
-DIGITS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
+# Digits by name, in English, German, French and Spanish.
+DIGITS = {
+    "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
+    "null": "0", "eins": "1", "zwei": "2", "zwo": "2", "drei": "3", "vier": "4", "fünf": "5", "fuenf": "5", "sechs": "6", "sieben": "7", "acht": "8",
+    "neun": "9",
+    "zéro": "0", "un": "1", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7", "huit": "8", "neuf": "9",
+    "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
+}
+# At and dot in the same languages.
+AT_WORDS = "at ät arroba arobase".split()
+DOT_WORDS = "dot punkt punto point".split()
+# Escaped signs, as URLs and HTML write them.
+ESCAPED = {"%40": "@", "%2e": ".", "%2b": "+", "&#64;": "@", "&#x40;": "@", "&commat;": "@", "&#46;": ".", "&#x2e;": ".", "&period;": ".", "&#43;": "+", "&#x2b;": "+"}
 # Ends of domain names that make a plain "name @ host.end" an address.
 ENDS = "com net org edu gov mil int info biz name io co me dev app ai tv us uk de fr es it nl eu ch at be se no dk fi pl pt ru cn jp in br au ca mx".split()
 
 _ODD = re.compile(r"[^\x00-ɏ‘-‟…]|[ ­·]")
 _NAMED = "|".join(sorted(DIGITS, key=len, reverse=True))
-_SPELLED = re.compile(rf"\b(?:plus[\s,]+)?(?:{_NAMED})\b(?:[\s,.\-]+(?:(?:{_NAMED})\b|point\b|dot\b|[0-9]+\b))*", re.I | re.A)
-_SPELLED_PART = re.compile(rf"\bplus\b|\b(?:{_NAMED})\b|\b(?:point|dot)\b|[0-9]+|[\s,.\-]+", re.I | re.A)
-_BRACKETED = re.compile(r"(?<!\s)\s*+[\[({<]\s*(at|dot|punkt|punto|point|arroba|@|\.)\s*[\])}>]\s*", re.I | re.A)
-_NAME_AT_HOST = re.compile(
-    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]++(?:(?:\.|\s+dot\s+)[A-Za-z0-9_%+-]+)*+(?P<at>\s+at\s+|\s*@\s*)"
-    rf"[A-Za-z0-9-]++(?P<labels>(?:(?:\.|\s+dot\s+)[A-Za-z0-9-]+)++)",
-    re.I | re.A,
-)
-_LABEL = re.compile(r"(?P<between>\.|\s+dot\s+)(?P<label>[A-Za-z0-9-]+)", re.I | re.A)
+_AT, _SPOT = "|".join(AT_WORDS), "|".join(DOT_WORDS)
+_SPELLED = re.compile(rf"\b(?:(?:plus|más|mas)[\s,]+)?(?:{_NAMED})\b(?:[\s,.\-]+(?:(?:{_NAMED})\b|(?:{_SPOT})\b|[0-9]+\b))*", re.I)
+_SPELLED_PART = re.compile(rf"\b(?:plus|más|mas)\b|\b(?:{_NAMED})\b|\b(?:{_SPOT})\b|[0-9]+|[\s,.\-]+", re.I)
+_A_NAME = re.compile(rf"\b(?:{_NAMED})\b", re.I).search
+_ESCAPED = re.compile("|".join(map(re.escape, ESCAPED)), re.I)
+_BRACKETED = re.compile(rf"(?<!\s)\s*+[\[({{<]\s*({_AT}|{_SPOT}|@|\.)\s*[\])}}>]\s*", re.I)
+
+
+def _name_at_host(at: str, dot: str) -> re.Pattern:
+    return re.compile(
+        rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]++(?:(?:\.|\s+(?:{dot})\s+)[A-Za-z0-9_%+-]+)*+(?P<at>\s+(?:{at})\s+|\s*@\s*)"
+        rf"[A-Za-z0-9-]++(?P<labels>(?:(?:\.|\s+(?:{dot})\s+)[A-Za-z0-9-]+)++)",
+        re.I,
+    )
+
+
+#: "look at this point" is English prose, so "point" is a dot beside the at of other languages only.
+_NAME_AT_HOST = (_name_at_host(_AT, "dot|punkt|punto"), _name_at_host("ät|arroba|arobase", _SPOT))
+_LABEL = re.compile(rf"(?P<between>\.|\s+(?:{_SPOT})\s+)(?P<label>[A-Za-z0-9-]+)", re.I)
 _TOUCHED_BEFORE = re.compile(r"[0-9+][\s,.()\-]*\Z", re.A)
 _TOUCHED_AFTER = re.compile(r"[\s,.()\-]*[0-9]", re.A)
-_DOT = re.compile(r"(?<!\s)\s++dot\s+", re.I)
+_DOT = re.compile(rf"(?<!\s)\s++(?:{_SPOT})\s+", re.I)
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -145,9 +166,9 @@ def _spelled_digits(layer: Layer, few: bool) -> Layer:
             word = p.group().lower()
             if word in DIGITS:
                 edits.append((p.start(), p.end(), DIGITS[word]))
-            elif word in ("point", "dot"):
+            elif word in DOT_WORDS:
                 edits.append((p.start(), p.end(), "."))
-            elif word == "plus":
+            elif word in ("plus", "más", "mas"):
                 edits.append((p.start(), p.end(), "+"))
             elif not word.isdigit():
                 edits.append((p.start(), p.end(), "." if "." in word else ""))
@@ -155,12 +176,17 @@ def _spelled_digits(layer: Layer, few: bool) -> Layer:
 
 
 def _at_dot(layer: Layer) -> Layer:
-    signs = {"at": "@", "arroba": "@", "@": "@"}
-    edits = [(m.start(), m.end(), signs.get(m[1].lower(), ".")) for m in _BRACKETED.finditer(layer.text)]
+    edits = [(m.start(), m.end(), "@" if m[1] == "@" or m[1].lower() in AT_WORDS else ".") for m in _BRACKETED.finditer(layer.text)]
     if edits:
         layer = layer.rewritten(edits)
+    for pattern in _NAME_AT_HOST:
+        layer = _spaced_at_dot(layer, pattern)
+    return layer
+
+
+def _spaced_at_dot(layer: Layer, pattern: re.Pattern) -> Layer:
     edits = []
-    for m in _NAME_AT_HOST.finditer(layer.text):
+    for m in pattern.finditer(layer.text):
         end = _end_of_host(layer.text, m)
         if end is None:
             continue
@@ -190,10 +216,8 @@ def _end_of_host(text: str, m: re.Match) -> int | None:
     return None
 
 
-_SIGNS = re.compile(r"[\[({<]\s*(?:at|dot|punkt|punto|point|arroba|@|\.)\s*[\])}>]", re.I | re.A)
-
-
-_AT_HOST = re.compile(r"\sat\s+[a-z0-9-]++\.[a-z]")
+_SIGNS = re.compile(rf"[\[({{<]\s*(?:{_AT}|{_SPOT}|@|\.)\s*[\])}}>]", re.I)
+_AT_HOST = re.compile(rf"\s(?:{_AT})\s+[a-z0-9-]++\s*+(?:\.|(?:{_SPOT})\s)\s*[a-z]")
 
 
 def normalised(text: str, few: bool = True) -> Layer:
@@ -201,10 +225,12 @@ def normalised(text: str, few: bool = True) -> Layer:
     layer = Layer.source(text)
     if not text.isascii():
         layer = _look_alikes(layer)
-    low = layer.text.lower()
-    if any(d in low for d in ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine")):
+    if ("%" in layer.text or "&" in layer.text) and (edits := [(m.start(), m.end(), ESCAPED[m.group().lower()]) for m in _ESCAPED.finditer(layer.text)]):
+        layer = layer.rewritten(edits)
+    if _A_NAME(layer.text):
         layer = _spelled_digits(layer, few)
-    if "dot" in low or "@" in low or _AT_HOST.search(low) or _SIGNS.search(low):
+    low = layer.text.lower()
+    if "@" in low or _AT_HOST.search(low) or _SIGNS.search(low):
         layer = _at_dot(layer)
     return layer
 
