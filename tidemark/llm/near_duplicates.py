@@ -34,6 +34,8 @@ _WORDS = re.compile(WORD).findall
 _OTHER_SPACES = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
 #: Characters of distinct words whose hashes a Python worker remembers.
 REMEMBERED = 8_000_000
+#: What is sent to all executors to tell which texts are compared: 64 MiB at most.
+BITS_PER_ID, MOST_BITMAPS = 64, 16_384
 
 
 def split_words(text: str) -> list[str]:
@@ -196,20 +198,21 @@ def _links_left(links: DataFrame, own: DataFrame, sets: DataFrame, numerator: in
     open_keys = tables.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     nodes = tables.join(open_keys.select("key"), "key", "left_semi").groupBy("node", "component").agg(F.lit(1).alias("one"))
     texts = sets.join(nodes, "node").select("node", "component", F.xxhash64("members").alias("set"), F.size("members").alias("n"), "members")
-    members = checkpointed(texts.select("node", "component", "set", "n", F.explode("members").alias("member")))
+    texts = checkpointed(texts)
+    members = texts.select("node", "set", F.explode("members").alias("member"))
 
     common = members.groupBy("member").agg(F.count("*").alias("times")).where("times > 1")
     shared = members.join(common, "member")
-    held = shared.groupBy("node", "set").agg(F.count("*").alias("held"))
-    rarest = Window.partitionBy("node", "set").orderBy("times", "member")
+    text = Window.partitionBy("node", "set")
     early = (
-        shared.join(held, ["node", "set"])
-        .withColumn("at", F.col("n") - F.col("held") + F.row_number().over(rarest) - 1)
+        shared.withColumns({"held": F.count("*").over(text), "nth": F.row_number().over(text.orderBy("times", "member"))})
+        .join(texts.drop("members"), ["node", "set"])
+        .withColumn("at", F.col("n") - F.col("held") + F.col("nth") - 1)
         .where(denominator * F.col("at") <= (denominator - numerator) * F.col("n"))
         .select("member", "node", "component", "n", "at")
     )
     early = checkpointed(early)
-    del members, common, shared, held, texts
+    del members, common, shared, texts
     release(early.sparkSession)
     sizes = early.groupBy("member", "component").agg(F.count("*").alias("texts"))
     largest = sizes.groupBy("member").agg(
@@ -224,6 +227,21 @@ def _links_left(links: DataFrame, own: DataFrame, sets: DataFrame, numerator: in
     return _confirmed(pairs, sets, numerator, denominator)
 
 
+def _perhaps_in(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows (id, text) whose id is among ``ids``, and a few others: texts stay where they are.
+
+    Ids are hashed into bitmaps of some ``BITS_PER_ID`` bits for each, at most ``MOST_BITMAPS`` of 4 KiB, which are sent to all.
+    """
+    size = 32_768  # bits of a Spark bitmap
+    bitmaps = min(MOST_BITMAPS, ids.count() * BITS_PER_ID // size + 1)
+    mark = F.pmod(F.xxhash64("id"), F.lit(bitmaps * size))
+    told = ids.select(mark.alias("mark")).selectExpr(f"mark div {size} AS part", f"mark % {size} AS bit")
+    bits = told.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    asked = rows.withColumn("mark", mark).selectExpr("id", "text", f"mark div {size} AS part", f"CAST(mark % {size} AS int) AS bit")
+    held = "shiftright(CAST(conv(hex(substring(bits, CAST(bit div 8 AS int) + 1, 1)), 16, 10) AS int), bit % 8) & 1 = 1"
+    return asked.join(F.broadcast(bits), "part").where(held).select("id", "text")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, numerator: int = NUMERATOR,
                     denominator: int = DENOMINATOR, items: int = ITEMS, width: int = WIDTH) -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row of ``df``.
@@ -243,6 +261,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.min("id").alias("node"), F.first("n_shingles").alias("n"), F.first("hashes").alias("hashes"))
     texts = checkpointed(texts)
     own = checkpointed(_shared_keys(texts, items, width))
+    sketches, texts = checkpointed(sketches.drop("hashes")), checkpointed(texts.drop("hashes"))
     release(spark)
 
     tables = _tables(own).select("key", "node", "n")
@@ -252,11 +271,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     alike = denominator * F.least("n", "n_centre") >= numerator * F.greatest("n", "n_centre")
     stars = met.where("node <> centre").join(sizes, "centre").where(alike).select(F.col("node").alias("a"), F.col("centre").alias("b"))
 
-    involved = rows.join(met.select(F.col("node").alias("id")).distinct(), "id", "left_semi")
-    involved = involved.groupBy("id", F.xxhash64("text").alias("content")).agg(F.first("text").alias("text"))
-    sets = checkpointed(involved.select("id", "text").mapInPandas(_sets(shingle), "node bigint, members array<bigint>"))
+    sets = _perhaps_in(rows, met.select(F.col("node").alias("id")).distinct()).mapInPandas(_sets(shingle), "node bigint, members array<bigint>")
+    sets = checkpointed(sets.groupBy("node", F.xxhash64("members").alias("set")).agg(F.first("members").alias("members")).select("node", "members"))
     links = checkpointed(_confirmed(stars, sets, numerator, denominator).unionAll(_same_id(sketches, texts)))
-    del tables, centres, met, sizes, stars, involved
+    del tables, centres, met, sizes, stars
     release(spark)
     left = checkpointed(_links_left(links, own, sets, numerator, denominator))
     del own, sets
