@@ -33,7 +33,7 @@ _WORDS = re.compile(WORD).findall
 #: White space to str.split that a word may hold.
 _OTHER_SPACES = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
 #: Characters of distinct words whose hashes a Python worker remembers.
-REMEMBERED = 8_000_000
+REMEMBERED = 2_000_000
 #: What is sent to all executors to tell which texts are compared: 64 MiB at most.
 BITS_PER_ID, MOST_BITMAPS = 64, 16_384
 
