@@ -22,10 +22,12 @@ ALL = "instrument, ts, open, high, low, close, volume, oi"
 FOLDER = r"instrument=([^/]+)/"
 
 
-def _csv_folders(spark, sf_dir, columns=("ts", "open", "high", "low", "close", "volume", "oi"), header=True):
-    """One CSV file per instrument."""
+def _csv_folders(spark, sf_dir, columns=("ts", "open", "high", "low", "close", "volume", "oi"), header=True, lost=None):
+    """One CSV file per instrument; bars that are ``lost`` have no valid time."""
     path = new_folder(spark, "bars-csv")
     bars = events_bars(spark, sf_dir).withColumn("ts", F.date_format("ts", BAR_TS_FORMAT))
+    if lost is not None:
+        bars = bars.withColumn("ts", F.when(lost, F.lit("lost")).otherwise(F.col("ts")))
     one_file_each = bars.select("instrument", *columns).repartition("instrument")
     one_file_each.write.option("header", header).partitionBy("instrument").csv(path)
     return path
@@ -79,19 +81,23 @@ def read_bars_directory(spark, sf_dir):
     return B.read_bars_directory(spark, path, names, recursiveFileLookup=True).select(*ALL.split(", "))
 
 
-GIVEN = "benchmark conversations customer documents embeddings events labels lineitem nation orders pages part region supplier".split()
-
-
-@query("list_bar_files", f"SELECT unnest({[f'{t}.parquet' for t in GIVEN]}) AS file_name")
+@query("list_bar_files", with_events("SELECT 'part.csv' AS file_name FROM events_bars GROUP BY instrument"))
 def list_bar_files(spark, sf_dir):
-    """The files of the given tables."""
-    return list_files(spark, sf_dir, "*.parquet")
-
-
-@query("bar_file_profile", with_events("""SELECT instrument, count(*) AS records, min(ts) AS min_ts, max(ts) AS max_ts,
-  'ts,open,high,low,close,volume,oi' AS columns, true AS has_size, NULL::VARCHAR AS error FROM events_bars GROUP BY 1"""))
+    """The CSV files below a folder, one for each instrument, beside files of another kind; Spark numbers the names."""
+    path = _csv_folders(spark, sf_dir)
+    events_bars(spark, sf_dir).limit(1).write.mode("append").parquet(path)
+    found = list_files(spark, path, "*.csv", recursive=True)
+    return found.select(F.regexp_replace("file_name", "^part-.*[.]csv$", "part.csv").alias("file_name"))
+
+
+@query("bar_file_profile", with_events("""SELECT instrument, count(*) FILTER (close <> open) AS records,
+  min(ts) FILTER (close <> open) AS min_ts, max(ts) FILTER (close <> open) AS max_ts,
+  'ts,open,high,low,close,volume,oi' AS columns, true AS has_size,
+  CASE WHEN count(*) FILTER (close = open) > 0 THEN count(*) FILTER (close = open) || ' lines without a valid time' END AS error
+FROM events_bars GROUP BY 1"""))
 def bar_file_profile(spark, sf_dir):
-    found = profile(spark, _csv_folders(spark, sf_dir), recursiveFileLookup=True)
+    """Files with damaged lines: bars that close where they opened have lost their time."""
+    found = profile(spark, _csv_folders(spark, sf_dir, lost=F.col("close") == F.col("open")), recursiveFileLookup=True)
     return found.select(
         F.regexp_extract("file_path", FOLDER, 1).alias("instrument"), "records", "min_ts", "max_ts",
         F.array_join("columns", ",").alias("columns"), (F.col("size") > 0).alias("has_size"), "error",

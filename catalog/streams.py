@@ -1,7 +1,4 @@
-"""Streams: the tables are replayed as files, and what the stream wrote is read back.
-
-The SQL restricts itself to the bars whose end the watermark has passed when the replay is over.
-"""
+"""Streams: the tables are replayed as files, and what the stream wrote is read back."""
 
 from __future__ import annotations
 
@@ -29,11 +26,6 @@ EVENTS = T.StructType(
 TICKS = INTRADAY.__class__(ties=("event_id",))
 BAR_COLUMNS = ["instrument", "ts", "open", "high", "low", "close", "volume", "oi"]
 
-# bars that the stream has emitted by the end of a replay
-EMITTED = f"""{EVENTS_BARS},
-emitted AS MATERIALIZED (SELECT * FROM events_bars
-  WHERE ts + INTERVAL 3 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 15 MINUTE)"""
-
 
 def ticks(spark, folder, pattern="events.parquet"):
     """The events as ticks: every price column is the value."""
@@ -68,16 +60,19 @@ def bar_stream(spark, sf_dir):
     return B.event_time(B.read_stream(spark, path, bars.schema, files_per_trigger=1))
 
 
-@query("stream_resample", f"WITH {EVENTS_BARS} SELECT * FROM events_bars")
-def stream_resample(spark, sf_dir):
-    """All bars: a last tick a day later moves the watermark past the end of every other one's bar."""
+def closed_bars(spark, sf_dir):
+    """All bars as a stream: a last tick a day later moves the watermark past the end of every other one's bar."""
     path = new_folder(spark, "ticks")
     events = table(spark, sf_dir, "events")
     events.write.parquet(path)
     end = events.agg((F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"), F.max("event_id").alias("event_id"))
     end.select("event_id", "ts", *[F.lit(None).cast(events.schema[c].dataType).alias(c) for c in events.columns[2:]]).write.mode("append").parquet(path)
-    bars = B.stream_resample(ticks(spark, path, None), "3min", "15 minutes", TICKS)
-    return replay(spark, bars, "stream-bars").select(*BAR_COLUMNS)
+    return B.stream_resample(ticks(spark, path, None), "3min", "15 minutes", TICKS)
+
+
+@query("stream_resample", f"WITH {EVENTS_BARS} SELECT * FROM events_bars")
+def stream_resample(spark, sf_dir):
+    return replay(spark, closed_bars(spark, sf_dir), "stream-bars").select(*BAR_COLUMNS)
 
 
 @query("stream_market_gate", """SELECT event_id, ts, event_type FROM events
@@ -87,11 +82,11 @@ def stream_market_gate(spark, sf_dir):
     return replay(spark, B.stream_market_gate(events).select("event_id", "ts", "event_type"), "stream-gate")
 
 
-@query("stream_signals", f"""WITH {EMITTED}, {LIVE.format(bars='emitted')}
+@query("stream_signals", f"""WITH {EVENTS_BARS}, {LIVE.format(bars='events_bars')}
 SELECT instrument, ts, close, doi, d2oi, signal, reason FROM c""")
 def stream_signals(spark, sf_dir):
     """Two streams: ticks to a table of bars, and that table to signals."""
-    bars = B.stream_resample(ticks(spark, sf_dir), "3min", "15 minutes", TICKS)
+    bars = closed_bars(spark, sf_dir)
     path = new_folder(spark, "stream-bars")
     S.write_table(bars, path, new_folder(spark, "stream-bars-checkpoint"), availableNow=True).awaitTermination()
     again = B.read_stream(spark, path, bars.schema)
