@@ -15,6 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import checkpointed
 from tidemark.llm.license_texts import NOTICES, PHRASES
 
 #: Words in a group: of the longest templates, of phrases and short notices.
@@ -121,6 +122,7 @@ def find_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sums = bands.groupBy(*doc, *template, "band").agg(
         F.sum("rows").alias("rows"), F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("votes"),
         F.collect_list(F.struct("diagonal", "places")).alias("diagonals"), F.min("first").alias("first"), F.max("last").alias("last"))
+    sums = checkpointed(sums)  # texts are read once
     whole = sums.where("phrase AND votes = groups").select(*doc, find(F.col("first"), F.col("last") + width).alias("find"))
     likely = sums.where(~F.col("phrase") & (covered >= COVERED))
     longest = max((len(template_words(text)) for _, text in notices), default=0)
