@@ -36,7 +36,8 @@ def series(kind, n, rng):
         level *= 1 + rng.gauss(0, 0.02)
         out.append({
             "drift": level, "small": float(rng.randrange(1, 6)), "zeros": float(rng.randrange(-3, 4)), "line": 100 + 2.0 * i,
-            "signs": level if rng.random() < 0.95 else -level, "gap": math.nan if i == 40 else level,
+            "mostly zeros": 0.0 if rng.random() < 0.9 else level, "zeros, then none": 0.0 if i < n // 2 else level,
+            "through zero": float(i - n // 2), "signs": level if rng.random() < 0.95 else -level, "gap": math.nan if i == 40 else level,
         }[kind])
     return out
 
@@ -45,7 +46,7 @@ def series(kind, n, rng):
 def test_breaks_equal_those_of_refits(spark, deviation, shortest):
     rng = random.Random(7)
     start = dt.datetime(2024, 1, 1)
-    made = {f"{kind}{n}": series(kind, n, rng) for kind in ("drift", "small", "zeros", "line", "signs", "gap") for n in (1, 60, 300)}
+    made = {f"{kind}{n}": series(kind, n, rng) for kind in ("drift", "small", "zeros", "line", "signs", "gap", "mostly zeros", "zeros, then none", "through zero") for n in (1, 60, 300)}
     rows = [(name, start + dt.timedelta(minutes=i), y) for name, values in made.items() for i, y in enumerate(values)]
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "instrument string, ts timestamp_ntz, v double")
@@ -62,3 +63,12 @@ def test_a_long_segment_is_walked_once(spark):
         F.lit("A").alias("instrument"), (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_interval(mins=F.col("id"))).alias("ts"),
         (100_000 + 50 * F.col("id") + 200 * F.sin("id")).alias("v"))
     assert [(r.start_row, r.end_row) for r in piecewise_segments(rows, "v", 0.5, by=("instrument",)).collect()] == [(0, 99_999)]
+
+
+def test_zeros_are_as_quick_as_other_values(spark):
+    """A file without open interest is read as zeros."""
+    rows = spark.range(100_000).select(
+        F.lit("A").alias("instrument"), (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_interval(mins=F.col("id"))).alias("ts"),
+        F.when(F.col("id") < 60_000, 0.0).otherwise(F.lit(5.0)).alias("v"))
+    found = piecewise_segments(rows, "v", 0.5, 5, by=("instrument",)).orderBy("start_row").collect()
+    assert [(r.start_row, r.end_row) for r in found] == [(0, 59_999), (60_000, 99_999)]

@@ -50,11 +50,13 @@ def _walker(by, ts, max_deviation, min_segment_len):
 
     A line misses no value by more than the allowed share if it runs below all values raised by it and above all
     lowered by it.  Of these two rows of points only the hulls matter, and on a hull the point nearest to a line is found by
-    bisection; the line itself follows from running sums.  Only where the nearest point is as close as rounding can
-    blur, or a value is zero or not finite, are all distances computed.
+    bisection; the line itself follows from running sums.  A value of zero allows no distance at all, so a line misses one unless it
+    goes through it, which only the zeros around its own zero can be.  Only where the nearest point is as close as rounding can
+    blur, or a value is not finite, are all distances computed.
     """
 
     def walk(batches):
+        import bisect
         import math
 
         import numpy as np
@@ -108,30 +110,48 @@ def _walker(by, ts, max_deviation, min_segment_len):
             def __init__(self, y):
                 self.values, self.base = [], y
                 self.sum = self.sum_x = self.scale = 0.0
-                self.odd = not max_deviation >= 0  # judged by all distances
+                self.odd = not 0 <= max_deviation < math.inf  # judged by all distances
                 self.below, self.above = Hull(1), Hull(-1)
+                self.zeros = []
                 self.add(y)
 
             def add(self, y):
                 n, rise = len(self.values), y - self.base
                 self.values.append(y)
-                self.odd = self.odd or y == 0 or not math.isfinite(y)
+                self.odd = self.odd or not math.isfinite(y)
+                if y == 0:
+                    self.zeros.append(n)
                 self.scale = max(self.scale, abs(y))
                 self.sum, self.sum_x = self.sum + rise, self.sum_x + n * rise
                 if y > 0 and not self.odd:  # the distance of a negative value counts as negative, so it allows everything
                     self.below.add(n, rise + max_deviation * y)
                     self.above.add(n, rise - max_deviation * y)
 
+            def meets_a_zero(self, level, slope):
+                """Whether the line may go through a value of zero: that is, whether rounding hides by how much it misses the nearest one."""
+                places = {self.zeros[0], self.zeros[-1]}
+                if slope:
+                    near = bisect.bisect_left(self.zeros, -level / slope)
+                    places.update(self.zeros[max(0, near - 1):near + 1])
+                return any(abs(level + slope * x) <= blur * self.scale for x in places)
+
             def holds(self):
                 """Whether the line through all values is near enough to them."""
                 n = len(self.values)
                 if not self.odd:
+                    if not self.scale:
+                        return True  # nothing but zeros, all of them on the line
                     middle = (n - 1) / 2
                     slope = (self.sum_x - middle * self.sum) * 12 / (n * (n * n - 1)) if n > 1 else 0.0
                     level = self.sum / n - slope * middle
-                    worst = max(self.below.excess(level, slope), self.above.excess(level, slope))
-                    if abs(worst) > blur * self.scale:
-                        return worst < 0
+                    if self.zeros:
+                        # any distance from a zero is too much
+                        if not self.meets_a_zero(self.base + level, slope):
+                            return False
+                    else:
+                        worst = max(self.below.excess(level, slope), self.above.excess(level, slope))
+                        if abs(worst) > blur * self.scale:
+                            return worst < 0
                 return not misses(self.values) > max_deviation
 
         group, first, first_ts, last_ts, segment = None, 0, None, None, None
