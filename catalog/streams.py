@@ -47,16 +47,23 @@ def replay(spark, stream, name):
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
 
 
-def bar_stream(spark, sf_dir):
-    """Bars as they would be appended to a table: in three parts, one after the other, each a batch of its own."""
+def bar_stream(spark, sf_dir, arrival=None, closing=False):
+    """Bars as they would be appended to a table: in three parts by time of arrival, one after the other, each a batch of its own.
+
+    With ``closing`` a bar of no known instrument follows a day later, which moves time past all others.
+    """
     path = new_folder(spark, "bars")
     bars = events_bars(spark, sf_dir)
     begin, end = bars.agg(F.min("ts"), F.max("ts")).first()
-    third = (end - begin) / 3
-    for since, until in ((begin, begin + third), (begin + third, begin + 2 * third), (begin + 2 * third, None)):
-        part = bars.where(F.col("ts") >= F.lit(since))
-        part = part if until is None else part.where(F.col("ts") < F.lit(until))
+    third, arrives = (end - begin) / 3, F.col("ts") if arrival is None else arrival
+    for since, until in ((None, begin + third), (begin + third, begin + 2 * third), (begin + 2 * third, None)):
+        part = bars if since is None else bars.where(arrives >= F.lit(since))
+        part = part if until is None else part.where(arrives < F.lit(until))
         part.coalesce(1).write.mode("append").parquet(path)
+    if closing:
+        bars.agg((F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("ts")).select(
+            *[F.col("ts") if f.name == "ts" else F.lit("(end)" if f.name == "instrument" else None).cast(f.dataType).alias(f.name) for f in bars.schema]
+        ).write.mode("append").parquet(path)
     return B.event_time(B.read_stream(spark, path, bars.schema, files_per_trigger=1))
 
 
@@ -94,6 +101,16 @@ def stream_signals(spark, sf_dir):
     return out.select("instrument", "ts", "close", "doi", "d2oi", "signal", "reason")
 
 
+@query("stream_signals_late", f"""WITH {EVENTS_BARS}, {LIVE.format(bars='events_bars')}
+SELECT instrument, ts, close, doi, d2oi, signal, reason FROM c""")
+def stream_signals_late(spark, sf_dir):
+    """Bars that arrive up to twelve minutes late, out of order; the closing bar is of another instrument."""
+    late = F.col("ts") + F.make_dt_interval(mins=(F.col("oi") % 5 * 3).cast("int"))
+    stream = bar_stream(spark, sf_dir, late, closing=True)
+    out = replay(spark, V.stream_signals(stream, spec=INTRADAY, delay=900), "stream-signals-late")
+    return out.select("instrument", "ts", "close", "doi", "d2oi", "signal", "reason")
+
+
 ROUND_TRIPS = """p AS (SELECT *, coalesce(last_value(CASE signal WHEN 'BUY' THEN 1 WHEN 'SELL' THEN 0 END IGNORE NULLS)
   OVER (PARTITION BY instrument ORDER BY ts ROWS UNBOUNDED PRECEDING), 0) AS pos FROM c),
 o AS (SELECT *, CASE WHEN pos = 1 THEN 'BUY' ELSE 'SELL' END AS action FROM (SELECT *,
@@ -115,6 +132,18 @@ def stream_trade_cap(spark, sf_dir):
     return replay(spark, V.stream_trade_cap(bar_stream(spark, sf_dir), 7, spec=INTRADAY), "stream-cap")
 
 
+@query("stream_trade_cap_across", f"""WITH {EVENTS_BARS}, {LIVE.format(bars='events_bars')}, {ROUND_TRIPS},
+n AS (SELECT instrument, entry_no, row_number() OVER (ORDER BY ts, instrument) AS nth FROM t WHERE action = 'BUY')
+SELECT t.instrument, ts, action, close, n.nth AS entry_no FROM t JOIN n ON n.instrument = t.instrument AND n.entry_no = t.entry_no WHERE n.nth <= 25""")
+def stream_trade_cap_across(spark, sf_dir):
+    """Two streams: bars to a table of live bars, and that table to the orders that one counter lets through."""
+    live = V.live_bars(bar_stream(spark, sf_dir, closing=True), cap=25, spec=INTRADAY)
+    path = new_folder(spark, "stream-live")
+    S.write_table(live, path, new_folder(spark, "stream-live-checkpoint"), availableNow=True).awaitTermination()
+    again = B.read_stream(spark, path, live.schema)
+    return replay(spark, V.stream_cap_across(again, 25, spec=INTRADAY, delay=900), "stream-cap-across")
+
+
 @query("stream_event_sink", f"""WITH {EVENTS_BARS}, {LIVE.format(bars='events_bars')}, {ROUND_TRIPS}
 SELECT 'SIGNAL' AS kind, instrument, ts, action, close AS price, NULL::BIGINT AS quantity, NULL::DOUBLE AS pnl,
   NULL AS status, reason FROM t

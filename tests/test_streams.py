@@ -1,6 +1,7 @@
 """A replayed stream must give what the batch operators give."""
 
 import datetime as dt
+import random
 import time
 
 import pytest
@@ -137,6 +138,68 @@ def test_late_bars_are_returned(spark):
     assert late.signal is None and late.action is None and late.nth is None
 
 
+def test_quiet_instruments_are_released(spark):
+    """Bars come up to 12 minutes late; A goes on long after B's last bar, which nothing of B's own releases."""
+    start = dt.datetime(2024, 1, 2, 10)
+    rng = random.Random(4)
+
+    def bar(name, i):
+        return (name, start + dt.timedelta(minutes=3 * i), 1.0, 1.0, 1.0, float(i), 1, 1000 + (i * 37) % 101)
+
+    rows = [bar("A", i) for i in range(60)] + [bar("B", i) for i in range(25)] + [bar(None, i) for i in range(25)]
+    late = sorted(rows, key=lambda r: (r[1] + dt.timedelta(minutes=rng.randrange(12)), str(r[0])))
+    schema = make_bars(spark, rows).schema
+    path = new_folder(spark, "quiet")
+    for i in range(0, len(late), 23):
+        spark.createDataFrame(late[i:i + 23], schema).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.01)
+    stream = B.event_time(B.read_stream(spark, path, schema, files_per_trigger=1))
+    live = run(spark, V.live_bars(stream, delay=900, sensitivity=1.0, feeling=10.0))
+    assert live.filter("skipped").count() == 0
+    want = G.classify_signal(make_bars(spark, rows), absolute(sensitivity=1.0, feeling=10.0)).select("instrument", "ts", "close", "doi", "d2oi", "signal", "reason")
+    end = start + dt.timedelta(minutes=3 * 59 - 15)
+    assert_same(live.select(*want.columns), want.filter(F.col("ts") <= F.lit(end)))
+    assert live.filter("instrument = 'B'").count() == live.filter("instrument is null").count() == 25
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+@pytest.mark.parametrize("per,cap", [("run", 9), ("day", 2), ("run", 0)])
+def test_one_cap_for_all_instruments(spark, parts, per, cap):
+    bars = two_series(spark).unionByName(make_bars(spark, noisy_rows(None, 120, 23)))
+    end = bars.agg(F.max("ts") + F.expr("INTERVAL 2 DAYS")).first()[0]
+    closing = make_bars(spark, [("end", end, 1.0, 1.0, 1.0, 1.0, 1, 1)])  # moves time on
+    stream = stream_of(spark, bars.unionByName(closing), parts)
+    live = run(spark, V.live_bars(stream, **RULE))  # its files are in no order, as they hold an instrument each
+    live = run(spark, V.stream_cap_across(stream_of(spark, live, parts), cap, per, delay=3600))
+    orders = G.live_orders(G.classify_signal(bars, absolute(**RULE))).withColumn("entry", F.col("side") == "BUY")
+    entered = G.trade_cap(orders, cap, per, across=True).select("instrument", "ts", "close", "entry_no")
+    assert_same(live.filter("action = 'BUY'").select(*entered.columns), entered)
+    assert entered.count() == 9 if per == "run" and cap else entered.count() >= cap
+    # every trade that was entered is left, unless it is open at the end; no other is
+    left = {(r.instrument, r.ts) for r in orders.filter("side = 'SELL'").collect()}
+    sold = [(r.instrument, r.ts, r.entry_no) for r in live.filter("action = 'SELL'").collect()]
+    assert {s[:2] for s in sold} <= left and entered.count() - 3 <= len(sold) <= entered.count()
+    at = {(r.instrument, r.ts): r.entry_no for r in entered.collect()}
+    for name, ts, number in sold:
+        newest = max(t for n, t in at if n == name and t < ts)
+        assert per == "day" or at[name, newest] == number
+
+
+def test_late_orders_are_counted_when_they_come(spark):
+    schema = "instrument string, ts timestamp, action string, close double, entry_ts timestamp"
+    at = lambda m: dt.datetime(2024, 1, 2, 10, m)
+    parts = [[("A", at(0), "BUY", 1.0, at(0)), ("B", at(30), "BUY", 2.0, at(30))], [("C", at(5), "BUY", 3.0, at(5)), ("D", None, "BUY", 9.0, None)],
+             [("A", at(31), "SELL", 4.0, at(0)), ("D", at(50), None, 5.0, None), ("B", at(32), "SELL", 2.0, at(30)), ("C", at(33), "SELL", 2.0, at(5))],
+             [("E", at(2), "BUY", 7.0, at(2)), ("D", at(59), None, 5.0, None)]]
+    path = new_folder(spark, "late-orders")
+    for part in parts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.01)
+    stream = B.read_stream(spark, path, spark.createDataFrame([], schema).schema, files_per_trigger=1)
+    got = by_order(run(spark, V.stream_cap_across(stream, 4, delay=60)), "instrument", "action", "entry_no", order=("ts",))
+    assert got == [("A", "BUY", 1), ("E", "BUY", 4), ("C", "BUY", 2), ("B", "BUY", 3), ("A", "SELL", 1), ("B", "SELL", 3), ("C", "SELL", 2)]
+
+
 def test_resample_counts_late_rows_within_the_delay(spark):
     bars = two_series(spark)
     swapped = bars.withColumn("shift", F.col("volume") % 2)

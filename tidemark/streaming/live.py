@@ -4,9 +4,13 @@ The state of an instrument is small: the open-interest values a rule looks back
 entries, and the bars that still wait for their turn. Feed it bars, not ticks: ``stream_resample`` reduces a busy instrument to
 one row per bar first.
 
-A bar's turn comes once a bar of its instrument that is ``delay`` newer has been seen; bars are taken in time order.
-So the results do not depend on where batches end, as long as no bar comes later than that.  A bar that comes later, or
+A bar's turn comes once a bar of any instrument that is ``delay`` newer has been seen; an instrument's bars are taken in time order.
+So the results do not depend on where batches end, as long as no bar comes later than that.  A timer on event time releases the
+bars of an instrument that falls quiet.  A bar that comes when a newer one has been taken, or
 repeats a time, is not taken, but it is not lost either: ``live_bars`` returns it with ``skipped`` set.
+
+Spark drops rows behind the watermark before a state with timers sees them, so the watermark reads a column of its own
+(``CLOCK``), which is NULL for bars; a few more rows (ticks), which are nothing else, carry the newest time.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tidemark.functions.rules import Rule, rule_of
@@ -55,6 +60,30 @@ STATE = T.StructType(
 )
 
 DAY = 86_400_000_000
+CLOCK = "__clock"
+
+
+def with_ticks(df: DataFrame, ts: str, delay: float) -> DataFrame:
+    """``df`` with the column ``CLOCK``, NULL but in one more row for each Arrow batch, a tick, and a watermark on it.
+
+    A tick repeats a row of the batch and has the batch's newest time; it is for the watermark only.
+    """
+    schema = T.StructType([*df.schema.fields, T.StructField(CLOCK, T.TimestampType())])
+    arrow = to_arrow_schema(schema)
+
+    def ticking(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        clock = arrow.field(len(arrow) - 1).type
+        for batch in batches:
+            columns = [c.cast(f.type) for c, f in zip(batch.columns, arrow)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(batch.num_rows, clock)], schema=arrow)
+            newest = pc.max(batch.column(batch.schema.get_field_index(ts)))
+            if newest.is_valid:
+                yield pa.RecordBatch.from_arrays([*[c.slice(0, 1) for c in columns], pa.array([newest.as_py()], clock)], schema=arrow)
+
+    return df.mapInArrow(ticking, schema).withWatermark(CLOCK, f"{round(delay * 1e6)} microseconds")
 
 
 def _live_stepper(keys: tuple[str, ...], rule: Rule, lot: int, cap: int | None, per: str, delay: int):
@@ -64,7 +93,7 @@ def _live_stepper(keys: tuple[str, ...], rule: Rule, lot: int, cap: int | None,
     keep, period, variant, relative = rule.lookback, rule.ma_period, rule.variant, rule.relative
     both = rule.both
     enter, leave1, leave2 = rule.entry_level, rule.exit_first_level, rule.exit_second_level
-    names, day_length = [*keys, *[f.name for f in LIVE_FIELDS]], DAY
+    names, day_length, clock = [*keys, *[f.name for f in LIVE_FIELDS]], DAY, CLOCK
 
     def derivatives(oi, seen):
         """Arrays for the values after the first ``seen``; ``oi`` starts with the remembered ones."""
@@ -122,6 +151,8 @@ def _live_stepper(keys: tuple[str, ...], rule: Rule, lot: int, cap: int | None,
         # an instrument's bars of a batch: three numbers each
         parts = [[np.asarray(w, t) for w, t in zip(waiting, (np.int64, float, float))]]
         for b in batches:
+            if delay:
+                b = b[b[clock].isna()]
             parts.append([b["ts"].to_numpy("datetime64[us]").astype(np.int64), b["close"].to_numpy(float), b["oi"].to_numpy(float)])
         ts, close, oi = (np.concatenate(c) for c in zip(*parts))
         order = np.lexsort((oi, close, ts))
@@ -136,8 +167,11 @@ def _live_stepper(keys: tuple[str, ...], rule: Rule, lot: int, cap: int | None,
             newest = int(ts[-1]) if newest is None else max(newest, int(ts[-1]))
         elif newest is None:
             return
-        ready = int(np.searchsorted(ts, newest - delay, "right"))
+        passed = state.getCurrentWatermarkMs() * 1000 if delay else 0  # 0: none yet
+        ready = int(np.searchsorted(ts, max(newest - delay, passed) if passed > 0 else newest - delay, "right"))
         waiting = ts[ready:].tolist(), close[ready:].tolist(), oi[ready:].tolist()
+        if waiting[0]:
+            state.setTimeoutTimestamp(max(-(-waiting[0][0] // 1000), 1))
         ts, close, oi = ts[:ready], close[:ready], np.concatenate([np.asarray(tail, dtype=float), oi[:ready]])
         if not ready:
             state.update((tail, nth, taken, newest, entry_ts, entry_price, entries, day, *waiting))
@@ -205,15 +239,16 @@ def live_bars(
         raise ValueError(f"per must be 'run' or 'day', not {per!r}")
     rule = rule_of(preset, **params)
     keys = [T.StructField(k, df.schema[k].dataType) for k in spec.keys]
+    bars = df.select(*spec.keys, F.col(spec.ts).alias("ts"), "close", "oi")
     stepped = (
-        df.select(*spec.keys, F.col(spec.ts).alias("ts"), "close", "oi")
+        (with_ticks(bars, "ts", delay) if delay else bars)
         .groupBy(*spec.keys)
         .applyInPandasWithState(
             _live_stepper(spec.keys, rule, lot, cap, per, round(delay * 1e6)),
             T.StructType(keys + LIVE_FIELDS),
             STATE,
             "append",
-            GroupStateTimeout.NoTimeout,
+            GroupStateTimeout.EventTimeTimeout if delay else GroupStateTimeout.NoTimeout,
         )
     )
     numbers = ("close", "doi", "d2oi", "oi_ma", "entry_price", "pnl", "minutes_held")
@@ -250,3 +285,88 @@ def stream_trade_cap(
     """Orders while no more than ``cap`` positions are entered per run or day and instrument."""
     acting = live_bars(df, preset, cap=cap, per=per, spec=spec, delay=delay, **params).filter(F.col("action").isNotNull())
     return acting.select(*spec.keys, "ts", "action", "close", F.col("entries").alias("entry_no"))
+
+
+#: Times are microseconds since 1970; orders that wait for their turn and entries of open trades are pickled, as keys have any type.
+CAP_STATE = T.StructType(
+    [
+        T.StructField("entries", T.LongType()),
+        T.StructField("day", T.LongType()),
+        T.StructField("newest", T.LongType()),
+        T.StructField("waiting", T.BinaryType()),
+        T.StructField("held", T.BinaryType()),
+    ]
+)
+
+
+def stream_cap_across(live: DataFrame, cap: int, per: str = "run", spec: SeriesSpec = BAR_SERIES, delay: float = 0) -> DataFrame:
+    """Orders of live bars of all instruments while no more than ``cap`` positions are entered per run or day, by one counter.
+
+    Orders are merged in the order of time, then keys; one has its turn when a bar ``delay`` seconds newer has been seen.
+    A position that was not entered is not left either, and its instrument stays out until its next entry.  An order that comes later than
+    that is counted when it comes.  Rows without a time and skipped ones are no orders.
+
+    ``live`` is a stream of the table that a ``live_bars`` stream writes, as Spark allows one state of this kind in a query;
+    ``delay`` must cover the time that a batch of it spans.
+    One task keeps the counter, as each entry needs the number of those before; it sees orders only, and remembers those of
+    the last ``delay`` seconds and at most ``cap`` open trades of a run or day.  For a cap per run, ``live_bars`` may be given the same
+    ``cap``: the first entries of all are among the first of each instrument.
+    """
+    if per not in ("run", "day"):
+        raise ValueError(f"per must be 'run' or 'day', not {per!r}")
+    keys = [T.StructField(k, live.schema[k].dataType) for k in spec.keys]
+    fields = [T.StructField("ts", T.TimestampType()), T.StructField("action", T.StringType()), T.StructField("close", T.DoubleType())]
+    bars = with_ticks(live.select(*spec.keys, "ts", "action", "close", "entry_ts"), "ts", delay)
+    orders = bars.filter((F.col("action").isNotNull() & F.col("ts").isNotNull()) | F.col(CLOCK).isNotNull())
+    out = T.StructType([*keys, *fields, T.StructField("entry_no", T.LongType())])
+    return orders.withColumn("__all", F.lit(0)).groupBy("__all").applyInPandasWithState(
+        _cap_counter(spec.keys, cap, per, round(delay * 1e6)), out, CAP_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def _cap_counter(keys: tuple[str, ...], cap: int, per: str, delay: int):
+    """Counts entries in the order of time.  Self-contained: it travels to the workers by value."""
+    day_length, clock = DAY, CLOCK
+
+    def count(key, batches, state):
+        import pickle
+
+        import numpy as np
+        import pandas as pd
+
+        entries, day, newest, waiting, held = 0, None, None, [], {}
+        if state.exists:
+            entries, day, newest, *lists = state.get
+            waiting, held = map(pickle.loads, lists)
+        micros = lambda c: c.to_numpy("datetime64[us]").astype(np.int64).tolist()
+        for b in batches:
+            ticks = b[clock].notna()
+            if ticks.any():
+                newest = max(micros(b[clock][ticks]) + ([] if newest is None else [newest]))
+            b = b[~ticks]
+            if len(b):
+                waiting += zip(micros(b["ts"]), zip(*[b[k] for k in keys]), b["action"], b["close"], micros(b["entry_ts"]))
+        # a row's keys as text put missing ones in a place of their own
+        waiting.sort(key=lambda order: (order[0], [(k is None, "" if k is None else k) for k in order[1]], order[2]))
+        passed = state.getCurrentWatermarkMs() * 1000
+        horizon = max([h for h in (None if newest is None else newest - delay, passed or None) if h is not None], default=None)
+        ready = 0 if horizon is None else sum(1 for order in waiting if order[0] <= horizon)
+        done = []
+        for ts, row, action, close, entry_ts in waiting[:ready]:
+            if per == "day" and (day is None or ts // day_length > day):
+                day, entries = ts // day_length, 0
+            if action == "BUY":
+                if entries < cap:
+                    entries += 1
+                    held[row] = (ts, entries)
+                    done.append((*row, ts, action, close, entries))
+            elif row in held and held[row][0] == entry_ts:
+                done.append((*row, ts, action, close, held.pop(row)[1]))
+        waiting = waiting[ready:]
+        state.update((entries, day, newest, pickle.dumps(waiting), pickle.dumps(held)))
+        if waiting:
+            state.setTimeoutTimestamp(max(-(-waiting[0][0] // 1000), 1))
+        if done:
+            out = pd.DataFrame(done, columns=[*keys, "ts", "action", "close", "entry_no"])
+            yield out.assign(ts=out["ts"].to_numpy("datetime64[us]"))
+
+    return count
