@@ -192,6 +192,68 @@ def test_one_shuffle_and_one_sort_for_a_chain(skewed_bars):
     assert plan.count("Sort [") == 1
 
 
+def plain_sweep(bars, rules):
+    """Trades of every series under every rule, bar by bar; ``bars`` are dicts in order."""
+    out = []
+    for name, rule in rules.items():
+        for key in {b["instrument"] for b in bars}:
+            held, nth = None, 0
+            mine = [b for b in bars if b["instrument"] == key]
+            for b, after in zip(mine, mine[1:]):
+                oi_ma = b[f"oi_ma_{rule.ma_period}"]
+                if oi_ma is None:
+                    continue
+                if held is None:
+                    if b["doi"] < 0 and b["d2oi"] is not None and b["d2oi"] < rule.entry_level * oi_ma:
+                        nth += 1
+                        held = (name, key, nth, b["ts"], after["ts"], after["open"])
+                    continue
+                price, close = held[-1], b["close"]
+                first, second = b["doi"] > rule.exit_first_level * oi_ma, b["d2oi"] > rule.exit_second_level * oi_ma
+                why = None
+                if price and close is not None and close <= price * (1 - rule.stop_loss):
+                    why = "STOP LOSS"
+                elif price and close is not None and close >= price * (1 + rule.take_profit):
+                    why = "TAKE PROFIT"
+                elif first or second:
+                    why = "First derivative exit" if first else "Second derivative exit"
+                if why:
+                    out.append((*held, b["ts"], after["ts"], after["open"], why))
+                    held = None
+            if held:
+                out.append((*held, None, None, None, None))
+    return out
+
+
+@pytest.mark.parametrize("batch", [10_000, 7])
+@pytest.mark.parametrize("exits", [(0.0005, 0.0015), (0.5,)], ids=["frequent", "by stops alone"])
+def test_swept_trades_equal_a_walk(spark, skewed_bars, batch, exits):
+    """Many rules (more than a word holds), missing closes, fills of zero, batches that end inside of series."""
+    rules = W.param_grid(ma_period=(4, 9), entry=tuple(-0.001 * i for i in range(17)), exit_first=exits)
+    rules = {n: r.with_(stop_loss=0.05, take_profit=0.08, exit_second_level=max(exits) * 9) for n, r in rules.items()}
+    holed = skewed_bars.withColumns({
+        "close": F.when(F.col("volume") % 7 != 0, F.col("close")), "open": F.when(F.col("volume") % 11 != 0, F.col("open")).otherwise(F.lit(0.0))})
+    _, known, _ = W._bars(holed, rules, WHOLE.measured(holed))
+    bars = [r.asDict() for r in known.orderBy("instrument", "ts").collect()]
+    want = plain_sweep(bars, rules)
+    default = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        got = W.sweep_trades(holed, rules, spec=WHOLE).select(
+            "param_id", "instrument", "trade_no", "entry_signal_ts", "entry_ts", "entry_price", "exit_signal_ts", "exit_ts", "exit_price", "exit_reason").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", default)
+    assert len(rules) > (60 if len(exits) > 1 else 30) and len(want) > 500
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_a_sweep_shuffles_bars_once(skewed_bars):
+    spec = WHOLE.measured(skewed_bars)
+    rules = W.param_grid(entry=tuple(0.001 * i for i in range(12)))
+    plan = W.sweep_trades(skewed_bars, rules, spec=spec)._jdf.queryExecution().executedPlan().toString()
+    assert len(rules) == 108 and plan.count("Exchange") == 1 and plan.count("Sort [") == 1
+
+
 def test_empty_input(skewed_bars):
     empty = skewed_bars.filter("instrument = 'nothing'")
     for name, op in OPERATORS.items():

@@ -26,6 +26,7 @@ from tidemark.functions.columns import minutes_between
 from tidemark.functions.rules import FIRST_EXIT, SECOND_EXIT, Rule, is_true, rule_of
 from tidemark.operators.carried import carried_trades
 from tidemark.operators.signals import derivative_columns, stop_take
+from tidemark.operators.swept import swept_trades
 from tidemark.plans.series import BAR_SERIES, Layout, SeriesSpec, layout
 from tidemark.schema import TRADE_FIELDS, fields_of
 
@@ -59,36 +60,21 @@ def _with_fills(lay: Layout, df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.withColumns(fills | {f"__before_{m}": F.lag(m).over(w) for m in {r.ma for r in rules}})
 
 
-def tradable_bars(lay: Layout, df: DataFrame, rules: list[Rule], param: str | None = None) -> DataFrame:
-    """Bars that may trade, under each of the rules, with decisions, next-bar fill and segment number.
-
-    Needs a layout with one row of lookahead.  All rules share the windows; a bar is repeated only for the
-    rules under which it may trade, told apart by their number in the column ``param``.
-    """
+def tradable_bars(lay: Layout, df: DataFrame, rule: Rule) -> DataFrame:
+    """Bars that may trade, with decisions, next-bar fill and segment number.  Needs a layout with one row of lookahead."""
     w, spec = lay.window, lay.spec
-    decisions = {i: _decisions(rule) for i, rule in enumerate(rules)}
-    df = _with_fills(lay, df, rules)
-    df = df.withColumns({f"__leaves_{i}": d["__leaves"] for i, d in decisions.items()})
-    df = df.withColumns({f"__opens_{i}": F.coalesce(F.lag(f"__leaves_{i}").over(w), F.lit(False)) for i in decisions})
-    running = {}
-    for i, d in decisions.items():
-        opens, entered = F.col(f"__opens_{i}"), F.when(d["__entry"], F.lit(1)).otherwise(F.lit(0))
-        running[f"__segment_{i}"] = ("sum", F.when(opens, F.lit(1)).otherwise(F.lit(0)))
-        running[f"__entries_{i}"] = ("sum", entered)
-        running[f"__before_{i}"] = ("last", F.when(opens, F.col(f"__entries_{i}") - entered), f"__entries_{i}")
-    df = lay.finish(lay.running(df, **running))
-
-    def per_rule(i: int, rule: Rule) -> Column:
-        parts = {n: decisions[i][n] for n in ("__entry", "__first", "__second", "__decides")}
-        parts |= {SEGMENT: F.col(f"__segment_{i}"), "__held_ma": F.col(f"__before_{rule.ma}")}
-        parts["__active"] = F.col(f"__entries_{i}") > F.coalesce(F.col(f"__before_{i}"), F.lit(0))
-        if param:
-            parts[param] = F.lit(i)
-        return F.struct(*[c.alias(n) for n, c in parts.items()])
-
-    views = F.array(*[per_rule(i, rule) for i, rule in enumerate(rules)])
-    common = [*[k for k in spec.keys if k != param], spec.ts, *spec.ties, "close", "doi", "__fill_ts", "__fill"]
-    return df.select(*common, F.inline(F.filter(views, lambda v: v["__active"]))).drop("__active")
+    decisions = _decisions(rule)
+    df = _with_fills(lay, df, [rule]).withColumn("__leaves", decisions["__leaves"])
+    df = df.withColumn("__opens", F.coalesce(F.lag("__leaves").over(w), F.lit(False)))
+    opens, entered = F.col("__opens"), F.when(decisions["__entry"], F.lit(1)).otherwise(F.lit(0))
+    running = {
+        SEGMENT: ("sum", F.when(opens, F.lit(1)).otherwise(F.lit(0))),
+        "__entries": ("sum", entered),
+        "__before": ("last", F.when(opens, F.col("__entries") - entered), "__entries"),
+    }
+    df = lay.finish(lay.running(df, **running)).filter(F.col("__entries") > F.coalesce(F.col("__before"), F.lit(0)))
+    parts = [decisions[n].alias(n) for n in ("__entry", "__first", "__second", "__decides")]
+    return df.select(*spec.keys, spec.ts, *spec.ties, "close", "doi", "__fill_ts", "__fill", SEGMENT, *parts, F.col(f"__before_{rule.ma}").alias("__held_ma"))
 
 
 def segment_columns(bars: DataFrame, spec: SeriesSpec, rule: Rule) -> DataFrame:
@@ -230,8 +216,11 @@ def followed(lay: Layout, df: DataFrame, rules: list[Rule], commission: float, s
     if lay.split:
         raw = carried_trades(lay, _with_fills(lay, df, rules), rules, [_decisions(r) for r in rules], param)
         return priced(raw, (*([param] if param else []), *lay.spec.keys), commission, size)
-    spec = lay.spec.keyed_by(param, *lay.spec.keys, copies=len(rules)) if param else lay.spec
-    raw = trades_of(tradable_bars(lay, df, rules, param), spec, rules[0])
+    if param:
+        raw = swept_trades(lay, _with_fills(lay, df, rules), rules, [_decisions(r) for r in rules], param)
+        return priced(raw, (param, *lay.spec.keys), commission, size)
+    spec = lay.spec
+    raw = trades_of(tradable_bars(lay, df, rules[0]), spec, rules[0])
     in_order = Window.partitionBy(*spec.keys).orderBy("entry_ts")
     return priced(raw.withColumn("trade_no", F.row_number().over(in_order).cast("bigint")), spec.keys, commission, size)
 
