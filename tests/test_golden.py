@@ -417,3 +417,21 @@ def test_cap_over_all_series(spark):
     got = [r for r in by_order(G.trade_cap(both, 5, across=True), "instrument", "entry_no", order=("entry_no",))]
     assert got == [("A", 1), ("B", 2), ("A", 3), ("B", 4), ("A", 5)]
     assert G.trade_cap(both, 5, "day", across=True).count() == 5
+
+
+def test_rows_without_an_instrument_are_a_series(spark):
+    """What is joined back to its series is joined to that of no instrument as well."""
+    rows = [(name, i, float(v), t) for name in ("A", None) for i, (v, t) in enumerate([(1, 0.5), (2, -0.5), (3, 0.0), (4, 0.5), (50, 0.1)])]
+    d = spark.createDataFrame(rows, "instrument string, nth int, volatility double, trend double")
+    labelled = A.regime_label(d)
+    by_name = {n: [r.regime for r in labelled.orderBy("nth").collect() if r.instrument == n] for n in ("A", None)}
+    assert by_name["A"] == by_name[None] and "Unknown" not in by_name[None]
+    shares = A.regime_distribution(labelled).collect()
+    assert sum(r.pct for r in shares if r.instrument is None) == pytest.approx(100.0)
+    bins = A.derivative_histogram(d, "volatility", 4).filter("instrument is null").orderBy("bin").collect()
+    assert [r.n for r in bins] == [4, 0, 0, 1]
+    lines = A.fitted_values(d, "nth", "trend", ("instrument",)).collect()
+    assert len({round(r.fitted, 9) for r in lines if r.nth == 2}) == 1
+    trades = T.all_trades(bars_of(spark, [1000 - (i % 7) * 90 for i in range(200)], name=None), ma_period=5)
+    last = spark.createDataFrame([(None, 5.0)], "instrument string, last_close double")
+    assert trades.count() and A.accounts(trades, last, 100.0, ("instrument",)).first().total_trades > 0

@@ -25,6 +25,16 @@ def pct_change(c: str | Column, w: WindowSpec) -> Column:
     return ratio(c, F.lag(c).over(w)) - 1
 
 
+def join_on(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """Join on equal ``keys``, a missing key being equal to a missing one, as in groups; the columns of ``left``, then the others of ``right``."""
+    named = {k: f"__on_{k}" for k in keys}
+    others = [F.col(c) for c in right.columns if c not in named]
+    same = F.lit(True)
+    for k, n in named.items():
+        same = same & F.col(k).eqNullSafe(F.col(n))
+    return left.join(right.select(*[F.col(k).alias(n) for k, n in named.items()], *others), same, how).drop(*named.values())
+
+
 def rolling(agg: Callable[[Column], Column], c: str | Column, w: WindowSpec, n: int) -> Column:
     """Aggregate of the last ``n`` rows, NULL until the frame holds ``n`` non-null values."""
     c = as_col(c)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import last_value_of, minutes_between, ordering, ratio
+from tidemark.functions.columns import join_on, last_value_of, minutes_between, ordering, ratio
 from tidemark.operators.indicators import next_return
 from tidemark.plans.quantile import exact_quantile
 from tidemark.plans.series import BAR_SERIES, SeriesSpec, layout
@@ -112,7 +112,7 @@ def accounts(trades: DataFrame, last: DataFrame, cash: float, keys: tuple[str, .
         F.sum(F.when(still_open, F.col("size"))).alias("__size"),
         F.sum(F.when(still_open, F.col("entry_price") * F.col("size") + F.col("commission"))).alias("__spent"),
     )
-    joined = last.join(sums, list(keys), "left")
+    joined = join_on(last, sums, keys, "left")
     open_value = F.coalesce(F.col("__size") * F.col("last_close") - F.col("__spent"), F.lit(0.0))
     final = F.lit(cash) + F.coalesce("__closed", F.lit(0.0)) + open_value
     counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("total_trades", "winning_trades")]
@@ -232,7 +232,7 @@ def regime_label(
 ) -> DataFrame:
     """``regime`` from ``volatility`` (against its ``q`` quantile in the series) and ``trend``."""
     threshold = exact_quantile(df, "volatility", q, spec.keys, "__threshold")
-    d = df.join(threshold, list(spec.keys), "left")
+    d = join_on(df, threshold, spec.keys, "left")
     calm = F.col("volatility") < F.col("__threshold")
     up, down, flat, wild = REGIMES
     label = (
@@ -250,7 +250,7 @@ def regime_distribution(df: DataFrame, spec: SeriesSpec = BAR_SERIES) -> DataFra
     counts = df.groupBy(*spec.keys, "regime").agg(F.count("*").alias("periods"))
     totals = counts.groupBy(*spec.keys).agg(F.sum("periods").alias("__all"))
     share = F.lit(100.0) * F.col("periods") / F.col("__all")
-    return counts.join(totals, list(spec.keys)).withColumn("pct", share).drop("__all")
+    return join_on(counts, totals, spec.keys).withColumn("pct", share).drop("__all")
 
 
 def oi_by_regime(df: DataFrame, spec: SeriesSpec = BAR_SERIES) -> DataFrame:
@@ -274,12 +274,12 @@ def derivative_histogram(
     )
     nth = F.least(F.floor((F.col("__v") - F.col("__from")) / F.col("__width")), F.lit(bins - 1)).cast("int")
     counts = (
-        values.join(ends, list(spec.keys))
+        join_on(values, ends, spec.keys)
         .groupBy(*spec.keys, nth.alias("bin"))
         .agg(F.count("*").alias("n"))
     )
     every = ends.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    return every.join(counts, [*spec.keys, "bin"], "left").select(
+    return join_on(every, counts, (*spec.keys, "bin"), "left").select(
         *spec.keys,
         "bin",
         (F.col("__from") + F.col("bin") * F.col("__width")).alias("bin_from"),
@@ -301,7 +301,7 @@ def linear_fit(df: DataFrame, x: str, y: str, by: tuple[str, ...]) -> DataFrame:
 def fitted_values(df: DataFrame, x: str, y: str, by: tuple[str, ...], out: str = "fitted") -> DataFrame:
     """The value of its group's line at every row."""
     lines = linear_fit(df, x, y, by).drop("n")
-    d = df.join(lines, list(by), "left")
+    d = join_on(df, lines, by, "left")
     return d.withColumn(out, F.col("slope") * F.col(x) + F.col("intercept")).drop("slope", "intercept")
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import join_on
+
 ACCURACY = 100_000
 
 
@@ -30,7 +32,7 @@ def exact_quantile(
         *keys, F.col("__b")[0].alias("__from"), F.col("__b")[1].alias("__to"), (F.lit(q) * (F.col("__n") - 1)).alias("__rank")
     )
     zone = F.when(F.col("__v") < F.col("__from"), -1).when(F.col("__v") > F.col("__to"), 1).otherwise(0)
-    zoned = values.join(bracket, list(keys)).withColumn("__zone", zone)
+    zoned = join_on(values, bracket, keys).withColumn("__zone", zone)
     counted = (
         zoned.withColumn("__inside", F.when(F.col("__zone") == 0, F.col("__v")))
         .groupBy(*keys, "__rank", "__zone", "__inside")
