@@ -168,6 +168,36 @@ def test_windows_show_what_the_whole_shows(monkeypatch):
         assert {k for k, *_ in spans} == shown and all((s, e) == (2, 2 + len(piece)) for _, s, e, _ in spans)
 
 
+@pytest.mark.parametrize("inner", [
+    gzip.compress(LONG, mtime=0) + noise(900, 3).encode(),
+    gzip.compress(b"\xff\xfe" + LONG * 3, mtime=0),
+    gzip.compress(gzip.compress(noise(900).encode() + LONG, mtime=0), mtime=0),
+    gzip.compress(f"{noise(400)} {b64(noise(800).encode() + SECRET.encode())} {noise(400)}".encode(), mtime=0),
+    gzip.compress(f"{noise(400)} {''.join(f'%{b:02x}' for b in LONG)} {noise(400)}".encode(), mtime=0),
+    gzip.compress(noise(300).encode() + b" secret=" + b"x1" * 600, mtime=0),
+    gzip.compress(("é " * 500 + SECRET + " ü" * 500).encode(), mtime=0)[:-9],
+], ids=range(7))
+@pytest.mark.parametrize("text", ["see: {}; end", "password={} end", "{}"])
+def test_what_is_found_does_not_depend_on_the_size(monkeypatch, inner, text):
+    text = text.format(b64(inner))
+    whole = secret_scan.all_spans(text)
+    for name, size in {"MAX_UNFOLDED": 600, "WINDOW": 300, "EDGE": 100}.items():
+        monkeypatch.setattr(secret_scan, name, size)
+    assert secret_scan.all_spans(text) == whole
+
+
+def test_members_after_a_long_one_are_read():
+    raw = gzip.compress(b"a b " * 500_000) + gzip.compress(SECRET.encode()) + b"more"
+    assert {k for k, *_ in secret_scan.all_spans(b64(raw))} == {"assign", "access"}
+
+
+def test_pieces_of_one_span_are_one():
+    inside = Layer.source("a b c").rewritten([(2, 3, "%41%42%43 %44")])
+    layer = secret_scan.next_layer(inside)
+    assert layer.text == "a ABC D c" and len(layer.pieces) == 3
+    assert [layer.span(i, i + 1) for i in range(9)] == [(0, 1), (1, 2), *[(2, 3)] * 5, (3, 4), (4, 5)]
+
+
 def test_lines_that_do_not_join_are_unwrapped_alone():
     lines = [b64(SECRET.encode() + b"xy").rstrip("="), "internationalisation", b64(b"password: hunter2233").rstrip("="), "The", "words"]
     found = {(k, s) for k, s, _, layer in secret_scan.all_spans("\n".join(lines)) if layer}

@@ -12,9 +12,10 @@ import codecs
 import hashlib
 import html
 import re
+import tempfile
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -25,9 +26,10 @@ from tidemark.llm.spans import Layer
 
 KINDS = ("assign", "access", "hex")
 
-#: Compressed pieces that unfold to more bytes than this are read in windows of some WINDOW characters, which overlap by EDGE.
+#: A compressed piece is unfolded EDGE bytes at a time, beyond MAX_UNFOLDED bytes into a temporary file, and its characters are read from
+#: there WINDOW bytes at a time.  None of them changes what is found: a layer is scanned whole, however long it is.
 MAX_UNFOLDED = 1 << 24
-WINDOW, EDGE = 1 << 21, 1 << 16
+WINDOW, EDGE = 1 << 21, 1 << 20
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -116,99 +118,62 @@ class Run:
 
         A stream that breaks off shows what there is of it, up to the last line that fits.
         """
-        out, size, fed, ends, whole, used = [], 0, 0, [], False, 0
+        size, fed, ends, whole, used = 0, 0, [], False, 0
         unpack = zlib.decompressobj(47)  # either header
-        windows: Windows | None = None
-
-        def keep(part: bytes) -> None:
-            nonlocal size, windows
-            size += len(part)
-            if windows is None and size > MAX_UNFOLDED:
-                windows = Windows()
-                for earlier in out:
-                    windows.feed(earlier)
-                out.clear()
-            windows.feed(part) if windows else out.append(part)
-
-        def fed_with(raw: bytes) -> None:
-            nonlocal unpack, whole, used
-            while raw:
-                if unpack.eof:
-                    raw = raw.lstrip(b"\0")  # padding between members
-                    if not raw:
-                        return
-                    unpack, whole = zlib.decompressobj(47), False
-                keep(unpack.decompress(raw, 1 << 20))
-                while unpack.unconsumed_tail:
-                    keep(unpack.decompress(unpack.unconsumed_tail, 1 << 20))
-                raw = unpack.unused_data
-                if unpack.eof:
-                    whole, used = True, fed - len(raw)
-
-        last = None
-        try:
-            for raw, last in self.raw(first):
-                fed += len(raw)
-                fed_with(raw)
-                ends.append(fed + len(last or b""))  # the rest of its bytes may come with the next line
-            if last and not whole:
-                fed += len(last)
-                fed_with(last)
-        except zlib.error:
-            pass  # these bytes are no part of it
-        inner = b"".join(out)
-        if not size:
-            return None
-        if used:  # what follows a whole stream and is none itself belongs to no piece
-            n = next((i for i, end in enumerate(ends, 1) if end >= used), len(ends) + 1)
-        else:
-            n = max(len(ends), 1)
-        if windows:
-            return n, windows.excerpts()
-        try:
-            text = codecs.getincrementaldecoder("utf-8")().decode(inner, final=whole)
-        except UnicodeDecodeError:
-            return n, base64.b64encode(inner).decode()  # for the next layer
+        with tempfile.SpooledTemporaryFile(MAX_UNFOLDED) as out:
+
+            def keep(part: bytes) -> None:
+                nonlocal size
+                size += len(part)
+                out.write(part)
+
+            def fed_with(raw: bytes) -> None:
+                nonlocal unpack, whole, used
+                while raw:
+                    if unpack.eof:
+                        raw = raw.lstrip(b"\0")  # padding between members
+                        if not raw:
+                            return
+                        unpack, whole = zlib.decompressobj(47), False
+                    keep(unpack.decompress(raw, EDGE))
+                    while unpack.unconsumed_tail and not unpack.eof:  # after the end this is what follows the stream
+                        keep(unpack.decompress(unpack.unconsumed_tail, EDGE))
+                    raw = unpack.unused_data
+                    if unpack.eof:
+                        whole, used = True, fed - len(raw)
+
+            last = None
+            try:
+                for raw, last in self.raw(first):
+                    fed += len(raw)
+                    fed_with(raw)
+                    ends.append(fed + len(last or b""))  # the rest of its bytes may come with the next line
+                if last and not whole:
+                    fed += len(last)
+                    fed_with(last)
+                keep(unpack.flush())  # of a stream that breaks off
+            except zlib.error:
+                pass  # these bytes are no part of it
+            if not size:
+                return None
+            if used:  # what follows a whole stream and is none itself belongs to no piece
+                n = next((i for i, end in enumerate(ends, 1) if end >= used), len(ends) + 1)
+            else:
+                n = max(len(ends), 1)
+            try:
+                reader = codecs.getincrementaldecoder("utf-8")()
+                parts = [reader.decode(part) for part in _parts(out, WINDOW)]
+                text = "".join([*parts, reader.decode(b"", final=whole)])
+            except UnicodeDecodeError:
+                # for the next layer
+                return n, "".join([base64.b64encode(part).decode() for part in _parts(out, 3 * WINDOW)])
         return (n, text) if _is_text(text) else None
 
 
-class Windows:
-    """What a long stream shows, in bounded memory: its first and last characters and, of each kind, one secret found between.
-
-    All that a piece shows maps to the piece, so one secret of a kind tells as much as all.  Windows end at white space, where
-    no encoded run is cut, if there is some in their last half; they overlap by ``EDGE`` characters.
-    """
-
-    def __init__(self):
-        self.reader = codecs.getincrementaldecoder("utf-8")("replace")
-        self.parts: list[str] = []
-        self.held = 0
-        self.first: str | None = None
-        self.found: dict[str, str] = {}
-
-    def feed(self, raw: bytes) -> None:
-        self.parts.append(self.reader.decode(raw))
-        self.held += len(self.parts[-1])
-        if self.held > WINDOW + EDGE:
-            self._scan(last=False)
-
-    def _scan(self, last: bool) -> None:
-        text = "".join(self.parts)
-        if self.first is None:
-            self.first = text[:EDGE]
-        end = len(text)
-        if not last:
-            end = max(text.rfind(c, len(text) // 2) for c in "\n\x20\t") + 1 or len(text)
-        if len(self.found) < len(KINDS):
-            for kind, s, e, _ in all_spans(text[:end]):
-                self.found.setdefault(kind, text[s:e])
-        rest = text[max(0, end - EDGE):] if not last else text[-EDGE:]
-        self.parts, self.held = [rest], len(rest)
-
-    def excerpts(self) -> str:
-        self._scan(last=True)
-        between = "".join(f"\n;{self.found[k]}\n;" for k in KINDS if k in self.found)
-        return f"{self.first}\n;{between}\n;{self.parts[0]}"
+def _parts(file, size: int) -> Iterator[bytes]:
+    """A file from its beginning, ``size`` bytes at a time."""
+    file.seek(0)
+    return iter(lambda: file.read(size), b"")
 
 
 def _is_text(text: str) -> bool:
@@ -247,29 +212,33 @@ def _surrogates_joined(text: str) -> str:
     return re.sub(r"\\u([dD][89abAB][0-9A-Fa-f]{2})\\u([dD][c-fC-F][0-9A-Fa-f]{2})", pair, text)
 
 
-def _decoded(m: re.Match) -> list[tuple[int, int, str]]:
+def _decoded(m: re.Match) -> Iterator[tuple[int, int, str]]:
     """The edits that one encoded run asks for: one for each of its characters, or one for each base64 piece."""
     start, run = m.start(), m.group()
     if m.lastgroup == "url":
         text = bytes.fromhex(run.replace("%", "")).decode("utf-8", "surrogateescape")
-        edits, at = [], start
+        at = start
         for c in text:
             width = 3 * len(c.encode("utf-8", "surrogateescape"))
-            edits.append((at, at + width, c if not "\udc80" <= c <= "\udcff" else "\ufffd"))
+            yield at, at + width, c if not "\udc80" <= c <= "\udcff" else "\ufffd"
             at += width
-        return edits
-    if m.lastgroup == "escape":
+    elif m.lastgroup == "escape":
         if "\\U" in _surrogates_joined(run) and "\\U" not in run:
-            return [(start, m.end(), _ESCAPE.sub(_code_point, _surrogates_joined(run)))]
-        return [(start + e.start(), start + e.end(), _code_point(e)) for e in _ESCAPE.finditer(run)]
-    if m.lastgroup == "entity":
-        return [(start + e.start(), start + e.end(), html.unescape(e.group())) for e in re.finditer(r"&[^;]+;", run)]
-    return _joined(m)
+            yield start, m.end(), _ESCAPE.sub(_code_point, _surrogates_joined(run))
+        else:
+            for e in _ESCAPE.finditer(run):
+                yield start + e.start(), start + e.end(), _code_point(e)
+    elif m.lastgroup == "entity":
+        for e in re.finditer(r"&[^;]+;", run):
+            yield start + e.start(), start + e.end(), html.unescape(e.group())
+    else:
+        yield from _joined(m)
 
 
 def next_layer(layer: Layer) -> Layer | None:
-    edits = [e for m in _ENCODED.finditer(layer.text) for e in _decoded(m)]
-    return layer.rewritten(edits) if edits else None
+    edits = (e for m in _ENCODED.finditer(layer.text) for e in _decoded(m))
+    first = next(edits, None)
+    return None if first is None else layer.rewritten(chain([first], edits))
 
 
 def all_spans(text: str) -> list[tuple[str, int, int, int]]:

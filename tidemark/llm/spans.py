@@ -3,6 +3,11 @@
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections.abc import Iterable
+from itertools import chain
+
+#: Parts of a new text that are joined at a time.
+PARTS = 1 << 16
 
 
 class Layer:
@@ -31,31 +36,40 @@ class Layer:
         last = src + (end - at) if same else src_end
         return first, last
 
-    def rewritten(self, edits: list[tuple[int, int, str]]) -> "Layer":
+    def rewritten(self, edits: Iterable[tuple[int, int, str]]) -> "Layer":
         """The layer with ``edits`` (start, end, new text; in order, not overlapping) applied.
 
-        An edit's new characters all map to the edit's whole source span.
+        An edit's new characters all map to the edit's whole source span.  Neighbours that map to the same span are one piece.
         """
         out: list[str] = []
         pieces: list[tuple[int, int, int, bool]] = []
         size = pos = 0
-        for start, end, new in [*edits, (len(self.text), len(self.text), "")]:
+        joined: list[str] = []
+        for start, end, new in chain(edits, [(len(self.text), len(self.text), "")]):
             if start > pos:
                 size = self._copy(pos, start, size, pieces)
                 out.append(self.text[pos:start])
             if new:
-                pieces.append((size, *self.span(start, end), False))
+                self._append((size, *self.span(start, end), False), pieces)
                 out.append(new)
                 size += len(new)
+            if len(out) >= PARTS:
+                joined.append("".join(out))
+                out.clear()
             pos = end
-        return Layer("".join(out), pieces)
+        return Layer("".join([*joined, *out]), pieces)
+
+    @staticmethod
+    def _append(piece: tuple[int, int, int, bool], pieces: list) -> None:
+        if piece[3] or not pieces or pieces[-1][1:] != piece[1:]:
+            pieces.append(piece)
 
     def _copy(self, start: int, end: int, size: int, pieces: list) -> int:
         k = bisect_right(self.starts, start) - 1
         while start < end:
             at, src, src_end, same = self.pieces[k]
             stop = min(end, self.starts[k + 1] if k + 1 < len(self.pieces) else len(self.text))
-            pieces.append((size, src + (start - at) if same else src, src + (stop - at) if same else src_end, same))
+            self._append((size, src + (start - at) if same else src, src + (stop - at) if same else src_end, same), pieces)
             size += stop - start
             start = stop
             k += 1
