@@ -10,7 +10,7 @@ from catalog.resampling import AGGREGATES, right
 from catalog.signals import derived
 from catalog.strategy import POSITION_SQL
 from catalog.trades import SUMMARY_SQL, recursive, walk
-from catalog.views import DAILY, INTRADAY, events_bars, lineitem_bars, rounded, with_events, with_lineitem
+from catalog.views import INTRADAY, events_bars, lineitem_bars, lineitem_series, rounded, with_events, with_lineitem
 from tidemark.functions.rules import absolute
 from tidemark.operators import analytics as A
 from tidemark.operators import sweeps as W
@@ -94,7 +94,7 @@ def rank_param_sets(spark, sf_dir):
 @query("sweep_daily", recursive(with_lineitem(results_sql("lineitem_bars"))))
 def sweep_daily(spark, sf_dir):
     """Accounts of the whole grid over the daily bars."""
-    return ranked(spark, lineitem_bars(spark, sf_dir), DAILY)
+    return ranked(spark, lineitem_bars(spark, sf_dir), lineitem_series(spark, sf_dir))
 
 
 @query("sweep_trades", recursive(with_events(f""", {grid_walk('events_bars')}

@@ -55,6 +55,12 @@ def lineitem_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lineitem_series(spark: SparkSession, sf_dir: str) -> SeriesSpec:
+    """``DAILY`` with its bounds, if those of the lines will do: a bar is made of a line at least, and lines are counted without making bars."""
+    lines = DAILY.measured(table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("instrument")))
+    return lines if lines.whole() else DAILY
+
+
 EVENTS_BARS = """events_bars AS MATERIALIZED (
   SELECT event_type AS instrument, time_bucket(INTERVAL '3 minutes', ts) AS ts,
     arg_min(value, event_id) AS open, max(value) AS high, min(value) AS low,

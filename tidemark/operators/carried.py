@@ -27,16 +27,24 @@ from tidemark.schema import TRADE_FIELDS, fields_of
 
 WORD = 60
 DECISIONS = ("entry", "first", "second", "decides")
+#: The levels of a rule, and those that a decision reads.
+LEVELS = ("entry_level", "exit_first_level", "exit_second_level")
+READS = {"entry": LEVELS[:1], "first": LEVELS[1:], "second": LEVELS[2:], "decides": ()}
 
 
-def decision_bits(decisions: list[dict[str, Column]]) -> dict[str, Column]:
-    """The decisions of all rules, ``WORD`` rules to a column."""
+def decision_bits(rules: list[Rule], decisions: list[dict[str, Column]]) -> dict[str, Column]:
+    """The decisions of all rules, ``WORD`` rules to a column.  Rules that agree in all that a decision reads share its test."""
     out = {}
     for name in DECISIONS:
-        for word in range(0, len(decisions), WORD):
+        ignored = {level: 0.0 for level in LEVELS if level not in READS[name]}
+        for word in range(0, len(rules), WORD):
+            tests: dict[Rule, tuple[Column, int]] = {}
+            for i, (rule, d) in enumerate(zip(rules[word:word + WORD], decisions[word:word + WORD])):
+                test, mask = tests.get(rule.with_(**ignored), (d[f"__{name}"], 0))
+                tests[rule.with_(**ignored)] = test, mask | 1 << i
             bits = F.lit(0).cast("bigint")
-            for i, d in enumerate(decisions[word:word + WORD]):
-                bits = bits + F.when(d[f"__{name}"], F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
+            for test, mask in tests.values():
+                bits = bits + F.when(test, F.lit(mask).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
             out[f"__{name}_{word // WORD}"] = bits
     return out
 
@@ -51,7 +59,7 @@ def carried_trades(lay: Layout, df: DataFrame, rules: list[Rule], decisions: lis
     starts, ends = F.lag(lay.place).over(w).isNull(), F.lead(lay.place).over(w).isNull()
     # own rows stand together, so the first one follows a halo row or none
     opens = ~F.coalesce(F.lag(lay.own).over(w), F.lit(False))
-    df = df.withColumns({"__starts": starts, "__ends": ends, "__opens": opens} | decision_bits(decisions)).filter(lay.own)
+    df = df.withColumns({"__starts": starts, "__ends": ends, "__opens": opens} | decision_bits(rules, decisions)).filter(lay.own)
     bits = [f"__{name}_{i}" for name in DECISIONS for i in range(-(-len(rules) // WORD))]
     keys = [k for k in spec.keys if k != param]
     before = f"__before_{first.ma}"

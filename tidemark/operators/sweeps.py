@@ -84,15 +84,17 @@ def sweep_results(
     spec: SeriesSpec = BAR_SERIES,
 ) -> DataFrame:
     """One row per parameter set: an account per series, summed over the series, with trade counts."""
-    trades = sweep_trades(df, rules, commission, spec=spec)
-    names = F.explode(F.array(*[F.lit(n) for n in rules])).alias(PARAM)
-    last = last_closes(df, spec).select(names, "*")
+    lay, d, varied = _bars(df, rules, spec)
+    trades = followed(lay, d, list(varied.values()), commission, 1, PARAM, brief=True)
+    numbers = F.explode(F.array(*[F.lit(i) for i in range(len(rules))])).alias(PARAM)
+    last = last_closes(df, spec).select(numbers, "*")
     money = accounts(trades, last, cash, (PARAM, *spec.keys)).groupBy(PARAM).agg(
         *[F.sum(c).alias(c) for c in ("starting_value", "final_value", "total_trades", "winning_trades")]
     )
     gain = F.col("final_value") - F.col("starting_value")
     wins = ratio(100.0 * F.col("winning_trades"), F.col("total_trades").cast("double"))
-    return money.withColumns(
+    names = F.array(*[F.lit(n) for n in rules])
+    return money.withColumn(PARAM, F.element_at(names, F.col(PARAM) + 1)).withColumns(
         {"total_return_pct": gain / F.col("starting_value") * 100, "win_rate_pct": F.coalesce(wins, F.lit(0.0))}
     ).drop("winning_trades")
 

@@ -21,31 +21,39 @@ from tidemark.operators.carried import DECISIONS, WORD, decision_bits
 from tidemark.plans.series import Layout
 from tidemark.schema import TRADE_FIELDS, fields_of
 
+#: Bars that are followed at a time, at least, but for a task's last ones: Arrow batches are put together up to there, whatever the session sends.
+AT_A_TIME = 1 << 16
+#: What an account needs of a trade.
+BRIEF = ("entry_price", "exit_ts", "exit_price")
 
-def swept_trades(lay: Layout, df: DataFrame, rules: list[Rule], decisions: list[dict[str, Column]], param: str) -> DataFrame:
+
+def swept_trades(lay: Layout, df: DataFrame, rules: list[Rule], decisions: list[dict[str, Column]], param: str,
+                 brief: bool = False) -> DataFrame:
     """Trades under each of the rules, whose number stands in ``param``, in the shape of ``TRADE_FIELDS`` behind keys and ``trade_no``.
 
     ``df`` is ``lay.df`` with derivatives, fills and averages, its series whole.  The rules differ in levels and averages only, and
     none has levels that are held from a trade's entry.  A missing close or fill price meets no level; without a fill price,
-    or with one of zero, a trade is not stopped.
+    or with one of zero, a trade is not stopped.  ``brief`` leaves all but ``BRIEF`` of a trade's fields NULL: they are not made.
     """
     spec, first = lay.spec, rules[0]
-    df = df.withColumns({"__opens": F.row_number().over(lay.window) == 1} | decision_bits(decisions))
+    df = df.withColumns({"__opens": F.row_number().over(lay.window) == 1} | decision_bits(rules, decisions))
     bits = [f"__{name}_{i}" for name in DECISIONS for i in range(-(-len(rules) // WORD))]
     bars = df.select(*spec.keys, F.col(spec.ts).alias("__ts"), *spec.ties, "__fill_ts", F.col("__fill").cast("double").alias("__fill"),
                      F.col("close").cast("double").alias("close"), "__opens", *bits)
-    out = T.StructType([T.StructField(param, T.IntegerType()), *fields_of(bars.schema, spec.keys), T.StructField("trade_no", T.LongType()), *TRADE_FIELDS])
+    out = T.StructType([T.StructField(param, T.IntegerType()), *fields_of(bars.schema, spec.keys), T.StructField("trade_no", T.LongType()), *[f for f in TRADE_FIELDS if f.name in BRIEF or not brief]])
     stop = 1 - first.stop_loss if first.stop_loss is not None else None
     take = 1 + first.take_profit if first.take_profit is not None else None
     # the windows have brought the series together and sorted them: this sort is dropped from the plan
     in_order = bars.sortWithinPartitions(*spec.keys, "__ts", *spec.ties)
-    return in_order.mapInArrow(_follower(spec.keys, len(rules), stop, take, out), out)
+    trades = in_order.mapInArrow(_follower(spec.keys, len(rules), stop, take, out), out)
+    return trades.withColumns({f.name: F.lit(None).cast(f.dataType) for f in TRADE_FIELDS if f.name not in out.names})
 
 
 def _follower(keys: tuple[str, ...], n_rules: int, stop: float | None, take: float | None, out: T.StructType):
     """The state machine of all rules over sorted bars.  Self-contained, so that it travels to the Python workers by value."""
-    word, reasons = WORD, ["STOP LOSS", "TAKE PROFIT", FIRST_EXIT, SECOND_EXIT]
+    word, at_a_time, reasons = WORD, AT_A_TIME, ["STOP LOSS", "TAKE PROFIT", FIRST_EXIT, SECOND_EXIT]
     schema = to_arrow_schema(out)
+    sources = {"signal_ts": "__ts", "ts": "__fill_ts", "price": "__fill"}
 
     def decided(table, name):
         """A row for each bar, a column for each rule."""
@@ -60,23 +68,37 @@ def _follower(keys: tuple[str, ...], n_rules: int, stop: float | None, take: flo
         import pyarrow as pa
 
         bars, at = pa.array(entered), pa.array(left, mask=left < 0)
-        exit_ = [table.column(n).take(at) for n in ("__ts", "__fill_ts", "__fill")]
-        reason = pa.array(reasons).take(pa.array(why, mask=left < 0))
-        columns = [pa.array(rules), *[table.column(k).take(bars) for k in keys], pa.array(numbers),
-                   *[table.column(n).take(bars) for n in ("__ts", "__fill_ts", "__fill")], *exit_, reason]
+        columns = [pa.array(rules), *[table.column(k).take(bars) for k in keys], pa.array(numbers)]
+        for name in schema.names[len(columns):]:
+            if name == "exit_reason":
+                columns.append(pa.array(reasons).take(pa.array(why, mask=left < 0)))
+            else:
+                end, _, of = name.partition("_")
+                columns.append(table.column(sources[of]).take(bars if end == "entry" else at))
         columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
         return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
+    def gathered(batches):
+        import pyarrow as pa
+
+        waiting, n = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                waiting.append(batch)
+                n += batch.num_rows
+            if n >= at_a_time:
+                yield pa.Table.from_batches(waiting).combine_chunks()
+                waiting, n = [], 0
+        if n:
+            yield pa.Table.from_batches(waiting).combine_chunks()
+
     def follow(batches):
         import numpy as np
         import pyarrow as pa
 
         kept = None  # the bars at which the open trades of the series at hand were entered
         held_from, count, number = np.full(n_rules, -1), np.zeros(n_rules, np.int64), np.zeros(n_rules, np.int64)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([batch])
+        for table in gathered(batches):
             before = 0 if kept is None else kept.num_rows
             table = table if not before else pa.concat_tables([kept, table]).combine_chunks()
             n = table.num_rows

@@ -211,13 +211,16 @@ def all_trades(
     return followed(lay, derivative_columns(lay.df, lay.window, rule), [rule], commission, size)
 
 
-def followed(lay: Layout, df: DataFrame, rules: list[Rule], commission: float, size: int, param: str | None = None) -> DataFrame:
-    """Trades of every series under each of the rules, whose number stands in the column ``param``."""
+def followed(lay: Layout, df: DataFrame, rules: list[Rule], commission: float, size: int, param: str | None = None, brief: bool = False) -> DataFrame:
+    """Trades of every series under each of the rules, whose number stands in the column ``param``.
+
+    ``brief`` asks for no more than accounts need: other fields of the trades may be NULL.
+    """
     if lay.split:
         raw = carried_trades(lay, _with_fills(lay, df, rules), rules, [_decisions(r) for r in rules], param)
         return priced(raw, (*([param] if param else []), *lay.spec.keys), commission, size)
     if param:
-        raw = swept_trades(lay, _with_fills(lay, df, rules), rules, [_decisions(r) for r in rules], param)
+        raw = swept_trades(lay, _with_fills(lay, df, rules), rules, [_decisions(r) for r in rules], param, brief)
         return priced(raw, (param, *lay.spec.keys), commission, size)
     spec = lay.spec
     raw = trades_of(tradable_bars(lay, df, rules[0]), spec, rules[0])
