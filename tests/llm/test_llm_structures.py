@@ -184,6 +184,33 @@ def test_op12(spark, tmp_path):
     assert token_files.round_trip(df.where("false"), public_tokenizers.path(WORD_VOCABULARY), END).count() == 0
 
 
+def test_distinct_words_are_looked_up_once():
+    from tokenizers import Tokenizer
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, word):
+            self.asked += 1
+            return super().get(word)
+
+        def __getitem__(self, word):
+            self.asked += 1
+            return super().__getitem__(word)
+
+    path = public_tokenizers.path(WORD_VOCABULARY)
+    own = token_files.Words(path, END)
+    own.known = Counted(own.known)
+    text = " the cat\x0bsat,  \x1c on\r\nthe\x85mat \t" + "and the cat " * 500
+    first = own.encode([text, None, "", " \n"])
+    own.known.asked = 0
+    assert own.encode([text, None, "", " \n"]) == first
+    assert own.known.asked <= 20
+    ids = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(first[0], own.type).tolist() == [*ids, END]
+    assert first[1] == first[2] == first[3] == own.end and own.encode([]) == []
+
+
 def test_words_are_encoded_as_texts_are():
     from tokenizers import Tokenizer
 

@@ -21,13 +21,14 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import rans
 from tidemark.llm.common import checkpointed, partitions, release, short_batches
-from tidemark.llm.near_duplicates import split_words
 from tidemark.plans.storage import new_folder
 
 #: Ids a file has at most, about, and ids a piece has at least, but for a file's last one.
@@ -67,6 +68,11 @@ class Words:
         self.closes[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.end = np.array([end], self.type).tobytes()
         self.known: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known.clear()
+        self.known[""] = b""  # beside white space at an end of a text
         self.held = 0
 
     def _each(self, words: list[str]) -> None:
@@ -107,14 +113,24 @@ class Words:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text and the end id, as little-endian numbers of ``type``."""
-        own = [split_words(t) if t else [] for t in texts]
-        if new := set().union(*own).difference(self.known):
-            self._learn(new)
-        out = [b"".join(map(self.known.__getitem__, words)) + self.end for words in own]
+        own = pc.ascii_split_whitespace(pa.array([t or "" for t in texts], pa.large_string()))
+        coded = own.flatten().dictionary_encode()  # each distinct word is looked up once
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.known.get, words))
+        if None in ids:
+            new = [i for i, known in enumerate(ids) if known is None]
+            self._learn({words[i] for i in new})
+            for i in new:
+                ids[i] = self.known[words[i]]
+        pool, size = np.frombuffer(b"".join(ids), self.type), self.type.itemsize
+        n = np.fromiter(map(len, ids), np.int64, len(ids)) // size
+        starts, nth = np.cumsum(n) - n, coded.indices.to_numpy()
+        ends = np.cumsum(n[nth])
+        raw = pool[np.repeat(starts[nth] - ends + n[nth], n[nth]) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+        cuts = (np.concatenate([[0], ends])[own.offsets.to_numpy()] * size).tolist()
         if self.held > REMEMBERED:
-            self.known.clear()
-            self.held = 0
-        return out
+            self._forget()
+        return [raw[a:b] + self.end for a, b in zip(cuts, cuts[1:])]
 
 
 @lru_cache(maxsize=2)
