@@ -221,6 +221,40 @@ def test_words_are_encoded_as_texts_are():
         assert np.frombuffer(raw, own.type).tolist() == [*model.encode(t or "", add_special_tokens=False).ids, END], t
 
 
+def test_words_are_sent_once_whatever_their_case_and_signs():
+    class Told:
+        def __init__(self, model):
+            self.model, self.words = model, []
+
+        def encode_batch_fast(self, texts, **named):
+            self.words += [w for t in texts for w in t.split()]
+            return self.model.encode_batch_fast(texts, **named)
+
+    own = token_files.Words(public_tokenizers.path(WORD_VOCABULARY), END)
+    told = []
+    for name in {"model", "plain"} & set(vars(own)):
+        told.append(Told(getattr(own, name)))
+        setattr(own, name, told[-1])
+    first = own.encode(["Cat cat CAT, cat. cat?! Élan élan. c4T C4t"] * 2)
+    assert first[0] == first[1]
+    assert sorted(w for t in told for w in t.words) == sorted(["cat", ",", ".", "?!", "Élan", "élan", "c4t"])
+
+
+def test_letters_signs_and_cases_of_all_scripts():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(WORD_VOCABULARY)
+    model, own = Tokenizer.from_file(path), token_files.Words(path, END)
+    every = [chr(c) for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    texts = [f"{c}# A{c}. {c}B?! {c}'S" for c in every]
+    texts += ["H\u0331 h\u0331 H\u0331.", "<|ENDOFTEXT|> A<|endoftext|>B <|StartOfText|>", "İ. I\u0307. ẞ! \u212a\u212b.", "ΑΣ. ΑΣ ς"]
+    for at in range(0, len(texts), 10_000):
+        some = texts[at:at + 10_000]
+        found = [np.frombuffer(r, own.type).tolist() for r in own.encode(some)]
+        want = [[*e.ids, END] for e in model.encode_batch_fast(some, add_special_tokens=False)]
+        assert found == want, [t for t, f, w in zip(some, found, want) if f != w][:5]
+
+
 def test_a_file_is_read_from_any_place(tmp_path, monkeypatch):
     monkeypatch.setattr(token_files, "PIECE", 5000)
     monkeypatch.setattr(token_files, "AT_A_TIME", 2 * rans.BLOCK)

@@ -13,6 +13,9 @@ pieces out; a piece is decoded from the checkpoint before its first id on, side
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import struct
 import uuid
 import zlib
@@ -41,26 +44,57 @@ REMEMBERED = 10_000_000
 TOGETHER = 512
 #: Signs after a word that are no letters, numbers, apostrophes or part of a special token: one pre-token of their own.
 ENDS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
-
+#: Letters that end in a mark once they are composed and lowered; it joins the signs after it.
+UNSTEADY = "[\u0130\u0958-\u095f\u09dc-\u09df\u0a33\u0a36\u0a59-\u0a5e\u0b5c\u0b5d\u0f43-\u0f69\ufb1d-\ufb4e]"
+#: Steps before the pieces that leave words of small letters of Latin-1 as they are, but for their bytes' names.
+LOWERED = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+CUT = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+_NOTHING = pa.scalar(b"", pa.large_binary())
 _MAGIC = b"TDMKIDS1"
 _TAIL = struct.Struct("<QI")  # length and checksum of the directory
 _MANIFEST = "file bigint, path string, piece bigint, first_token bigint, n_tokens bigint, first_doc bigint, n_docs bigint"
 
 
+def _ends_of(words: pa.Array, cores: pa.Array) -> pa.Array:
+    """What is left of each word after its core."""
+    n = pc.subtract(pc.binary_length(words), pc.binary_length(cores)).to_numpy()
+    ends = np.cumsum(n)
+    stops = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1)[1:]
+    raw = np.frombuffer(words.buffers()[2], np.uint8)[np.repeat(stops - ends, n) + np.arange(ends[-1])]
+    return pa.LargeStringArray.from_buffers(len(words), pa.py_buffer(np.concatenate([[0], ends])), pa.py_buffer(raw))
+
+
 class Words:
     """Ids of texts by a tokenizer whose pieces never cross ASCII white space; ids of words are remembered.
 
-    Holds for tokenizers that drop white space and close the last piece of every pre-token with ``</w>``.  Words of letters
-    are sent many at a time and told apart by their closing pieces; if there are not as many as words, one by one.
+    Holds for tokenizers that drop white space and close the last piece of every pre-token with ``</w>``.  Signs after a word
+    of letters are looked up apart from it.  Words of letters are sent many at a time and told apart by their closing pieces;
+    if there are not as many as words, one by one.
+
+    Where the tokenizer's steps are ``LOWERED``, letters of ASCII are lowered before words are looked up, but for texts with
+    marks, which may join a letter, and with special tokens, which are matched as they are written.  Words of small letters
+    of Latin-1 skip those steps and ``CUT``, if these are the tokenizer's.
     """
 
     def __init__(self, path: str, end: int):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_file(path)
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.model = self.plain = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            steps = json.load(file)
+        self.as_written = None
+        if steps["normalizer"] == LOWERED:
+            special = [re.escape(t.content) for t in self.model.get_added_tokens_decoder().values()]
+            self.as_written = "(?i)" + "|".join([r"\p{M}", *special])
+            if steps["pre_tokenizer"] == CUT:
+                self.plain = Tokenizer(self.model.model)
+                self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+                    pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.model.get_vocab(with_added_tokens=True)
         size = max(vocabulary.values()) + 1
         self.type = np.dtype("<u2" if max(size, end + 1) <= 1 << 16 else "<u4")
@@ -79,10 +113,10 @@ class Words:
         for word, found in zip(words, self.model.encode_batch_fast(words, add_special_tokens=False)):
             self.known[word] = np.array(found.ids, self.type).tobytes()
 
-    def _letters(self, words: list[str]) -> None:
+    def _letters(self, words: list[str], model) -> None:
         groups = [words[i:i + TOGETHER] for i in range(0, len(words), TOGETHER)]
         texts = [" ".join(g) for g in groups]
-        for group, found in zip(groups, self.model.encode_batch_fast(texts, add_special_tokens=False)):
+        for group, found in zip(groups, model.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(found.ids, self.type)
             cuts = ((np.flatnonzero(self.closes[ids]) + 1) * self.type.itemsize).tolist()
             if len(cuts) != len(group):
@@ -91,43 +125,45 @@ class Words:
             raw = ids.tobytes()
             self.known.update(zip(group, [raw[a:b] for a, b in zip([0, *cuts], cuts)]))
 
-    def _learn(self, words: set[str]) -> None:
-        letters, others, both = set(), set(), []
+    def _learn(self, words: list[str]) -> None:
+        low, letters, others = [], [], []
         for w in words:
             if w.isalpha():
-                letters.add(w)
-                continue
-            core = w.rstrip(ENDS)
-            if core.isalpha():
-                both.append((w, core, w[len(core):]))
-                letters.add(core)
-                others.add(w[len(core):])
+                (low if w.islower() and max(w) <= "\xff" else letters).append(w)
             else:
-                others.add(w)
-        known = self.known
-        self._letters([w for w in letters if w not in known])
-        self._each([w for w in others if w not in known])
-        for w, core, rest in both:
-            known[w] = known[core] + known[rest]
+                others.append(w)
+        self._letters(low, self.plain)
+        self._letters(letters, self.model)
+        self._each(others)
         self.held += sum(map(len, words))
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text and the end id, as little-endian numbers of ``type``."""
-        own = pc.ascii_split_whitespace(pa.array([t or "" for t in texts], pa.large_string()))
-        coded = own.flatten().dictionary_encode()  # each distinct word is looked up once
+    def _looked_up(self, words: pa.Array) -> pa.Array:
+        """The ids of each word, as bytes; distinct ones are looked up once."""
+        coded = words.dictionary_encode()
         words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         ids = list(map(self.known.get, words))
         if None in ids:
             new = [i for i, known in enumerate(ids) if known is None]
-            self._learn({words[i] for i in new})
+            self._learn([words[i] for i in new])
             for i in new:
                 ids[i] = self.known[words[i]]
-        pool, size = np.frombuffer(b"".join(ids), self.type), self.type.itemsize
-        n = np.fromiter(map(len, ids), np.int64, len(ids)) // size
-        starts, nth = np.cumsum(n) - n, coded.indices.to_numpy()
-        ends = np.cumsum(n[nth])
-        raw = pool[np.repeat(starts[nth] - ends + n[nth], n[nth]) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
-        cuts = (np.concatenate([[0], ends])[own.offsets.to_numpy()] * size).tolist()
+        return pa.array(ids, pa.large_binary()).take(coded.indices)
+
+    def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
+        """The ids of each text and the end id, as little-endian numbers of ``type``."""
+        texts = pc.fill_null(texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()), "")
+        if self.as_written:
+            texts = pc.if_else(pc.match_substring_regex(texts, self.as_written), texts, pc.ascii_lower(texts))
+        own = pc.ascii_split_whitespace(texts)
+        coded = own.flatten().dictionary_encode()
+        words = coded.dictionary
+        if len(words):
+            cores = pc.utf8_rtrim(words, ENDS)
+            cores = pc.if_else(pc.and_not(pc.utf8_is_alpha(cores), pc.match_substring_regex(cores, UNSTEADY)), cores, words)
+            words = pc.binary_join_element_wise(self._looked_up(cores), self._looked_up(_ends_of(words, cores)), _NOTHING)
+        ids = words.cast(pa.large_binary()).take(coded.indices)
+        raw = (ids.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
+        cuts = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)[own.offsets.to_numpy()].tolist() if len(ids) else [0] * (len(own) + 1)
         if self.held > REMEMBERED:
             self._forget()
         return [raw[a:b] + self.end for a, b in zip(cuts, cuts[1:])]
@@ -139,14 +175,16 @@ def words_of(path: str, end: int) -> Words:
 
 
 def _encoder(path: str, end: int):
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import zstandard
 
         own, packer = words_of(path, end), zstandard.ZstdCompressor(level=1)
         for texts in batches:
-            raw = own.encode(texts.tolist())
+            raw = own.encode(texts)
             size = own.type.itemsize
-            yield pd.DataFrame({"n": [len(r) // size for r in raw], "width": size, "packed": [packer.compress(r) for r in raw]})
+            yield pa.StructArray.from_arrays([
+                pa.array([len(r) // size for r in raw], pa.int64()), pa.array(np.full(len(raw), size, np.int32)),
+                pa.array([packer.compress(r) for r in raw], pa.binary())], ["n", "width", "packed"])
 
     return encoded
 
@@ -157,7 +195,7 @@ def encode_ids(df: DataFrame, path: str, end: int, id_col: str = "doc_id", text_
     A null text counts as empty: the end id alone.  Other columns are not read.
     """
     short_batches(df.sparkSession)
-    call = F.pandas_udf(_encoder(path, end), "struct<n:bigint,width:int,packed:binary>")
+    call = F.arrow_udf(_encoder(path, end), "struct<n:bigint,width:int,packed:binary>")
     return df.select(F.col(id_col).cast("bigint").alias("id"), call(F.col(text_col)).alias("__ids")).select("id", "__ids.*")
 
 
